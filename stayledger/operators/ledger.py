@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from stayledger.functions import ratio_or_null
 from stayledger.operators.scale import (
-    BUCKETS,
     cut_points,
     join_small,
     running_totals,
@@ -28,7 +27,7 @@ def score_ledger(
     target: str,
     probability: str,
     by: Sequence[str] = (),
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """(by..., score, n_pos, n_neg, cum_tp, cum_fp), cumulated from the top score."""
     scored = df.select(
@@ -61,7 +60,7 @@ def area_metrics(
     target: str,
     probability: str,
     by: Sequence[str] = (),
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """(by..., auroc, auprc): exact, tie-aware, NULL where undefined.
 

@@ -22,6 +22,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKETS = 256
+MOST_BUCKETS = 4096
+SKETCH_MERGERS = 64
 SALTS = 8
 
 
@@ -128,20 +130,43 @@ class Edges:
         return cls((-math.inf, *sorted(edges), math.inf))
 
 
+def bucket_count(df: DataFrame) -> int:
+    """As many range buckets as the session shuffles into, within 256..4096."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(BUCKETS, min(MOST_BUCKETS, partitions))
+
+
 def cut_points(
-    df: DataFrame, columns: Sequence[str], *, buckets: int = BUCKETS
+    df: DataFrame, columns: Sequence[str], *, buckets: int | None = None
 ) -> dict[str, Edges]:
-    """Approximate quantiles of several columns: one scan, one row back."""
-    wanted = [i / buckets for i in range(1, buckets)]
-    row = df.agg(
+    """Approximate quantiles of several columns: one scan, one row back.
+
+    Quantile sketches merge in two levels, so one task never receives the
+    sketches of every input task.
+    """
+    buckets = buckets or bucket_count(df)
+    size = min(4 * buckets, 65535)
+    ranks = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    names = [f"q{i}" for i in range(len(columns))]
+    by_share = df.groupBy(
+        F.pmod(F.spark_partition_id(), F.lit(SKETCH_MERGERS)).alias("_share")
+    ).agg(
         *[
-            F.percentile_approx(F.col(c).cast("double"), wanted, 4 * buckets).alias(
-                f"q{i}"
-            )
-            for i, c in enumerate(columns)
+            F.kll_sketch_agg_double(F.col(c).cast("double"), size).alias(q)
+            for q, c in zip(names, columns)
+        ]
+    )
+    merged = by_share.agg(*[F.kll_merge_agg_double(q, size).alias(q) for q in names])
+    row = merged.select(
+        *[
+            F.when(
+                F.kll_sketch_get_n_double(q) > 0,
+                F.kll_sketch_get_quantile_double(q, ranks),
+            ).alias(q)
+            for q in names
         ]
     ).first()
-    return {c: Edges.from_quantiles(row[f"q{i}"]) for i, c in enumerate(columns)}
+    return {c: Edges.from_quantiles(row[q]) for q, c in zip(names, columns)}
 
 
 def with_buckets(
@@ -219,7 +244,7 @@ def running_totals(
 
 
 def _rank_groups(
-    df: DataFrame, score: str, tie: str, buckets: int
+    df: DataFrame, score: str, tie: str, buckets: int | None
 ) -> DataFrame:
     """Tag rows with contiguous slices (``_hi`` descending, ``_lo`` ascending).
 
@@ -229,19 +254,14 @@ def _rank_groups(
     """
     edges = cut_points(df, [score, tie], buckets=buckets)
     tagged = with_buckets(df, edges)
+    high, low = F.col(f"{score}_bucket"), F.col(f"{tie}_bucket")
     hot = edges[score].single_value_buckets
-    low = (
-        F.when(F.col(f"{score}_bucket").isin(hot), F.col(f"{tie}_bucket")).otherwise(0)
-        if hot
-        else F.lit(0)
-    )
-    return tagged.withColumnsRenamed({f"{score}_bucket": "_hi"}).withColumn(
-        "_lo", low.cast("int")
-    ).drop(f"{tie}_bucket")
+    sliced = F.when(high.isin(hot), low).otherwise(0) if hot else F.lit(0)
+    return tagged.select(*df.columns, high.alias("_hi"), sliced.alias("_lo"))
 
 
 def rank_rows(
-    df: DataFrame, *, score: str, tie: str, rank: str = "risk_rank", buckets: int = BUCKETS
+    df: DataFrame, *, score: str, tie: str, rank: str = "risk_rank", buckets: int | None = None
 ) -> DataFrame:
     """Rank 1..n by score descending, ties by ``tie`` ascending; all rows kept."""
     tagged = _rank_groups(df, score, tie, buckets).withColumns(
@@ -265,7 +285,7 @@ def top_k_sums(
     tie: str,
     flag: str,
     fractions: Sequence[float],
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """For each fraction c: k = max(1, ceil(c n)) and the flags among the top k.
 
@@ -329,7 +349,7 @@ def exact_quantiles(
     probabilities: Sequence[float],
     *,
     by: Sequence[str] = (),
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Linearly interpolated percentiles: (by..., feature, q, value).
 

@@ -94,15 +94,22 @@ def load_table(
     path: str,
     *,
     format: str = "csv",
+    schema: str | None = None,
     convert_dates: bool = True,
     date_columns: Sequence[str] = ROLES.dates,
     **options,
 ) -> DataFrame:
-    """Read a saved table and coerce its date columns."""
+    """Read a saved table and coerce its date columns.
+
+    Give CSV a schema; without one Spark reads the file an extra time to infer it.
+    """
     require_paths(spark, {"table": path})
+    reader = spark.read.format(format)
     if format == "csv":
-        options = {"header": True, "inferSchema": True, **options}
-    df = spark.read.format(format).options(**options).load(path)
+        options = {"header": True, "inferSchema": schema is None, **options}
+    if schema is not None:
+        reader = reader.schema(schema)
+    df = reader.options(**options).load(path)
     return coerce_dates(df, date_columns) if convert_dates else df
 
 
