@@ -15,7 +15,7 @@ from stayledger.config import (
 )
 from stayledger.functions import plus_hours
 from stayledger.operators.checks import require_columns, validate_unique
-from stayledger.operators.scale import salted_join
+from stayledger.operators.scale import spread_join
 
 
 def first_child(
@@ -69,7 +69,7 @@ def join_many_to_one(
     """Left join whose keys must be unique on the right; hot left keys are salted."""
     if not checked:
         _require_unique(right, keys, "right")
-    return salted_join(left, right, keys, how="left")
+    return spread_join(left, right, keys, how="left")
 
 
 def _require_unique(df: DataFrame, keys: Sequence[str], side: str) -> None:

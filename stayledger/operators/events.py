@@ -15,7 +15,7 @@ from stayledger.config import (
     UnitRule,
 )
 from stayledger.functions import fahrenheit_to_celsius, first_matching_rule, plausible
-from stayledger.operators.scale import SALTS, salted_join
+from stayledger.operators.scale import spread_join
 
 
 def search_dictionary(
@@ -78,12 +78,13 @@ def events_in_window(
     time: str = "charttime",
     carry: Sequence[str] = (ROLES.stay,),
     time_bounds: tuple[str, str] | None = None,
-    salts: int = SALTS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Events of cohort members inside [start, cutoff], both ends included.
 
     ``carry`` names cohort columns to keep beside the event columns.  A known
-    outer time range in ``time_bounds`` lets the scan skip files and row groups.
+    outer time range in ``time_bounds`` lets the scan skip files and row groups;
+    ``small`` says the cohort was measured to fit a broadcast.
     """
     if time_bounds is not None:
         low, high = (F.lit(b).cast("timestamp_ntz") for b in time_bounds)
@@ -97,7 +98,7 @@ def events_in_window(
     inside = (F.col(f"fact.{time}") >= F.col("dimension._start")) & (
         F.col(f"fact.{time}") <= F.col("dimension._cutoff")
     )
-    return salted_join(events, members, [key], condition=inside, salts=salts).drop(
+    return spread_join(events, members, [key], condition=inside, small=small).drop(
         "_start", "_cutoff"
     )
 
@@ -111,12 +112,12 @@ def standardize(
     name: str = "name",
     out: str = "standardized_value",
     units: UnitRule | None = None,
-    salts: int = SALTS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Give each event its standard name and unit; unmapped or NULL values drop."""
     threshold = (units or TEMPERATURE_UNITS).above
-    joined = salted_join(
-        events.where(F.col(value).isNotNull()), dictionary, [item], salts=salts
+    joined = spread_join(
+        events.where(F.col(value).isNotNull()), dictionary, [item], small=small
     )
     convert = F.col("always_convert") | (
         F.col("convertible") & (F.col(value) > F.lit(threshold))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -23,6 +23,8 @@ from stayledger.operators.events import (
     mapped_dictionary,
     standardize,
 )
+from stayledger.operators.scale import fits_broadcast
+from stayledger.session import stable
 
 
 def item_window_stats(
@@ -85,12 +87,10 @@ def wide_features(
         .groupBy(entity, name)
         .agg(*[_stat(s, F.col(value), F.col(time)).alias(f"_{s}") for s in stats])
     )
-    readable = {
-        s: F.col(f"_{s}.{value}") if s == "first" else F.col(f"_{s}") for s in stats
-    }
+    readable = {s: f"_{s}.`{value}`" if s == "first" else f"_{s}" for s in stats}
     return per_name.groupBy(entity).agg(
         *[
-            F.max(F.when(F.col(name) == n, readable[s])).alias(f"{n}_{s}")
+            F.expr(f"max({readable[s]}) FILTER (WHERE `{name}` = '{n}') AS `{n}_{s}`")
             for n in names
             for s in stats
         ]
@@ -130,12 +130,17 @@ def standardized_vitals(
     *,
     rules: Sequence[LabelRule] = VITAL_RULES,
     unit: str | None = "unitname",
+    small: bool | None = None,
 ) -> DataFrame:
     """(stay, charttime, vital_name, standardized_value) inside the window."""
     dictionary = mapped_dictionary(items, rules, unit=unit, units=TEMPERATURE_UNITS)
-    inside = events_in_window(cohort, chartevents, carry=[ROLES.stay])
+    inside = events_in_window(cohort, chartevents, carry=[ROLES.stay], small=small)
     return standardize(
-        inside, dictionary, name="vital_name", units=TEMPERATURE_UNITS
+        inside,
+        dictionary,
+        name="vital_name",
+        units=TEMPERATURE_UNITS,
+        small=fits_broadcast(dictionary),
     ).select(ROLES.stay, "charttime", "vital_name", "standardized_value")
 
 
@@ -145,9 +150,10 @@ def cleaned_vitals(
     items: DataFrame,
     *,
     rules: Sequence[LabelRule] = VITAL_RULES,
-    bounds=PLAUSIBLE_BOUNDS,
+    bounds: Mapping[str, tuple[float, float]] = PLAUSIBLE_BOUNDS,
+    small: bool | None = None,
 ) -> DataFrame:
-    events = standardized_vitals(cohort, chartevents, items, rules=rules)
+    events = standardized_vitals(cohort, chartevents, items, rules=rules, small=small)
     return clean(events, name="vital_name", bounds=bounds).select(
         ROLES.stay, "charttime", "vital_name", "value"
     )
@@ -159,13 +165,20 @@ def standardized_labs(
     items: DataFrame,
     *,
     rules: Sequence[LabelRule] = LAB_RULES,
+    small: bool | None = None,
 ) -> DataFrame:
     """(stay, charttime, lab_name, value): joined by admission, windowed by stay."""
     dictionary = mapped_dictionary(items, rules)
     inside = events_in_window(
-        cohort, labevents, key=ROLES.admission, carry=[ROLES.stay]
+        cohort, labevents, key=ROLES.admission, carry=[ROLES.stay], small=small
     )
-    return standardize(inside, dictionary, name="lab_name", out="value").select(
+    return standardize(
+        inside,
+        dictionary,
+        name="lab_name",
+        out="value",
+        small=fits_broadcast(dictionary),
+    ).select(
         ROLES.stay, "charttime", "lab_name", "value"
     )
 
@@ -212,9 +225,16 @@ def build_modeling_cohort(
     d_labitems: DataFrame,
     **admission_options: str,
 ) -> DataFrame:
-    """Base cohort -> admission features -> vitals -> labs -> one wide table."""
-    vitals = vital_features(cleaned_vitals(cohort, chartevents, d_items))
-    labs = lab_features(standardized_labs(cohort, labevents, d_labitems))
+    """Base cohort -> admission features -> vitals -> labs -> one wide table.
+
+    The cohort feeds three joins, so it is written once and measured; the event
+    tables are then read once each, and only moved when the cohort is too large
+    to send to them.
+    """
+    cohort = stable(cohort)
+    small = fits_broadcast(cohort.select(*ROLES.ids, ROLES.start, ROLES.cutoff))
+    vitals = vital_features(cleaned_vitals(cohort, chartevents, d_items, small=small))
+    labs = lab_features(standardized_labs(cohort, labevents, d_labitems, small=small))
     return modeling_table(
         admission_features(cohort, **admission_options), vitals, labs
     )

@@ -26,21 +26,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 from stayledger.config import SEED
 from stayledger.operators.metrics import discrimination_metrics
 from stayledger.operators.prep import TabularPreprocessor
-from stayledger.session import shared_folder
 
 SCORE = "predicted_probability"
 WEIGHT = "_class_weight"
 DEEPEST_TREE = 30  # Spark ML's limit, used where a tree's depth is left open
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a table that iterative fits read many times."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
 # --- class weights ----------------------------------------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 The hazards they answer:
 
-* one key holding a large share of the rows  -> ``salted_join``
+* one key holding a large share of the rows  -> ``spread_join``
 * a running total or rank over a whole table -> range buckets cut at the data's
   own quantiles, a small table of bucket totals, and a window per bucket
 * exact percentiles                          -> only the bucket that contains
@@ -19,45 +19,66 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from stayledger.session import stable
 
 BUCKETS = 256
 MOST_BUCKETS = 4096
 SKETCH_MERGERS = 64
 SALTS = 8
+BROADCAST_BYTES = 64 << 20
+FIXED_BYTES = 16  # of one fixed-width value with its row overhead
 
 
 # --- joins ------------------------------------------------------------------------
 
 
-def salted_join(
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Measure a table (rows, and the bytes of its strings) against the limit.
+
+    One small aggregate; meant for tables that are already written or cheap.
+    """
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    sizes = [F.sum(F.coalesce(F.octet_length(c), F.lit(0))).alias(f"s{i}") for i, c in enumerate(text)]
+    row = df.agg(F.count("*").alias("n"), *sizes).first()
+    fixed = row["n"] * FIXED_BYTES * (len(df.columns) + 1)
+    return fixed + sum(row[f"s{i}"] or 0 for i in range(len(text))) <= limit
+
+
+def spread_join(
     fact: DataFrame,
     dimension: DataFrame,
     keys: Sequence[str],
     *,
     how: str = "inner",
     condition: Column | None = None,
+    small: bool | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Equi-join a large table to one that has few rows per key.
+    """Equi-join a large table to one with few rows per key, whatever the skew.
 
-    A key's fact rows spread over ``salts`` tasks by their input split, and the
-    dimension repeats once per salt.  No broadcast is forced: Catalyst and AQE
-    broadcast the dimension when its measured size allows and shuffle both
-    sides on (key, salt) otherwise.
+    ``small`` is the outcome of ``fits_broadcast``: then the dimension goes to
+    every task and the fact side is not moved.  Otherwise a key's fact rows
+    spread over ``salts`` tasks by their input split, the dimension repeats once
+    per salt, and Catalyst and AQE choose the strategy by size.
     """
     if how not in ("inner", "left"):
-        raise ValueError("salted_join repeats the right side: inner or left only")
+        raise ValueError("spread_join repeats the right side: inner or left only")
     if how == "inner":
         for key in keys:
             fact = fact.where(F.col(key).isNotNull())
-    left = fact.withColumn(
-        "_salt", F.pmod(F.spark_partition_id(), F.lit(salts)).cast("int")
-    ).alias("fact")
-    right = dimension.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    ).alias("dimension")
-    on = F.col("fact._salt") == F.col("dimension._salt")
+    left, right, on = fact, dimension, F.lit(True)
+    if small:
+        right = F.broadcast(dimension)
+    else:
+        left = fact.withColumn(
+            "_salt", F.pmod(F.spark_partition_id(), F.lit(salts)).cast("int")
+        )
+        right = dimension.withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+        )
+        on = F.col("fact._salt") == F.col("dimension._salt")
     for key in keys:
         on = on & (F.col(f"fact.{key}") == F.col(f"dimension.{key}"))
     if condition is not None:
@@ -65,7 +86,7 @@ def salted_join(
     kept = [F.col(f"fact.{c}") for c in fact.columns] + [
         F.col(f"dimension.{c}") for c in dimension.columns if c not in keys
     ]
-    return left.join(right, on, how).select(*kept)
+    return left.alias("fact").join(right.alias("dimension"), on, how).select(*kept)
 
 
 def null_safe_on(left: str, right: str, columns: Sequence[str]) -> Column:
@@ -146,7 +167,8 @@ def cut_points(
     """
     buckets = buckets or bucket_count(df)
     size = min(4 * buckets, 65535)
-    ranks = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    listed = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+    ranks = F.expr(f"array({listed})")
     names = [f"q{i}" for i in range(len(columns))]
     by_share = df.groupBy(
         F.pmod(F.spark_partition_id(), F.lit(SKETCH_MERGERS)).alias("_share")
@@ -375,7 +397,7 @@ def exact_quantiles(
         .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     )
     group = [*by, "feature"]
-    counts = long.groupBy(*group, "_b").agg(F.count("*").alias("_rows"))
+    counts = stable(long.groupBy(*group, "_b").agg(F.count("*").alias("_rows")))
     ordered = Window.partitionBy(*group).orderBy("_b")
     placed = counts.select(
         "*",
@@ -402,7 +424,9 @@ def exact_quantiles(
     touched = targets.select(*group, "_b", "_before").distinct()
     # without groups: at most two rows per column and probability
     values = (
-        join_small(long, touched, [*group, "_b"], bounded=not by)
+        join_small(
+            long, touched, [*group, "_b"], bounded=not by or fits_broadcast(touched)
+        )
         .groupBy(*group, "_b", "_before", "_v")
         .agg(F.count("*").alias("_k"))
         .withColumn(

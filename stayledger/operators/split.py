@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stayledger.config import SEED
-from stayledger.operators.scale import running_totals, salted_join
+from stayledger.operators.scale import fits_broadcast, running_totals, spread_join
+from stayledger.session import stable
 
 HASH_RANGE = 1 << 32
 SLICES = 1024
@@ -130,14 +131,16 @@ def assign_splits(
     test set.  Both cuts are stratified by the entity's outcome where possible.
     """
     key = seeded_hash(entity, seed) if order_hash is None else order_hash
-    hashed = outcomes.select(entity, outcome, key.cast("bigint").alias("_hash"))
-    first = _held_out(
-        hashed,
-        stratum=outcome,
-        order_hash="_hash",
-        entity=entity,
-        fraction=held_out,
-        flag="_held",
+    hashed = stable(outcomes.select(entity, outcome, key.cast("bigint").alias("_hash")))
+    first = stable(
+        _held_out(
+            hashed,
+            stratum=outcome,
+            order_hash="_hash",
+            entity=entity,
+            fraction=held_out,
+            flag="_held",
+        )
     )
     second = _held_out(
         first.where("_held").drop("_held"),
@@ -157,7 +160,8 @@ def assign_splits(
 
 def split_rows(df: DataFrame, assignment: DataFrame, *, entity: str) -> DataFrame:
     """Rows with their entity's split (entities are unique in the assignment)."""
-    return salted_join(df, assignment.select(entity, "split"), [entity])
+    table = stable(assignment.select(entity, "split"))
+    return spread_join(df, table, [entity], small=fits_broadcast(table))
 
 
 def split_summary(

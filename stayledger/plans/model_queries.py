@@ -17,7 +17,7 @@ from stayledger.operators import calibrate, explain, metrics, models, prep, spli
 from stayledger.operators.cohort import first_child
 from stayledger.plans import star
 from stayledger.plans.registry import Tables, query, rounded
-from stayledger.session import shared_folder
+from stayledger.session import shared_folder, stable
 
 TARGET = "toxic"
 NUMERIC = ["n_chars", "n_words", "n_digits", "n_upper", "quality"]
@@ -51,7 +51,7 @@ def _rows(t: Tables) -> DataFrame:
         rows, split.assign_splits(sources, entity="source"), entity="source"
     )
     folds = split.group_folds(rows, entity="source", target=TARGET, n_folds=FOLDS)
-    return models.stable(assigned.join(folds.select("source", "fold"), "source"))
+    return stable(assigned.join(folds.select("source", "fold"), "source"))
 
 
 def _train(t: Tables) -> DataFrame:
@@ -259,7 +259,7 @@ def _transformed(t: Tables) -> DataFrame:
 @kept
 def _contributions(t: Tables) -> DataFrame:
     model = _forest(t)
-    return models.stable(
+    return stable(
         explain.tree_shap(
             model.stages[-1],
             _transformed(t),

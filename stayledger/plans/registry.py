@@ -17,7 +17,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

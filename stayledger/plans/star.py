@@ -18,7 +18,6 @@ from stayledger.operators.cohort import (
     join_one_to_one,
     with_prediction_time,
 )
-from stayledger.operators.scale import salted_join
 from stayledger.plans.registry import Tables
 
 WINDOW_HOURS = 168
@@ -80,8 +79,8 @@ LAB_LABELS = (
 
 
 def _dealt(key: str, labels: tuple[str, ...]) -> Column:
-    position = F.pmod(F.col(key), F.lit(len(labels))).cast("int") + 1
-    return F.element_at(F.array(*[F.lit(v) for v in labels]), position)
+    listed = ", ".join(f"'{v}'" for v in labels)
+    return F.expr(f"element_at(array({listed}), int({key} % {len(labels)}) + 1)")
 
 
 def _dealt_sql(key: str, labels: tuple[str, ...]) -> str:
@@ -253,51 +252,41 @@ def labevents(t: Tables) -> DataFrame:
     return t.events.select((F.col("user_id") * 10 + 1).alias("hadm_id"), *_measured())
 
 
-def user_windows(t: Tables) -> DataFrame:
-    starts = t.events.groupBy("user_id").agg(
-        F.min("ts").alias("intime"), F.max("ts").alias("outtime")
-    )
-    return with_prediction_time(starts, hours=WINDOW_HOURS)
-
-
 def user_cohort(t: Tables) -> DataFrame:
-    """One stay per user; the outcome is a large purchase after the window."""
-    windows = user_windows(t)
-    large = t.events.where(
-        (F.col("event_type") == "purchase") & (F.col("value") > 100)
-    ).select("user_id", "ts")
-    later = (
-        salted_join(
-            large,
-            windows.select("user_id", "prediction_time"),
-            ["user_id"],
-            condition=F.col("fact.ts") > F.col("dimension.prediction_time"),
-        )
-        .groupBy("user_id")
-        .agg(F.lit(1).alias("_large"))
+    """One stay per user; the outcome is a large purchase after the window.
+
+    The latest large purchase is enough to tell, so one aggregation of the events
+    gives start, end and outcome together.
+    """
+    large = (F.col("event_type") == "purchase") & (F.col("value") > 100)
+    users = t.events.groupBy("user_id").agg(
+        F.min("ts").alias("intime"),
+        F.max("ts").alias("outtime"),
+        F.max(F.when(large, F.col("ts"))).alias("_last_large"),
     )
+    windows = with_prediction_time(users, hours=WINDOW_HOURS)
     nation, user = F.col("c_nationkey"), F.col("user_id")
-    return (
-        windows.join(later, "user_id", "left")
-        .join(t.customer.withColumnRenamed("c_custkey", "user_id"), "user_id")
-        .select(
-            user.alias("subject_id"),
-            (user * 10 + 1).alias("hadm_id"),
-            (user * 10 + 2).alias("stay_id"),
-            "intime",
-            "prediction_time",
-            "outtime",
-            F.when(nation % 2 == 0, "F").otherwise("M").alias("gender"),
-            F.floor(F.abs("c_acctbal") / 100).cast("int").alias("anchor_age"),
-            F.when(user % 3 == 0, "EW EMER.")
-            .when(user % 3 == 1, "URGENT")
-            .alias("admission_type"),
-            F.when(user % 4 == 0, "Transfer from hospital")
-            .otherwise("WALK-IN")
-            .alias("admission_location"),
-            F.col("c_mktsegment").alias("race"),
-            F.coalesce(F.col("_large"), F.lit(0)).alias("hospital_expire_flag"),
-        )
+    return windows.join(
+        t.customer.withColumnRenamed("c_custkey", "user_id"), "user_id"
+    ).select(
+        user.alias("subject_id"),
+        (user * 10 + 1).alias("hadm_id"),
+        (user * 10 + 2).alias("stay_id"),
+        "intime",
+        "prediction_time",
+        "outtime",
+        F.when(nation % 2 == 0, "F").otherwise("M").alias("gender"),
+        F.floor(F.abs("c_acctbal") / 100).cast("int").alias("anchor_age"),
+        F.when(user % 3 == 0, "EW EMER.")
+        .when(user % 3 == 1, "URGENT")
+        .alias("admission_type"),
+        F.when(user % 4 == 0, "Transfer from hospital")
+        .otherwise("WALK-IN")
+        .alias("admission_location"),
+        F.col("c_mktsegment").alias("race"),
+        F.when(F.col("_last_large") > F.col("prediction_time"), 1)
+        .otherwise(0)
+        .alias("hospital_expire_flag"),
     )
 
 
