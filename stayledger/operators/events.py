@@ -42,11 +42,12 @@ def mapped_dictionary(
     label: str = "label",
     unit: str | None = None,
     units: UnitRule | None = None,
+    bounds: Mapping[str, tuple[float, float]] | None = None,
 ) -> DataFrame:
-    """(item, name, convertible, always_convert) of the mapped items only.
+    """(item, name, convertible, always_convert[, low, high]) of the mapped items.
 
-    Labels are matched once per dictionary row, not once per event, and unmapped
-    items are gone before the event join.
+    Labels are matched and bounds looked up once per dictionary row, not once per
+    event, and unmapped items are gone before the event join.
     """
     lowered = F.lower(F.col(label))
     if units is None:
@@ -60,12 +61,21 @@ def mapped_dictionary(
             else F.lit(False)
         )
         always = convertible & (by_label | by_unit)
-    return items.select(
+    mapped = items.select(
         F.col(item),
         first_matching_rule(F.col(label), rules).alias("name"),
         convertible.alias("convertible"),
         always.alias("always_convert"),
     ).where(F.col("name").isNotNull())
+    if bounds is None:
+        return mapped
+    limits = mapped
+    for out, side in (("low", 0), ("high", 1)):
+        chain = F.when(F.lit(False), F.lit(0.0))
+        for name, pair in bounds.items():
+            chain = chain.when(F.col("name") == name, F.lit(float(pair[side])))
+        limits = limits.withColumn(out, chain)
+    return limits
 
 
 def events_in_window(
@@ -114,7 +124,10 @@ def standardize(
     units: UnitRule | None = None,
     small: bool | None = None,
 ) -> DataFrame:
-    """Give each event its standard name and unit; unmapped or NULL values drop."""
+    """Give each event its standard name and unit; unmapped or NULL values drop.
+
+    A dictionary with ``low`` and ``high`` passes them on for ``within_bounds``.
+    """
     threshold = (units or TEMPERATURE_UNITS).above
     joined = spread_join(
         events.where(F.col(value).isNotNull()), dictionary, [item], small=small
@@ -130,6 +143,14 @@ def standardize(
     )
 
 
+def within_bounds(
+    events: DataFrame, *, value: str = "standardized_value", out: str = "value"
+) -> DataFrame:
+    """Values outside the row's own ``low``..``high`` become NULL."""
+    inside = F.col(value).between(F.col("low"), F.col("high"))
+    return events.withColumn(out, F.when(inside, F.col(value))).drop("low", "high")
+
+
 def clean(
     events: DataFrame,
     *,
@@ -138,5 +159,5 @@ def clean(
     out: str = "value",
     bounds: Mapping[str, tuple[float, float]] = PLAUSIBLE_BOUNDS,
 ) -> DataFrame:
-    """Values outside their measurement's bounds become NULL."""
+    """Values outside their measurement's bounds become NULL, by name."""
     return events.withColumn(out, plausible(F.col(name), F.col(value), bounds))

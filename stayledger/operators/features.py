@@ -18,10 +18,10 @@ from stayledger.config import (
 )
 from stayledger.functions import admission_hour, contains_flag, is_weekend
 from stayledger.operators.events import (
-    clean,
     events_in_window,
     mapped_dictionary,
     standardize,
+    within_bounds,
 )
 from stayledger.operators.scale import fits_broadcast
 from stayledger.session import stable
@@ -123,17 +123,18 @@ def rule_names(rules: Sequence[LabelRule]) -> list[str]:
     return [r.name for r in rules]
 
 
-def standardized_vitals(
+def _mapped_vitals(
     cohort: DataFrame,
     chartevents: DataFrame,
     items: DataFrame,
-    *,
-    rules: Sequence[LabelRule] = VITAL_RULES,
-    unit: str | None = "unitname",
-    small: bool | None = None,
+    rules: Sequence[LabelRule],
+    bounds: Mapping[str, tuple[float, float]],
+    unit: str | None,
+    small: bool | None,
 ) -> DataFrame:
-    """(stay, charttime, vital_name, standardized_value) inside the window."""
-    dictionary = mapped_dictionary(items, rules, unit=unit, units=TEMPERATURE_UNITS)
+    dictionary = mapped_dictionary(
+        items, rules, unit=unit, units=TEMPERATURE_UNITS, bounds=bounds
+    )
     inside = events_in_window(cohort, chartevents, carry=[ROLES.stay], small=small)
     return standardize(
         inside,
@@ -141,6 +142,21 @@ def standardized_vitals(
         name="vital_name",
         units=TEMPERATURE_UNITS,
         small=fits_broadcast(dictionary),
+    )
+
+
+def standardized_vitals(
+    cohort: DataFrame,
+    chartevents: DataFrame,
+    items: DataFrame,
+    *,
+    rules: Sequence[LabelRule] = VITAL_RULES,
+    unit: str | None = "unitname",
+    small: bool | None = None,
+) -> DataFrame:
+    """(stay, charttime, vital_name, standardized_value) inside the window."""
+    return _mapped_vitals(
+        cohort, chartevents, items, rules, PLAUSIBLE_BOUNDS, unit, small
     ).select(ROLES.stay, "charttime", "vital_name", "standardized_value")
 
 
@@ -151,12 +167,12 @@ def cleaned_vitals(
     *,
     rules: Sequence[LabelRule] = VITAL_RULES,
     bounds: Mapping[str, tuple[float, float]] = PLAUSIBLE_BOUNDS,
+    unit: str | None = "unitname",
     small: bool | None = None,
 ) -> DataFrame:
-    events = standardized_vitals(cohort, chartevents, items, rules=rules, small=small)
-    return clean(events, name="vital_name", bounds=bounds).select(
-        ROLES.stay, "charttime", "vital_name", "value"
-    )
+    """The same with implausible values as NULL; rows are kept."""
+    mapped = _mapped_vitals(cohort, chartevents, items, rules, bounds, unit, small)
+    return within_bounds(mapped).select(ROLES.stay, "charttime", "vital_name", "value")
 
 
 def standardized_labs(

@@ -21,6 +21,31 @@ from stayledger.operators.scale import (
 )
 
 
+def _without_nulls(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Group keys as text that is never NULL ('' for NULL, '=x' for x).
+
+    Plain equality on such keys lets the offset join keep the window's
+    partitioning; an equality that also matches NULLs would move the ledger again.
+    """
+    keys = {
+        c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+        for c in by
+        if df.schema[c].nullable
+    }
+    return df.withColumns(keys) if keys else df
+
+
+def _with_nulls(df: DataFrame, by: Sequence[str], like: DataFrame) -> DataFrame:
+    decoded = {
+        c: F.when(F.col(c) != "", F.substring(F.col(c), 2, 2**31 - 1)).cast(
+            like.schema[c].dataType
+        )
+        for c in by
+        if like.schema[c].nullable
+    }
+    return df.withColumns(decoded) if decoded else df
+
+
 def score_ledger(
     df: DataFrame,
     *,
@@ -36,7 +61,7 @@ def score_ledger(
     edges = cut_points(scored, ["score"], buckets=buckets)
     group = [*by, "_all"]
     ledger = (
-        with_buckets(scored, edges)
+        with_buckets(_without_nulls(scored, by), edges)
         .withColumn("_all", F.lit(0))
         .groupBy(*group, "score_bucket", "score")
         .agg(
@@ -44,7 +69,7 @@ def score_ledger(
             F.count_if(F.col("_y") == 0).alias("n_neg"),
         )
     )
-    return running_totals(
+    running = running_totals(
         ledger,
         by=group,
         buckets=["score_bucket"],
@@ -52,6 +77,7 @@ def score_ledger(
         bucket_order=[F.col("score_bucket").desc()],
         sums={"cum_tp": "n_pos", "cum_fp": "n_neg"},
     ).drop("_all", "score_bucket")
+    return _with_nulls(running, by, scored)
 
 
 def area_metrics(

@@ -89,13 +89,17 @@ def spread_join(
     return left.alias("fact").join(right.alias("dimension"), on, how).select(*kept)
 
 
-def null_safe_on(left: str, right: str, columns: Sequence[str]) -> Column:
-    """Equality on every column where two NULLs count as equal."""
+def same_group(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+    """Equality of aliases ``t`` and ``s``; two NULLs count as equal.
+
+    Columns that cannot be NULL compare plainly, which lets the join use a
+    partitioning that is already there.
+    """
     condition = F.lit(True)
     for name in columns:
-        condition = condition & F.col(f"{left}.{name}").eqNullSafe(
-            F.col(f"{right}.{name}")
-        )
+        a, b = F.col(f"t.{name}"), F.col(f"s.{name}")
+        nullable = left.schema[name].nullable or right.schema[name].nullable
+        condition = condition & (a.eqNullSafe(b) if nullable else a == b)
     return condition
 
 
@@ -116,7 +120,7 @@ def join_small(
     if bounded:
         small = F.broadcast(small)
     joined = table.alias("t").join(
-        small.alias("s"), null_safe_on("t", "s", by), how
+        small.alias("s"), same_group(table, small, by), how
     )
     return joined.select("t.*", *extra)
 
@@ -441,15 +445,15 @@ def exact_quantiles(
         .select(*group, "_b", "_v", "_end", (F.col("_end") - F.col("_k")).alias("_start"))
     )
     hit = (
-        null_safe_on("x", "y", [*group, "_b"])
-        & (F.col("x._start") <= F.col("y._place"))
-        & (F.col("y._place") < F.col("x._end"))
+        same_group(values, targets, [*group, "_b"])
+        & (F.col("t._start") <= F.col("s._place"))
+        & (F.col("s._place") < F.col("t._end"))
     )
     return (
-        values.alias("x")
-        .join(targets.alias("y"), hit)
-        .groupBy(*[F.col(f"y.{g}").alias(g) for g in group], F.col("y.q").alias("q"))
-        .agg(F.sum(F.col("x._v") * F.col("y._weight")).alias("value"))
+        values.alias("t")
+        .join(targets.alias("s"), hit)
+        .groupBy(*[F.col(f"s.{g}").alias(g) for g in group], F.col("s.q").alias("q"))
+        .agg(F.sum(F.col("t._v") * F.col("s._weight")).alias("value"))
     )
 
 
