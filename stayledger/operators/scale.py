@@ -28,6 +28,7 @@ MOST_BUCKETS = 4096
 SKETCH_MERGERS = 64
 SALTS = 8
 BROADCAST_BYTES = 64 << 20
+HOT_ROWS = 5_000_000
 FIXED_BYTES = 16  # of one fixed-width value with its row overhead
 
 
@@ -55,38 +56,66 @@ def spread_join(
     condition: Column | None = None,
     small: bool | None = None,
     salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equi-join a large table to one with few rows per key, whatever the skew.
 
-    ``small`` is the outcome of ``fits_broadcast``: then the dimension goes to
-    every task and the fact side is not moved.  Otherwise a key's fact rows
-    spread over ``salts`` tasks by their input split, the dimension repeats once
-    per salt, and Catalyst and AQE choose the strategy by size.
+    ``small`` is the outcome of ``fits_broadcast``:
+
+    * True: the dimension goes to every task and the fact side is not moved.
+    * False: keys with more than ``hot_rows`` fact rows are joined the same way,
+      against their own dimension rows; all other rows are shuffled by key.
+    * None, not measured: a key's fact rows spread over ``salts`` tasks by their
+      input split, the dimension repeats once per salt, and Catalyst and AQE
+      choose the strategy by size.
+
+    ``condition`` refers to the sides as ``fact`` and ``dimension``.
     """
     if how not in ("inner", "left"):
         raise ValueError("spread_join repeats the right side: inner or left only")
     if how == "inner":
         for key in keys:
             fact = fact.where(F.col(key).isNotNull())
-    left, right, on = fact, dimension, F.lit(True)
     if small:
-        right = F.broadcast(dimension)
-    else:
+        return _matched(fact, F.broadcast(dimension), keys, how, condition)
+    if small is None:
         left = fact.withColumn(
             "_salt", F.pmod(F.spark_partition_id(), F.lit(salts)).cast("int")
         )
         right = dimension.withColumn(
             "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
         )
-        on = F.col("fact._salt") == F.col("dimension._salt")
+        return _matched(left, right, [*keys, "_salt"], how, condition).drop("_salt")
+    # a table of N rows has fewer than N / hot_rows such keys
+    hot = stable(
+        fact.groupBy(*keys)
+        .agg(F.count("*").alias("_n"))
+        .where(F.col("_n") > hot_rows)
+        .dropna(subset=list(keys))
+        .select(*keys)
+    )
+    hot_side = F.broadcast(dimension.join(F.broadcast(hot), list(keys), "left_semi"))
+    hot_fact = fact.join(F.broadcast(hot), list(keys), "left_semi")
+    cold_fact = fact.join(F.broadcast(hot), list(keys), "left_anti")
+    return _matched(hot_fact, hot_side, keys, how, condition).unionByName(
+        _matched(cold_fact, dimension, keys, how, condition)
+    )
+
+
+def _matched(
+    fact: DataFrame,
+    dimension: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    condition: Column | None,
+) -> DataFrame:
+    on = F.lit(True) if condition is None else condition
     for key in keys:
         on = on & (F.col(f"fact.{key}") == F.col(f"dimension.{key}"))
-    if condition is not None:
-        on = on & condition
     kept = [F.col(f"fact.{c}") for c in fact.columns] + [
         F.col(f"dimension.{c}") for c in dimension.columns if c not in keys
     ]
-    return left.alias("fact").join(right.alias("dimension"), on, how).select(*kept)
+    return fact.alias("fact").join(dimension.alias("dimension"), on, how).select(*kept)
 
 
 def same_group(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:

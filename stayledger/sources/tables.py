@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stayledger.config import ROLES
+from stayledger.session import stable
 
 _SPLITS = {
     "train": "train",
@@ -167,6 +168,7 @@ def read_back(spark: SparkSession, path: str, like: DataFrame, *, format: str) -
 def roundtrip_check(df: DataFrame, path: str, *, keys: Sequence[str], format: str = "parquet") -> DataFrame:
     """Write, reload and compare: rows, repeated keys, rows that differ either way."""
     spark = df.sparkSession
+    df = stable(df)
     write_table(df, path, format=format)
     saved = read_back(spark, path, df, format=format)
     hashed = F.xxhash64(*df.columns)

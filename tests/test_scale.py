@@ -109,15 +109,17 @@ def test_most_frequent_prefers_the_smallest_on_ties(spark):
     assert (row["value"], row["n"]) == ("a", 2)
 
 
-@pytest.mark.parametrize("small", [None, True, False])
+@pytest.mark.parametrize("small, hot_rows", [(None, 1), (True, 1), (False, 10), (False, 10**6)])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_spread_join_keeps_every_match_of_a_hot_key(spark, how, small):
+def test_spread_join_keeps_every_match_of_a_hot_key(spark, how, small, hot_rows):
     rows = [(1 if i % 3 == 0 else i, i) for i in range(900)] + [(None, -1)]
     fact = spark.createDataFrame(rows, "k int, v int").repartition(7)
     dim = spark.createDataFrame([(k, k * 10) for k in range(0, 900, 2)] + [(1, 10)], "k int, w int")
     got = Counter(
         (r["k"], r["v"], r["w"])
-        for r in scale.spread_join(fact, dim, ["k"], how=how, small=small).collect()
+        for r in scale.spread_join(
+            fact, dim, ["k"], how=how, small=small, hot_rows=hot_rows
+        ).collect()
     )
     looked_up = {k: k * 10 for k in range(0, 900, 2)} | {1: 10}
     want = Counter(
