@@ -10,11 +10,13 @@ leave as a long table (row id, feature, value, contribution).
 from __future__ import annotations
 
 import math
+import sys
 import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
@@ -22,6 +24,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from stayledger.operators.scale import join_small
 from stayledger.session import shared_folder
 
+# executors need not have this package installed: its kernel travels with the plan
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 # --- the fitted forest as a table ------------------------------------------------------
 
