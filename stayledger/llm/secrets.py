@@ -114,8 +114,8 @@ def op4_secrets(spark, folder: str) -> DataFrame:
 
 def _sql_spans(pattern: str, kind: int, group: int = 0, condition: str = "true") -> str:
     p = pattern.replace("'", "''")
-    return f"""list_filter([{{'s': coalesce(list_sum([length(y) for y in g[1:i]]), 0) + coalesce(list_sum([length(y) for y in m[1:i - 1]]), 0), 'k': {kind},
-        'e': coalesce(list_sum([length(y) for y in g[1:i]]), 0) + coalesce(list_sum([length(y) for y in m[1:i]]), 0), 'v': v[i]}} for i in range(1, len(m) + 1)], x -> {condition})
+    return f"""[x for x in [{{'s': coalesce(list_sum([length(y) for y in g[1:i]]), 0) + coalesce(list_sum([length(y) for y in m[1:i - 1]]), 0), 'k': {kind},
+        'e': coalesce(list_sum([length(y) for y in g[1:i]]), 0) + coalesce(list_sum([length(y) for y in m[1:i]]), 0), 'v': v[i]}} for i in range(1, len(m) + 1)] if {condition}]
         FROM (SELECT string_split_regex(t, '{p}') AS g, regexp_extract_all(t, '{p}') AS m, regexp_extract_all(t, '{p}', {group}) AS v)"""
 
 
@@ -130,7 +130,7 @@ WITH found AS (
 ), based AS (
   SELECT *, list_sort(list_concat(list_concat(a, b), c)) AS base FROM found
 ), apart AS (
-  SELECT *, list_filter(d, x -> len(list_filter(base, y -> y.s < x.e AND x.s < y.e)) = 0) AS extra FROM based
+  SELECT *, [x for x in d if len([y for y in base if y.s < x.e AND x.s < y.e]) = 0] AS extra FROM based
 ), each_one AS (
   SELECT r, doc_id, owner, unnest(list_concat(base, extra)) AS x FROM apart
 ), spread AS (
