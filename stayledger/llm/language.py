@@ -79,8 +79,9 @@ def alphabet(train: DataFrame) -> np.ndarray:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 p = points(text)
-                total[: int(p.max(initial=0)) + 1] += np.bincount(p)
-        seen = np.flatnonzero(total & 0xFFFFFFFFFFFF)
+                if len(p):
+                    total[: int(p.max()) + 1] += np.bincount(p)
+        seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["point", "n"])
 
     counted = train.select("text").mapInArrow(run, "point long, n long").groupBy("point").agg(F.sum("n").alias("n"))

@@ -37,7 +37,8 @@ def hashes(text, least: int):
 
 def boilerplate(docs: DataFrame, text_col: str, site_col: str, sites: int, least: int, work: Workspace) -> DataFrame:
     """(h1, h2) of the lines that stand on at least `sites` sites."""
-    site = F.coalesce(F.col(site_col).cast("string"), F.lit(""))
+    # sketches leave out empty strings, so a site's name never is one
+    site = F.concat(F.lit("="), F.coalesce(F.col(site_col).cast("string"), F.lit("")))
     each = docs.select(site.alias("site"), F.explode(hashes(F.col(text_col), least)).alias("h"))
     # a line's rows of one site meet before the shuffle, so no line is hot
     pairs = work.write(each.groupBy("h.h1", "h.h2", "site").agg(F.count("*").alias("n")).select("h1", "h2", "site"), "pairs")
