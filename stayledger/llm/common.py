@@ -43,7 +43,7 @@ class Workspace:
         """Write df; its folder."""
         self._count += 1
         path = f"{self.root}/{self._count:03d}-{name}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return path
 
     def drop(self, path: str) -> None:
