@@ -175,7 +175,7 @@ def join_integrity(base: DataFrame, joined: DataFrame, *, keys: Sequence[str]) -
 
 
 def _raise_on(table: DataFrame, what: str) -> None:
-    found = {r[0]: r[1] for r in table.where(F.col(table.columns[1]) > 0).take(20)}
+    found = {r[0]: r[1] for r in table.where(F.col(table.columns[1]) > 0).collect()}
     if found:
         raise ValueError(f"{what}: {found}")
 
@@ -184,12 +184,16 @@ def validate_binary_target(
     df: DataFrame, *, target: str = ROLES.target, name: str = "dataframe"
 ) -> None:
     require_columns(df, [target], name=name)
-    bad = [(r[0], r[1]) for r in target_violations(df, target=target).take(20)]
-    if any(value is None for value, _ in bad):
+    found = target_violations(df, target=target)
+    value = F.col(found.columns[0])
+    missing, bad, least, most = found.agg(
+        F.count_if(value.isNull()), F.count(value), F.min(value), F.max(value)
+    ).first()
+    if missing:
         raise ValueError(f"{name}.{target} contains missing values")
     if bad:
         raise ValueError(
-            f"{name}.{target} contains non-binary values: {sorted(v for v, _ in bad)}"
+            f"{name}.{target} contains non-binary values: {bad} different, from {least} to {most}"
         )
 
 

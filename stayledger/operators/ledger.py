@@ -100,7 +100,8 @@ def area_metrics(
     # share of pairs ordered wrongly: negatives at or above each positive, ties by half
     wrong = F.sum(F.col("n_pos") * (F.col("cum_fp") - 0.5 * F.col("n_neg")))
     steps = F.sum(
-        F.col("n_pos") * F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))
+        # doubles: counts of a very large table overflow when multiplied as integers
+        F.col("n_pos").cast("double") * F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))
     )
     return ledger.groupBy(*by).agg(
         (F.lit(1.0) - ratio_or_null(wrong, pos.cast("double") * neg)).alias("auroc"),

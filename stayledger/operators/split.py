@@ -90,7 +90,7 @@ def _held_out(
         .agg(F.count("*").alias("_n"))
         .withColumn("_total", F.sum("_n").over(everyone))
         .withColumn("_wanted", F.ceil(F.lit(float(fraction)) * F.col("_total")))
-        .withColumn("_share", F.col("_wanted") * F.col("_n") / F.col("_total"))
+        .withColumn("_share", F.col("_wanted").cast("double") * F.col("_n") / F.col("_total"))
         .withColumn("_whole", F.floor("_share"))
         .withColumn(
             "_order",

@@ -392,7 +392,7 @@ def cohort_violations(t):
 
 @query(
     """WITH s AS (SELECT l_suppkey, CASE WHEN l_linenumber < 5 THEN 'train' WHEN l_linenumber = 5 THEN 'validation'
- ELSE 'test' END AS split FROM lineitem WHERE l_discount > 0.09)
+ ELSE 'test' END AS split FROM lineitem)
  SELECT 'train-validation' AS split_pair, (SELECT count(*) FROM (SELECT l_suppkey FROM s WHERE split = 'train'
    INTERSECT SELECT l_suppkey FROM s WHERE split = 'validation')) AS shared_entities
  UNION ALL SELECT 'train-test', (SELECT count(*) FROM (SELECT l_suppkey FROM s WHERE split = 'train'
@@ -403,7 +403,7 @@ def cohort_violations(t):
 def split_leakage(t):
     """A row-level split leaks suppliers; the table says how many per pair."""
     line = F.col("l_linenumber")
-    rows = t.lineitem.where(F.col("l_discount") > 0.09).select(
+    rows = t.lineitem.select(
         "l_suppkey",
         F.when(line < 5, "train")
         .when(line == 5, "validation")

@@ -366,7 +366,7 @@ def shap_dependence(t):
 def shap_summary_points(t):
     contributions = _contributions(t)
     return explain.summary_points(
-        contributions, explain.global_importance(contributions), top=5
+        contributions, explain.global_importance(contributions), top=20
     )
 
 
@@ -445,10 +445,10 @@ def dependence_of_contributions(t):
 
 @query(
     f"""WITH {CONTRIBUTIONS_SQL} SELECT row_id, feature, shap_value FROM contributions
- WHERE feature IN (SELECT feature FROM importance WHERE importance_rank <= 2)"""
+ WHERE feature IN (SELECT feature FROM importance WHERE importance_rank <= 20)"""
 )
 def summary_of_contributions(t):
     contributions = _event_contributions(t)
     return explain.summary_points(
-        contributions, explain.global_importance(contributions), top=2
+        contributions, explain.global_importance(contributions), top=20
     ).select("row_id", "feature", "shap_value")
