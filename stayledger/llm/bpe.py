@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import table
 
 #: Words whose encodings a task remembers at a time.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 #: Texts whose new words are encoded together.
 SLICE = 1000
 NEVER = 1 << 60
