@@ -5,8 +5,8 @@ P(grade > k) = logistic(w.x - cut_k): one weight per word serves every threshold
 increase, and the expected severity is the sum of those probabilities. x holds 1 for each
 word of the text that is in the vocabulary.
 
-The vocabulary is chosen from counts over all labelled rows; the weights are fitted on a
-bounded sample of them, `sample` rows at most. Null or wordless text: no word is present,
+Vocabulary and weights are learned from a bounded sample of the labelled documents,
+`sample` rows at most. Null or wordless text: no word is present,
 so it gets the severity of the intercept and is not toxic. Repeated labels of a document
 count as one, the most severe; labels that are null are left out. No labels: severity 0.
 """
@@ -17,12 +17,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
 
-#: Words that carry weight; labelled rows the weights are fitted on; L2 penalty.
+#: Words that carry weight; labelled rows that are learned from; L2 penalty.
 WORDS, SAMPLE, PENALTY = 2048, 20_000, 1.0
 #: Chi-square a word needs: about one chance in ten million, so that few of many words pass by luck.
 EVIDENCE = 28.0
@@ -34,12 +34,18 @@ def present(text: str | None, index: dict) -> list[int]:
     return sorted({index[w] for w in set(PATTERN.findall((text or "").lower())) if w in index})
 
 
-def grades(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(id, text, grade) of the labelled documents."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """(text, grade) of at most `sample` labelled documents, by a hash of the id.
+
+    The sample is drawn from the labels alone, so its ids, bounded in number, go to the
+    documents and no text is shuffled but its own.
+    """
     toxic, quality = F.col("toxic"), F.coalesce(F.col("quality"), F.lit(1))
     grade = F.when(toxic == 0, 0).when(quality == 0, 2).otherwise(1)
     marked = labels.where(toxic.isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(grade).alias("grade"))
-    return docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(marked, "doc_id")
+    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    found = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
+    return found.dropDuplicates(["doc_id"]).select("text", "grade")
 
 
 def vocabulary(labelled: DataFrame, words: int) -> list[str]:
@@ -140,7 +146,7 @@ def fit(rows: list[list[int]], grade: np.ndarray, size: int, penalty: float = PE
 
 def learn(docs: DataFrame, labels: DataFrame, words: int = WORDS, sample: int = SAMPLE) -> dict:
     """Vocabulary, weights and cuts from the labelled documents."""
-    labelled = grades(docs, labels)
+    labelled = labelled_sample(docs, labels, sample)
     chosen = vocabulary(labelled, words)
     index = {w: i for i, w in enumerate(chosen)}
     shared = docs.sparkSession.sparkContext.broadcast(index)
@@ -150,10 +156,7 @@ def learn(docs: DataFrame, labels: DataFrame, words: int = WORDS, sample: int =
             found = [present(t, shared.value) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["grade", "x"])
 
-    # the same number of rows of each grade at most, in the order of a hash of the id
-    turn = F.row_number().over(Window.partitionBy("grade").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    keep = labelled.select("doc_id", "grade").withColumn("turn", turn).where(F.col("turn") <= sample // 3).select("doc_id").distinct()
-    rows = labelled.join(keep, "doc_id", "left_semi").select("text", "grade").mapInArrow(run, "grade int, x array<int>").collect()
+    rows = labelled.mapInArrow(run, "grade int, x array<int>").collect()
     weights, cuts = fit([r.x for r in rows], np.array([r.grade for r in rows], np.int64), len(index))
     return {"index": index, "weights": weights, "cuts": cuts}
 
