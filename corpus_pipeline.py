@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from stayledger.llm import bpe, decontaminate, language, lines, simhash
 from stayledger.llm.common import Workspace, table
 
-#: A near-duplicate differs in at most so many of 64 bits over shingles of so many words.
-SHINGLE, RADIUS = 5, 6
+#: Near-duplicates share so much (Jaccard) of their shingles of so many words.
+SHINGLE, SIMILARITY = 5, 0.8
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the least id."""
-    groups = simhash.near_duplicates(docs, width=SHINGLE, radius=RADIUS)
+    groups = simhash.similar_groups(docs, width=SHINGLE, similarity=SIMILARITY)
     first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi")
     # rows that repeat an id are one document
