@@ -56,13 +56,14 @@ def test_undefined_areas_are_null(spark):
 
 
 def test_known_confusion(spark):
-    df = frame(spark, [0, 0, 1, 1], [0.10, 0.60, 0.70, 0.20])
+    # 0.5 itself is flagged
+    df = frame(spark, [1, 0, 1, 0, 1, 0, 0], [0.52, 0.51, 0.49, 0.03, 0.88, 0.5, 0.44])
     r = metrics.classification_metrics(df, **ON, threshold=0.5).first()
-    assert [r[c] for c in ("true_negatives", "false_positives", "false_negatives", "true_positives")] == [1] * 4
-    assert r["recall_sensitivity"] == r["specificity"] == 0.5
-    assert r["patients_flagged"] == 2 and r["flagged_percentage"] == 0.5
+    assert [r[c] for c in ("true_negatives", "false_positives", "false_negatives", "true_positives")] == [2, 2, 1, 2]
+    assert r["recall_sensitivity"] == pytest.approx(2 / 3) and r["specificity"] == 0.5
+    assert r["patients_flagged"] == 4 and r["flagged_percentage"] == pytest.approx(4 / 7)
     cells = {(c["actual"], c["predicted"]): c["n"] for c in metrics.confusion_matrix(df, **ON).collect()}
-    assert cells == {(0, 0): 1, (0, 1): 1, (1, 0): 1, (1, 1): 1}
+    assert cells == {(0, 0): 2, (0, 1): 2, (1, 0): 1, (1, 1): 2}
 
 
 def test_empty_denominators(spark):
@@ -74,18 +75,18 @@ def test_empty_denominators(spark):
 
 
 def test_separable_scores(spark):
-    df = frame(spark, [0, 1, 0, 1, 0, 1], [0.1, 0.9, 0.2, 0.8, 0.3, 0.7])
+    df = frame(spark, [1, 1, 0, 0, 0], [0.41, 0.97, 0.4, 0.02, 0.4])
     r = metrics.discrimination_metrics(df, **ON).first()
     assert r["auroc"] == 1.0 and r["auprc"] == 1.0
 
 
 def test_probability_quality(spark):
-    df = frame(spark, [0, 1, 0, 1], [0.1, 0.8, 0.2, 0.9])
+    df = frame(spark, [1, 0, 0], [0.6, 0.25, 0.5])
     r = metrics.probability_metrics(df, **ON).first()
-    assert r["brier_score"] == pytest.approx(0.025)
-    want = -(math.log(0.9) + math.log(0.8) + math.log(0.8) + math.log(0.9)) / 4
+    assert r["brier_score"] == pytest.approx((0.16 + 0.0625 + 0.25) / 3)
+    want = -(math.log(0.6) + math.log(0.75) + math.log(0.5)) / 3
     assert r["log_loss"] == pytest.approx(want)
-    assert r["observed_event_rate"] == 0.5 and r["mean_predicted_risk"] == pytest.approx(0.5)
+    assert r["observed_event_rate"] == pytest.approx(1 / 3) and r["mean_predicted_risk"] == pytest.approx(0.45)
 
 
 def test_certain_and_wrong_is_clipped(spark):
@@ -94,23 +95,23 @@ def test_certain_and_wrong_is_clipped(spark):
 
 
 def test_sweep_has_a_row_per_threshold(spark):
-    df = frame(spark, [0, 0, 1, 1], [0.1, 0.3, 0.6, 0.8])
-    rows = metrics.threshold_sweep(df, **ON, thresholds=[0.2, 0.5, 0.7]).orderBy("threshold").collect()
-    assert [r["threshold"] for r in rows] == [0.2, 0.5, 0.7]
-    assert [r["true_positives"] for r in rows] == [2, 2, 1]
+    df = frame(spark, [1, 0, 1, 1, 0], [0.15, 0.35, 0.45, 0.95, 0.65])
+    rows = metrics.threshold_sweep(df, **ON, thresholds=[0.4, 0.65, 0.9]).orderBy("threshold").collect()
+    assert [r["threshold"] for r in rows] == [0.4, 0.65, 0.9]
+    assert [(r["true_positives"], r["false_positives"]) for r in rows] == [(2, 1), (1, 1), (1, 0)]
     with pytest.raises(ValueError):
         metrics.threshold_sweep(df, **ON, thresholds=[1.2])
 
 
 def test_review_capacity(spark):
-    df = frame(spark, [1, 0, 0, 1, 0], [0.9, 0.8, 0.2, 0.7, 0.1])
+    df = frame(spark, [0, 1, 1, 0, 1, 0, 0, 1], [0.33, 0.66, 0.12, 0.77, 0.91, 0.05, 0.48, 0.59])
     rows = {
         r["review_capacity_percentage"]: r
-        for r in metrics.review_capacity(df, **ON, row_id="id", capacities=[0.2, 0.4]).collect()
+        for r in metrics.review_capacity(df, **ON, row_id="id", capacities=[0.25, 0.6]).collect()
     }
-    assert (rows[0.2]["patients_reviewed"], rows[0.2]["deaths_captured"]) == (1, 1)
-    assert (rows[0.4]["patients_reviewed"], rows[0.4]["deaths_captured"]) == (2, 1)
-    assert rows[0.4]["false_alerts_among_reviewed"] == 1
+    assert (rows[0.25]["patients_reviewed"], rows[0.25]["deaths_captured"]) == (2, 1)
+    assert (rows[0.6]["patients_reviewed"], rows[0.6]["deaths_captured"]) == (5, 3)
+    assert rows[0.6]["false_alerts_among_reviewed"] == 2
     with pytest.raises(ValueError):
         metrics.review_capacity(df, **ON, row_id="id", capacities=[0.0])
 
@@ -177,7 +178,7 @@ def test_context_skips_absent_columns(spark):
 
 
 def test_picks(spark):
-    sweep = metrics.threshold_sweep(frame(spark, [0, 0, 1, 1], [0.1, 0.3, 0.6, 0.8]), **ON)
+    sweep = metrics.threshold_sweep(frame(spark, [0, 0, 1, 1], [0.12, 0.33, 0.58, 0.83]), **ON)
     assert metrics.best_f1(sweep).first()["threshold"] == 0.4
     assert metrics.high_sensitivity(sweep).first()["threshold"] == 0.4
     labels = metrics.operational_thresholds(sweep).where(F.col("threshold") == 0.2).first()
@@ -196,7 +197,7 @@ def test_models_are_ordered_by_average_precision(spark):
 
 
 def test_curves_end_at_one(spark):
-    df = frame(spark, [0, 1, 0, 1], [0.1, 0.4, 0.35, 0.8])
+    df = frame(spark, [0, 1, 0, 1], [0.2, 0.6, 0.7, 0.9])
     roc = ledger.roc_points(df, **ON).orderBy("fpr", "tpr").collect()
     assert roc[-1]["fpr"] == roc[-1]["tpr"] == 1.0
     pr = ledger.pr_points(df, **ON).orderBy("threshold").collect()
