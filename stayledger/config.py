@@ -234,11 +234,18 @@ class FeatureConfig:
     REQUIRED = ("target_column", "retained_feature_columns")
 
     @classmethod
-    def load(cls, path: str | Path) -> FeatureConfig:
-        path = Path(path)
-        if not path.exists():
+    def load(cls, path: str | Path, spark=None) -> FeatureConfig:
+        """Read a saved config; with a session, from any store that Spark reads."""
+        if spark is not None:
+            rows = spark.read.text(str(path), wholetext=True).take(2)
+            if len(rows) != 1:
+                raise ValueError(f"{path} holds {len(rows)} files, not one feature config")
+            body = rows[0][0]
+        elif Path(path).exists():
+            body = Path(path).read_text(encoding="utf-8")
+        else:
             raise FileNotFoundError(f"feature config not found: {path}")
-        raw = json.loads(path.read_text(encoding="utf-8"))
+        raw = json.loads(body)
         absent = sorted(set(cls.REQUIRED) - set(raw))
         if absent:
             raise ValueError(f"feature config lacks required keys: {absent}")
@@ -251,7 +258,12 @@ class FeatureConfig:
         rest = {key: value for key, value in raw.items() if key not in known}
         return cls(**typed, extra=rest)
 
-    def save(self, path: str | Path) -> None:
+    def save(self, path: str | Path, spark=None) -> None:
+        """Write as JSON; with a session, as a one-file folder beside a model it saved."""
         body = asdict(self)
         body.update(body.pop("extra"))
+        if spark is not None:
+            one = spark.createDataFrame([(json.dumps(body),)], "value string")
+            one.coalesce(1).write.mode("overwrite").text(str(path))
+            return
         Path(path).write_text(json.dumps(body, indent=2), encoding="utf-8")

@@ -891,11 +891,21 @@ def final_predictions(t):
 # --- sinks -----------------------------------------------------------------------------------------------------
 
 
-@query(f"WITH {star.SCORED_ORDERS_SQL} SELECT * FROM scored")
+@query(
+    f"""WITH {star.SCORED_ORDERS_SQL} SELECT scored.*, CASE stay_id % 5 WHEN 1 THEN ''
+ WHEN 2 THEN 'two' || chr(10) || '"quoted", lines' WHEN 3 THEN ' padded ' WHEN 4 THEN 'back\\slash' END AS note FROM scored"""
+)
 def export_predictions(t):
-    """Predictions written as CSV and read back."""
+    """Predictions with a free text written as CSV and read back."""
     path = f"{shared_folder(t.spark)}/predictions-{uuid.uuid4().hex}"
-    return tables.export_predictions(star.scored_orders(t), path)
+    kind = F.col("stay_id") % 5
+    note = (
+        F.when(kind == 1, "")
+        .when(kind == 2, 'two\n"quoted", lines')
+        .when(kind == 3, " padded ")
+        .when(kind == 4, "back\\slash")
+    )
+    return tables.export_predictions(star.scored_orders(t).withColumn("note", note), path)
 
 
 @query(

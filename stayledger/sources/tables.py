@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -159,20 +160,37 @@ def load_splits(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, D
     return tuple(load_split(spark, path, s) for s in ("train", "validation", "test"))
 
 
+#: Text survives as it is: quotes doubled, line ends and blanks kept.
+CSV_TEXT = {
+    "escape": '"',
+    "lineSep": "\n",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 # --- writers ----------------------------------------------------------------------------------
 
 
 def write_table(df: DataFrame, path: str, *, format: str = "parquet") -> str:
+    """Write a table; in CSV a NULL is an empty field and an empty text is ``""``."""
     writer = df.write.mode("overwrite").format(format)
     if format == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(header=True, **CSV_TEXT)
     writer.save(path)
     return path
 
 
 def read_back(spark: SparkSession, path: str, like: DataFrame, *, format: str) -> DataFrame:
+    """Read what ``write_table`` wrote; a CSV text may hold line ends, so a part file is one task."""
     if format == "csv":
-        return read_csv(spark, path, like.schema)
+        # the reader gives quoted empty fields this name, which tells them from NULL
+        empty = uuid.uuid4().hex
+        saved = read_csv(spark, path, like.schema, multiLine=True, emptyValue=empty, **CSV_TEXT)
+        text = [f.name for f in saved.schema.fields if isinstance(f.dataType, T.StringType)]
+        return saved.withColumns(
+            {c: F.when(F.col(f"`{c}`") == empty, "").otherwise(F.col(f"`{c}`")) for c in text}
+        )
     return spark.read.format(format).load(path)
 
 

@@ -59,6 +59,13 @@ def test_roundtrip(spark, tmp_path, format):
     assert (row["rows_before"], row["rows_after"], row["id_repeated"], row["same_content"]) == (2, 2, 0, True)
 
 
+def test_csv_keeps_text_as_it_is(spark, tmp_path):
+    texts = ["", None, "a\nb", "a\r\nb", 'say "x", y', " padded ", "back\\slash", "\\N", '"', "#", "null"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    got = tables.export_predictions(df, str(tmp_path / "texts")).orderBy("id").collect()
+    assert [r["text"] for r in got] == texts
+
+
 def test_metadata(spark, tmp_path):
     record = spark.createDataFrame([("forest", 0.5)], "model string, auprc double")
     assert tables.write_metadata(record, str(tmp_path / "m")).first() == record.first()
@@ -81,5 +88,12 @@ def test_feature_config(tmp_path):
         FeatureConfig.load(tmp_path / "none.json")
 
 
+def test_feature_config_through_spark(spark, tmp_path):
+    config = FeatureConfig("y", ("a", "b"), extra={"note": "two words"})
+    config.save(tmp_path / "config", spark)
+    config.save(tmp_path / "config", spark)
+    assert FeatureConfig.load(tmp_path / "config", spark) == config
+
+
 def test_shared_folder_follows_the_setting(spark, tmp_path):
     assert shared_folder(spark) == shared_folder(spark)
