@@ -21,7 +21,6 @@ from stayledger.operators.cohort import (
 from stayledger.plans.registry import Tables
 
 WINDOW_HOURS = 168
-ITEM_CODES = 200
 
 # Labels dealt to the dictionary rows in turn.
 VITAL_LABELS = (
@@ -236,20 +235,22 @@ def d_labitems(t: Tables) -> DataFrame:
     )
 
 
-def _measured() -> list[Column]:
+def _measured(t: Tables) -> list[Column]:
+    # events are dealt to all rows of the dictionary
+    items = t.part.agg(F.count("*")).scalar()
     return [
-        F.pmod(F.col("event_id"), F.lit(ITEM_CODES)).cast("int").alias("itemid"),
+        F.pmod(F.col("event_id"), items).cast("int").alias("itemid"),
         F.col("ts").alias("charttime"),
         F.when(F.col("event_id") % 17 != 0, F.col("value")).alias("valuenum"),
     ]
 
 
 def chartevents(t: Tables) -> DataFrame:
-    return t.events.select((F.col("user_id") * 10 + 2).alias("stay_id"), *_measured())
+    return t.events.select((F.col("user_id") * 10 + 2).alias("stay_id"), *_measured(t))
 
 
 def labevents(t: Tables) -> DataFrame:
-    return t.events.select((F.col("user_id") * 10 + 1).alias("hadm_id"), *_measured())
+    return t.events.select((F.col("user_id") * 10 + 1).alias("hadm_id"), *_measured(t))
 
 
 def user_cohort(t: Tables) -> DataFrame:
@@ -317,10 +318,10 @@ d_labitems AS (
          p_brand AS fluid, p_type AS category
   FROM part),
 chartevents AS (
-  SELECT user_id * 10 + 2 AS stay_id, CAST(event_id % {ITEM_CODES} AS INTEGER) AS itemid, ts AS charttime,
+  SELECT user_id * 10 + 2 AS stay_id, CAST(event_id % (SELECT count(*) FROM part) AS INTEGER) AS itemid, ts AS charttime,
          CASE WHEN event_id % 17 <> 0 THEN value END AS valuenum FROM events),
 labevents AS (
-  SELECT user_id * 10 + 1 AS hadm_id, CAST(event_id % {ITEM_CODES} AS INTEGER) AS itemid, ts AS charttime,
+  SELECT user_id * 10 + 1 AS hadm_id, CAST(event_id % (SELECT count(*) FROM part) AS INTEGER) AS itemid, ts AS charttime,
          CASE WHEN event_id % 17 <> 0 THEN value END AS valuenum FROM events)"""
 
 
@@ -379,7 +380,7 @@ def model_scores(t: Tables) -> DataFrame:
                 ),
                 F.struct(
                     F.lit("Blend").alias("model"),
-                    ((F.col("p") + F.col("y")) / 2.0).alias("p"),
+                    ((F.col("p") + knuth_hash(F.col("stay_id")) / 4294967296.0) / 2.0).alias("p"),
                 ),
             )
         ),
@@ -393,7 +394,8 @@ scored AS (
   SELECT stay_id, y, 'Hash Model',
          ((stay_id % 2147483648) * 2654435761 % 4294967296) / CAST(4294967296 AS DOUBLE) FROM one_score
   UNION ALL
-  SELECT stay_id, y, 'Blend', (p + y) / CAST(2 AS DOUBLE) FROM one_score)"""
+  SELECT stay_id, y, 'Blend', (p + ((stay_id % 2147483648) * 2654435761 % 4294967296) / CAST(4294967296 AS DOUBLE))
+         / CAST(2 AS DOUBLE) FROM one_score)"""
 
 
 # --- modelling rows ----------------------------------------------------------------------------
