@@ -207,11 +207,15 @@ def shap_additivity(
 # --- importance ----------------------------------------------------------------------------
 
 
-def global_importance(contributions: DataFrame) -> DataFrame:
-    """(feature, mean_absolute_shap, importance_rank 1..n)."""
-    means = contributions.groupBy("feature").agg(
-        F.avg(F.abs("shap_value")).alias("mean_absolute_shap")
-    )
+def global_importance(contributions: DataFrame, *, rows: int | None = None) -> DataFrame:
+    """(feature, mean_absolute_shap, importance_rank 1..n).
+
+    ``rows``: the number of explained rows, needed where only non-zero contributions
+    were kept, as those left out count in the mean.
+    """
+    size = F.abs("shap_value")
+    mean = F.avg(size) if rows is None else F.sum(size) / F.lit(float(rows))
+    means = contributions.groupBy("feature").agg(mean.alias("mean_absolute_shap"))
     # one row per model feature
     order = Window.partitionBy(F.lit(0)).orderBy(
         F.col("mean_absolute_shap").desc(), F.col("feature").asc()

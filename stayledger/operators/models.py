@@ -29,6 +29,7 @@ from stayledger.operators.prep import TabularPreprocessor
 
 SCORE = "predicted_probability"
 WEIGHT = "_class_weight"
+MAX_BINS = 32  # Spark's default; more bins come closer to exact splits, at a cost per fit
 DEEPEST_TREE = 30  # Spark ML's limit, used where a tree's depth is left open
 
 
@@ -210,8 +211,10 @@ def build_random_forest(
     min_samples_leaf: int = 5,
     max_features: str | float = "sqrt",
     class_weight: str | None = "balanced",
+    max_bins: int = MAX_BINS,
     seed: int = SEED,
 ) -> Pipeline:
+    """Random forest; a number is split at one of at most ``max_bins - 1`` of its quantiles."""
     forest = RandomForestClassifier(
         labelCol=target,
         weightCol=WEIGHT,
@@ -219,6 +222,7 @@ def build_random_forest(
         maxDepth=DEEPEST_TREE if max_depth is None else max_depth,
         minInstancesPerNode=min_samples_leaf,
         featureSubsetStrategy=str(max_features),
+        maxBins=max_bins,
         seed=seed,
     )
     weights = ClassWeights(labelCol=target, mode=class_weight or "none")
@@ -236,13 +240,14 @@ def build_boosted_trees(
     min_child_weight: float = 5,
     subsample: float = 0.8,
     colsample_bytree: float = 0.8,
+    max_bins: int = MAX_BINS,
     seed: int = SEED,
 ) -> Pipeline:
     """Gradient-boosted trees with logistic loss.
 
     Columns are sampled per node rather than per tree, leaves have no L2 term,
     and ``min_child_weight`` is a row count.  ``positive_weight`` 0 means
-    negatives / positives of the rows fitted on.
+    negatives / positives of the rows fitted on.  ``max_bins`` as in the forest.
     """
     boosted = GBTClassifier(
         labelCol=target,
@@ -254,6 +259,7 @@ def build_boosted_trees(
         subsamplingRate=subsample,
         featureSubsetStrategy=str(float(colsample_bytree)),
         lossType="logistic",
+        maxBins=max_bins,
         seed=seed,
     )
     weights = ClassWeights(

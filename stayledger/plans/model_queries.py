@@ -1,8 +1,8 @@
 """Models, calibration and explanations on labelled documents.
 
 Settings here are small so the queries run anywhere; the operators' defaults are
-the full ones.  Fitted models are kept per folder and session, because several
-queries look at the same fit.
+the full ones.  A query fits what it needs itself; a fit named twice inside one
+query is made once.
 """
 
 from __future__ import annotations
@@ -26,18 +26,15 @@ FOREST = {"n_estimators": 20, "max_depth": 4, "min_samples_leaf": 5}
 BOOSTED = {"n_estimators": 8, "learning_rate": 0.1, "max_depth": 3}
 FOLDS = 3
 
-_kept: dict[tuple, object] = {}
-
-
 def kept(fn):
-    """Remember a fit for the session and folder it was made in."""
+    """Remember a fit for the run of one query, which has its own ``Tables``."""
 
     @wraps(fn)
     def run(t: Tables):
-        key = (fn.__name__, t.spark.sparkContext.applicationId, t.folder)
-        if key not in _kept:
-            _kept[key] = fn(t)
-        return _kept[key]
+        made = vars(t).setdefault("_made", {})
+        if fn.__name__ not in made:
+            made[fn.__name__] = fn(t)
+        return made[fn.__name__]
 
     return run
 
