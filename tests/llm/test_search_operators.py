@@ -206,3 +206,24 @@ def test_pipeline_stages_take_odd_tables(spark):
     for rows in (odd, []):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, spark.createDataFrame(rows, schema), "/root/testdata/sf0.001").count()
+
+
+def test_similar_groups_of_a_template(spark):
+    """Texts of one template around the bound: refused pairs must not take the place of true ones."""
+    rng = np.random.default_rng(4)
+    word = np.array([f"w{i}" for i in range(3000)])
+    rows = []
+    for k in range(12):
+        base = rng.choice(word, 204)
+        for c in range(24):
+            copy = base.copy()
+            at = rng.choice(np.arange(2, 202, 5), rng.integers(2, 6), replace=False)
+            copy[at] = [f"x{k}-{c}-{i}" for i in at]
+            rows.append((100 * k + c, " ".join(copy)))
+    sets = [shingles(r[1]) for r in rows]
+    share = {(i, j): jaccard(sets[i], sets[j]) for i in range(len(rows)) for j in range(i) if rows[i][0] // 100 == rows[j][0] // 100}
+    label = roots(len(rows), [p for p, s in share.items() if s >= 0.8])
+    assert sum(0.65 <= s < 0.8 for s in share.values()) > 500 and len(set(label)) > 24
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()}
+    wrong = [r[0] for i, r in enumerate(rows) if got[r[0]] != rows[label[i]][0]]
+    assert len(wrong) <= 0.01 * len(rows), wrong
