@@ -3,7 +3,8 @@
 Each stage reads what its predecessor kept and returns the columns of documents; the last
 returns token digests. Nulls, empty texts and repeated rows follow the operators' rules:
 a null or letterless text has no language and goes; other empty texts are kept once, as
-one group of near-duplicates.
+one group of near-duplicates. Near-duplicates are told by whole rows, not by ids: a null id
+or one that other texts bear too costs no document.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayledger.llm import bpe, decontaminate, language, lines, simhash
-from stayledger.llm.common import Workspace, table
+from stayledger.llm.common import Workspace, table, text_key
 
 #: Near-duplicates share so much (Jaccard) of their shingles of so many words.
 SHINGLE, SIMILARITY = 5, 0.8
@@ -35,12 +36,16 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the least id."""
-    groups = simhash.similar_groups(docs, width=SHINGLE, similarity=SIMILARITY)
-    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi")
-    # rows that repeat an id are one document
-    return kept.dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One row of each group of near-duplicates: the one with the least id, nulls last.
+
+    Rows of one id are ordered by text and then by the other columns; equal rows are one.
+    """
+    kind = docs.schema["doc_id"].dataType
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0).cast(kind)).alias("doc_id"), *text_key("text"), F.xxhash64(*docs.columns).alias("rest"))
+    keyed = docs.withColumn("_key", key)
+    groups = simhash.similar_groups(keyed, id_col="_key", width=SHINGLE, similarity=SIMILARITY)
+    first = groups.where(F.col("_key") == F.col("component_id")).select("_key").distinct()
+    return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

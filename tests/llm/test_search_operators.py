@@ -227,3 +227,12 @@ def test_similar_groups_of_a_template(spark):
     got = {r.doc_id: r.component_id for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()}
     wrong = [r[0] for i, r in enumerate(rows) if got[r[0]] != rows[label[i]][0]]
     assert len(wrong) <= 0.01 * len(rows), wrong
+
+
+def test_near_duplicate_stage_keeps_null_and_repeated_ids(spark):
+    one, two, three = (" ".join(f"{name}{i}" for i in range(60)) for name in "abc")
+    rows = [(None, one), (None, two), (7, two), (8, three), (8, f"{three} end"), (9, "nine " * 3), (9, "other words"), (9, "other words"), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").select("doc_id", "text").collect())
+    assert kept.total() == 6 and all(kept[k] == 1 for k in [(None, one), (7, two), (9, "nine " * 3), (9, "other words")])
+    assert kept[8, three] + kept[8, f"{three} end"] == 1 and kept[None, None] + kept[None, ""] == 1
