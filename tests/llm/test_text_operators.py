@@ -70,6 +70,38 @@ def test_language_of_nothing(docs, no_docs):
     assert language.identify(no_docs, model).count() == 0
 
 
+def test_language_rare_scripts_beside_a_hot_one(spark):
+    """Letters beyond the dense table tell languages apart: words differ in nothing but letters."""
+    rng = np.random.default_rng(6)
+    hot = [chr(c) for c in range(0x61, 0x7B)] + [chr(c) for c in range(0xE0, 0x180) if chr(c).isalpha() and chr(c).lower() == chr(c)]
+    scripts = {"ru": "абвгдежзик", "bg": "лмнопрстуф", "el": "αβγδεζηθικ", "zh": "的一是不了人我在有他", "ja": "のにはをたがでとしれ"}
+    assert len(hot) > language.LETTERS
+
+    def text(letters):
+        return " ".join("".join(rng.choice(list(letters), 3)) for _ in range(40))
+
+    train = [(text(hot), "xx") for _ in range(400)] + [(text(letters), lang) for lang, letters in scripts.items() for _ in range(8)]
+    model = language.learn(spark.createDataFrame(train, "text string, lang string").repartition(3))
+    asked = [(lang, text(letters)) for lang, letters in [*scripts.items(), ("xx", hot)] for _ in range(5)]
+    got = language.identify(spark.createDataFrame(asked, "doc_id string, text string"), model).collect()
+    assert len(got) == len(asked) and all(r.lang_pred == r.doc_id for r in got)
+
+
+def test_language_other_grams_by_hand(monkeypatch):
+    codes = np.zeros(0x110000, np.uint8)
+    codes[ord("a")], codes[ord("я")], codes[ord("中")] = 1, language.LETTERS + 1, language.LETTERS + 1
+    ya, zh = 63 + ord("я"), 63 + ord("中")
+    coded = language.encode("aя 中", codes)
+    assert coded.tolist() == [0, 1, ya, 0, zh, 0]
+    one, two = (x << 42 for x in language.SHORT[::-1])
+    want = {one | ya: 1, one | zh: 1, two | 1 << 21 | ya: 1, two | ya << 21: 1, two | zh: 1, two | zh << 21: 1, 1 << 21 | ya: 1, 1 << 42 | ya << 21: 1, zh << 21: 1}
+    for slab in (language.SLAB, 2):
+        monkeypatch.setattr(language, "SLAB", slab)
+        assert dict(zip(*(x.tolist() for x in language.other_counts(coded)), strict=True)) == want
+        count = language.gram_counts(coded)
+        assert count.sum() == 2 and count[language.TWO + 1] == 1 and count[language.ONE + 1] == 1
+
+
 # ---- toxicity ----
 
 
