@@ -3,13 +3,14 @@
 Events of the standard library's parser are folded into lines, one per block of text.
 A line's text-to-tag ratio is its characters over its tags, links counted as tags of
 their own; ratios are smoothed with a Gaussian along the page and split into two clusters.
-Lines of the upper cluster are content. The innermost element that holds most of their
-text is the article; its lines stand, short ones between long ones included, but not
+Lines of the upper cluster, and headings of the first level, are content. Article and main
+parts that together hold most of their text are the article; without such, the innermost
+element that holds all of them is. Its lines stand, short ones between long ones included, but not
 lines that are mostly links nor those in parts named as something else (navigation,
 header, footer, aside, form, script, advert, notice, comments).
 
 Null, empty or text-free html: empty text, 0 characters. Tags left open are closed by
-what follows them. Repeated rows are judged each for itself.
+what follows them; a link that is never closed ends with its block. Repeated rows are judged each for itself.
 """
 
 from __future__ import annotations
@@ -54,16 +55,37 @@ class Lines(HTMLParser):
         self.text: list[str] = []
         self.tags = 0
         self.links = 0
-        self.link_depth = 0
+        self.late = 0  # linked characters of the line if a link from an earlier block is closed yet
+        self.unsure: list[tuple] = []  # (line, such characters)
+        self.link = self.past = False  # within a link; past the block it began in
         self.number = 0
+        self.kinds: dict[int, str] = {}
+        self.heading = False
         self.state = (False, False, False, ())
 
     def flush(self):
         text = " ".join("".join(self.text).split())
         if text:
             excluded, _, hidden, path = self.state
-            self.out.append({"text": text, "tags": self.tags, "links": self.links, "out": excluded or hidden, "path": path})
-        self.text, self.tags, self.links = [], 0, 0
+            self.out.append({"text": text, "tags": self.tags, "links": self.links, "out": excluded or hidden, "path": path, "heading": self.heading})
+            self.unsure.append((self.out[-1], self.late))
+        self.text, self.tags, self.links, self.late, self.heading = [], 0, 0, 0, False
+        self.past = self.link
+
+    def end_link(self, closed: bool):
+        """The link ends, by its end tag or by what follows it."""
+        if self.link and closed:
+            self.links += self.late
+            for line, late in self.unsure:
+                line["links"] += late
+        self.link, self.past, self.late, self.unsure = False, False, 0, []
+
+    def close_from(self, k: int):
+        """Close the k-th open element and those in it."""
+        if any(x[0] == "a" for x in self.open[k + 1 :]):
+            self.end_link(False)
+        self.state = self.open[k][1]
+        del self.open[k:]
 
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
@@ -78,7 +100,9 @@ class Lines(HTMLParser):
         if tag in ("li", "td", "th", "tr", "dt", "dd", "option"):
             self.close_open({tag} | ({"td", "th"} if tag in ("td", "th", "tr") else set()) | ({"dt", "dd"} if tag in ("dt", "dd") else set()), stop=("ul", "ol", "table", "dl", "select"))
         if tag == "a":
-            self.link_depth = 1
+            self.end_link(False)
+            self.link = True
+        self.heading = self.heading or tag == "h1"
         excluded, comments, hidden, path = self.state
         values = dict(attrs)
         named = " ".join(values.get(k) or "" for k in ("class", "id"))
@@ -93,6 +117,7 @@ class Lines(HTMLParser):
             excluded = excluded and tag != "header"  # an article's own heading
         if tag in CONTAINERS:
             self.number += 1
+            self.kinds[self.number] = tag
             path = (*path, self.number)
         self.open.append((tag, self.state))
         self.state = (excluded, comments, hidden or tag in HIDDEN, path)
@@ -102,8 +127,7 @@ class Lines(HTMLParser):
         for k in range(len(self.open) - 1, -1, -1):
             tag = self.open[k][0]
             if tag in tags:
-                self.state = self.open[k][1]
-                del self.open[k:]
+                self.close_from(k)
                 return
             if tag in stop or (tags == {"p"} and tag in CONTAINERS):
                 return
@@ -113,11 +137,10 @@ class Lines(HTMLParser):
             self.flush()
         self.tags += 1
         if tag == "a":
-            self.link_depth = 0
+            self.end_link(True)
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
-                self.state = self.open[k][1]
-                del self.open[k:]
+                self.close_from(k)
                 return
 
     def handle_startendtag(self, tag, attrs):
@@ -129,7 +152,9 @@ class Lines(HTMLParser):
         if self.state[2]:
             return
         self.text.append(data)
-        if self.link_depth:
+        if self.past:
+            self.late += len(data)
+        elif self.link:
             self.links += len(data)
 
 
@@ -170,16 +195,18 @@ def main_text(html: str | None) -> str:
     content = level > two_clusters(level)
     if level.max() - level.min() < 0.5:
         content[:] = True  # one cluster only
-    held: dict[int, int] = {}
-    for x, good in zip(lines, content, strict=True):
-        if good and not x["out"]:
-            for c in x["path"]:
-                held[c] = held.get(c, 0) + len(x["text"])
-    if held:
-        most = max(held.values())
-        # the innermost element that holds most of the content
-        best = max(c for c, n in held.items() if 2 * n > most)
-        lines = [x for x in lines if best in x["path"]]
+    good = [x for x, upper in zip(lines, content, strict=True) if (upper or x["heading"]) and not x["out"]]
+    # the outermost article and main parts that hold content
+    parts = {next((c for c in x["path"] if parser.kinds[c] in ("article", "main")), 0) for x in good} - {0}
+    inside = sum(len(x["text"]) for x in good if parts & {*x["path"]})
+    if 2 * inside > sum(len(x["text"]) for x in good):
+        lines = [x for x in lines if parts & {*x["path"]}]
+    elif good:
+        # the innermost element that holds all of the content; a quotation is part of what is around it
+        shared = [c for c in good[0]["path"] if all(c in x["path"] for x in good)]
+        while shared and parser.kinds[shared[-1]] == "blockquote":
+            shared.pop()
+        lines = [x for x in lines if not shared or shared[-1] in x["path"]]
     return "\n\n".join(x["text"] for x in lines if not x["out"])
 
 

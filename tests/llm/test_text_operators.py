@@ -149,6 +149,23 @@ def test_html_article(tag, attr):
     assert html_text.main_text(PAGE.replace("{tag}", tag).replace("{attr}", attr)) == WANT
 
 
+def test_html_article_in_parts():
+    """Sections, quotations and links left open take nothing from the article."""
+    long = [f"Paragraph {k} of the text, long enough to be content by its ratio of text to tags." for k in range(6)]
+    p = [f"<p>{x}</p>" for x in long]
+    nav = "<nav><a href=1>Home</a></nav>"
+    sections = f"<h1>Title</h1>{p[0]}<section>{p[1]}{p[2]}{p[3]}{p[4]}</section><section>{p[5]}</section>"
+    want = "\n\n".join(["Title", *long])
+    for tag in ("article", "main", "div"):
+        assert html_text.main_text(f"<body>{nav}<{tag}>{sections}</{tag}></body>") == want
+    assert html_text.main_text(f"<article><h1>Title</h1>{p[0]}<blockquote>{''.join(p[1:5])}</blockquote>{p[5]}</article>") == want
+    assert html_text.main_text(f"<div><h1>Title</h1><div>{''.join(p)}</div></div>") == want
+    assert html_text.main_text(f"<article><h1>Title</h1><p><a href=1>Open link{p[0]}{p[1]}<div>{''.join(p[2:])}</div></article>") == want
+    # a link around blocks that is closed is one
+    assert html_text.main_text(f"<article><h1>Title</h1>{''.join(p)}<a href=1><h3>Teaser of another page</h3><p>Its text</p></a></article>") == want
+    assert html_text.main_text(f"<article><h1>Title</h1><div><a href=1>Open link</div>{''.join(p)}<a href=2>Next</a></article>") == want
+
+
 def test_html_odd_pages(spark):
     assert [html_text.main_text(h) for h in (None, "", "<p></p>", "plain text", "<p>a<p>b", "<<<", "<div class=ad>x</div>")] == ["", "", "", "plain text", "a\n\nb", "<<<", ""]
     pages = spark.createDataFrame([(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "<p>t</p>", "x")], "page_id long, url string, html string, text string")
