@@ -29,8 +29,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that stand on many sites."""
-    done = lines.remove_lines(docs)
+    """Documents without the lines that stand on many sites, short ones included."""
+    done = lines.remove_lines(docs, least=1)
     size = F.when(F.col("_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return done.select(*(size.alias(c) if c == "n_chars" else c for c in docs.columns))
 

@@ -7,7 +7,9 @@ from documents that say something else as well; a document of nothing but boiler
 a copy, which line removal leaves whole for near-duplicate removal.
 
 Lines are compared without the spaces around them; lines shorter than `least` characters
-never count. Null text stays null, empty text empty. A null site counts as one unnamed
+never count: they are not removed, and a document whose other lines are all boilerplate is
+left whole. The SQL states 20 characters; with 1, as in the pipeline, every line counts
+that is not blank. Null text stays null, empty text empty. A null site counts as one unnamed
 site. Repeated rows are judged alike. Only DataFrame functions are used.
 """
 

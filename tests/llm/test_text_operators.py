@@ -237,6 +237,15 @@ def test_lines_remove_boilerplate_only(spark, no_docs):
     assert lines.remove_lines(no_docs).count() == 0
 
 
+def test_pipeline_removes_short_lines(spark):
+    import corpus_pipeline
+
+    rows = [(i, f"Read more\nown {i}\n\nThis line stands on every site there is", "en", f"s{i}", 0) for i in range(12)] + [(50, "Read more\n ", "en", "s1", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_stage(spark, docs, "").collect()}
+    assert got[3] == ("own 3\n", 6) and got[50] == ("Read more\n ", 0)
+
+
 # ---- BPE ----
 
 
