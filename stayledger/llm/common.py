@@ -150,3 +150,27 @@ def components(edges: DataFrame, work: Workspace) -> DataFrame:
     stars = work.spark.read.schema("u long, v long").parquet(path)
     nodes = stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.union(stars.select(F.col("v"), F.col("v")).distinct())
+
+
+#: Keys told apart as hot are at most so many, so their facts can be broadcast.
+HOT_KEYS = 1000
+
+
+def attach(rows: DataFrame, facts: DataFrame, on: list[str]) -> DataFrame:
+    """rows LEFT JOIN facts, whose keys are unique; no key's rows are gathered.
+
+    A key with over a thousandth of the rows (and over 1000) is hot: at most HOT_KEYS are, so
+    their facts are broadcast to the rows, wherever these lie. The rest is joined by key.
+    """
+    n = rows.count()
+    often = rows.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > max(1000, n // HOT_KEYS)).select(*on)
+    hot = F.broadcast(often.limit(HOT_KEYS).withColumn("_hot", F.lit(True)))
+    marked = rows.join(hot, on, "left")
+    some = F.broadcast(facts.join(hot, on, "left_semi"))
+    cold = marked.where("_hot is null").drop("_hot").join(facts, on, "left")
+    return cold.unionByName(marked.where("_hot").drop("_hot").join(some, on, "left"))
+
+
+def pivots_of(vectors: DataFrame, order, count: int) -> DataFrame:
+    """At most `count` rows, told by a hash order: the same ones in every run."""
+    return vectors.orderBy(order).limit(count)
