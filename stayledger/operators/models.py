@@ -4,18 +4,13 @@ from __future__ import annotations
 
 import itertools
 import json
-import math
 import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -24,8 +19,10 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stayledger.config import SEED
+from stayledger.operators import boost
 from stayledger.operators.metrics import discrimination_metrics
 from stayledger.operators.prep import TabularPreprocessor
+from stayledger.session import stable
 
 SCORE = "predicted_probability"
 WEIGHT = "_class_weight"
@@ -240,27 +237,29 @@ def build_boosted_trees(
     min_child_weight: float = 5,
     subsample: float = 0.8,
     colsample_bytree: float = 0.8,
-    max_bins: int = MAX_BINS,
+    reg_lambda: float = 1.0,
+    max_bins: int = boost.MAX_BINS,
     seed: int = SEED,
 ) -> Pipeline:
-    """Gradient-boosted trees with logistic loss.
+    """Second-order boosted trees with logistic loss (see ``boost``).
 
-    Columns are sampled per node rather than per tree, leaves have no L2 term,
-    and ``min_child_weight`` is a row count.  ``positive_weight`` 0 means
-    negatives / positives of the rows fitted on.  ``max_bins`` as in the forest.
+    ``positive_weight`` 0 means negatives / positives of the rows fitted on.
     """
-    boosted = GBTClassifier(
+    settings = boost.Settings(
+        n_estimators=n_estimators,
+        learning_rate=learning_rate,
+        max_depth=max_depth,
+        min_child_weight=min_child_weight,
+        subsample=subsample,
+        colsample_bytree=colsample_bytree,
+        reg_lambda=reg_lambda,
+        seed=seed,
+    )
+    boosted = boost.BoostedTrees(
         labelCol=target,
         weightCol=WEIGHT,
-        maxIter=n_estimators,
-        stepSize=learning_rate,
-        maxDepth=max_depth,
-        minInstancesPerNode=max(1, math.ceil(min_child_weight)),
-        subsamplingRate=subsample,
-        featureSubsetStrategy=str(float(colsample_bytree)),
-        lossType="logistic",
+        settings=json.dumps(settings._asdict()),
         maxBins=max_bins,
-        seed=seed,
     )
     weights = ClassWeights(
         labelCol=target, mode="positive", positiveWeight=float(positive_weight)
@@ -378,6 +377,59 @@ class AveragePrecisionEvaluator(Evaluator, DefaultParamsReadable, DefaultParamsW
         return True
 
 
+def _settings_key(stage) -> str:
+    """Stages with equal settings have equal keys."""
+    return json.dumps(
+        {p.name: v for p, v in stage.extractParamMap().items()}, sort_keys=True, default=str
+    )
+
+
+def _fold_table(preprocessor, df: DataFrame, target: str, fold: str, k: int) -> DataFrame:
+    """All rows as features of a preprocessor fitted outside fold ``k``, written once."""
+    fitted = preprocessor.copy().fit(df.where(F.col(fold) != k))
+    output = preprocessor.getOrDefault("outputCol")
+    rows = fitted.transform(df).where(F.col(fold).isNotNull())
+    return stable(rows.select(F.col(target), (F.col(fold) == k).alias("_held"), output))
+
+
+def _boosted_scores(
+    stages: Mapping[str, tuple], tables: Mapping[int, DataFrame], target: str, pool
+) -> DataFrame:
+    """(model, fold, y, p) of boosted candidates, all fits as tasks of one job."""
+    _, trees = next(iter(stages.values()))
+    features, bins = trees.getOrDefault("featuresCol"), trees.getOrDefault("maxBins")
+    spark = next(iter(tables.values())).sparkSession
+
+    def one(k: int):
+        edges = boost.bin_edges(tables[k].where("not _held"), features, max_bins=bins)
+        key = F.monotonically_increasing_id().alias("key")
+        rows = boost.binned(
+            tables[k], features, edges, F.lit(k).alias("part"), F.col("_held").alias("held"), key, F.col(target).cast("double").alias("y")
+        )
+        counts = class_ratio(tables[k].where("not _held"), target=target).first()
+        return k, stable(rows), len(edges), counts["scale_pos_weight"]
+
+    parts = list(pool.map(inheritable_thread_target(spark)(one), tables))
+    widths = {k: width for k, _, width, _ in parts}
+    every = parts[0][1]
+    for _, rows, _, _ in parts[1:]:
+        every = every.unionByName(rows)
+    # candidates that weigh positives alike share a job
+    scored = None
+    by_weight: dict[float, list[str]] = {}
+    for name, (weights, _) in stages.items():
+        by_weight.setdefault(weights.getOrDefault("positiveWeight"), []).append(name)
+    for fixed, names in by_weight.items():
+        if not fixed and any(ratio is None for *_, ratio in parts):
+            raise ValueError("training target contains zero positive cases")
+        weights = {k: fixed or ratio for k, _, _, ratio in parts}
+        found = boost.fit_side_by_side(every, [stages[n][1].options() for n in names], widths, weights)
+        label = F.element_at(F.array(*map(F.lit, names)), F.col("candidate") + 1)
+        found = found.select(label.alias("model"), F.col("part").alias("fold"), F.col("y").alias(target), F.col("score").alias(SCORE))
+        scored = found if scored is None else scored.unionByName(found)
+    return stable(scored)
+
+
 def fold_scores(
     pipelines: Mapping[str, Pipeline],
     df: DataFrame,
@@ -389,23 +441,48 @@ def fold_scores(
 ) -> DataFrame:
     """(model, fold, auroc, auprc); everything is refitted inside each fold.
 
-    Fits are independent Spark jobs, submitted from a few threads as Spark's own
-    tuning classes do.
+    Preprocessing is fitted once per fold, and its output is written for all
+    candidates that share it.  Boosted candidates over a matrix that fits a task are
+    tasks of one job.  Other fits are Spark jobs, submitted from a few threads as
+    Spark's own tuning classes do.
     """
-
-    def one(task: tuple[str, int]) -> tuple:
-        name, k = task
-        fitted = pipelines[name].copy().fit(df.where(F.col(fold) != k))
-        held = predict_positive(fitted, df.where(F.col(fold) == k), keep=[target])
-        row = discrimination_metrics(held, target=target, probability=SCORE).first()
-        return name, k, row["auroc"], row["auprc"]
-
-    tasks = [(name, k) for name in pipelines for k in range(n_folds)]
+    spark = df.sparkSession
+    groups: dict[str, dict[str, list]] = {}
+    for name, pipeline in pipelines.items():
+        first, *rest = pipeline.getStages()
+        groups.setdefault(_settings_key(first), {})[name] = rest
+    records = []
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        records = list(pool.map(inheritable_thread_target(df.sparkSession)(one), tasks))
-    return df.sparkSession.createDataFrame(
-        records, "model string, fold int, auroc double, auprc double"
-    )
+
+        def on_pool(fn, items):
+            return list(pool.map(inheritable_thread_target(spark)(fn), items))
+
+        for names in groups.values():
+            first = pipelines[next(iter(names))].getStages()[0]
+            made = on_pool(lambda k: _fold_table(first, df, target, fold, k), range(n_folds))
+            tables = dict(enumerate(made))
+            boosted = {n: tuple(r) for n, r in names.items() if isinstance(r[-1], boost.BoostedTrees)}
+            alike: dict[tuple, dict[str, tuple]] = {}
+            for n, r in boosted.items():
+                alike.setdefault((r[-1].getOrDefault("maxBins"), r[-1].getOrDefault("taskBytes")), {})[n] = r
+            for (_, room), stages in alike.items():
+                width = made[0].select(F.size(vector_to_array(first.getOrDefault("outputCol")))).first()
+                if width is None or not boost.fits_task(made[0], width[0], room):
+                    continue
+                scored = _boosted_scores(stages, tables, target, pool)
+                areas = discrimination_metrics(scored, target=target, probability=SCORE, by=["model", "fold"])
+                records += [(r["model"], r["fold"], r["auroc"], r["auprc"]) for r in areas.collect()]
+            done = {r[0] for r in records}
+
+            def one(task: tuple[str, int]) -> tuple:
+                name, k = task
+                fitted = Pipeline(stages=[s.copy() for s in names[name]]).fit(tables[k].where("not _held"))
+                held = predict_positive(fitted, tables[k].where("_held"), keep=[target])
+                row = discrimination_metrics(held, target=target, probability=SCORE).first()
+                return name, k, row["auroc"], row["auprc"]
+
+            records += on_pool(one, [(n, k) for n in names if n not in done for k in range(n_folds)])
+    return spark.createDataFrame(records, "model string, fold int, auroc double, auprc double")
 
 
 def cv_summary(scores: DataFrame) -> DataFrame:

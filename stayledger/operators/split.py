@@ -15,6 +15,7 @@ from stayledger.session import stable
 
 HASH_RANGE = 1 << 32
 SLICES = 1024
+LARGEST = 4096  # entities dealt one by one; they alone pass through the driver
 
 
 def seeded_hash(entity: str, seed: int = SEED) -> Column:
@@ -217,3 +218,120 @@ def group_folds(
         "entity_outcome",
         F.pmod(F.col("_rank") - 1, F.lit(n_folds)).cast("int").alias("fold"),
     )
+
+
+def _deal_largest(entities, load: list[list[int]], by_positives: bool) -> list[int]:
+    """Each entity in turn goes to the fold that is shortest; ``load`` is [positives, rows] per fold."""
+    folds = []
+    for e in entities:
+        if by_positives:
+            k = min(range(len(load)), key=lambda i: (load[i][0], load[i][1], i))
+        else:
+            k = min(range(len(load)), key=lambda i: (load[i][1], i))
+        load[k][0] += e["positives"]
+        load[k][1] += e["rows"]
+        folds.append(k)
+    return folds
+
+
+def _room(load: list[int], total: int) -> list[float]:
+    """How much of ``total`` each fold takes so that all that take any end level."""
+    order = sorted(load)
+    for n in range(len(order), 0, -1):
+        level = (total + sum(order[:n])) / n
+        if level >= order[n - 1]:
+            break
+    return [max(0.0, level - v) for v in load]
+
+
+def balanced_folds(
+    df: DataFrame,
+    *,
+    entity: str,
+    target: str,
+    n_folds: int,
+    order_hash: Column | None = None,
+    seed: int = SEED,
+    largest: int = LARGEST,
+) -> DataFrame:
+    """(entity, entity_outcome, rows, positives, fold): folds even in rows and in positives.
+
+    Entities with positives come first and go, most positives first, to the fold with
+    the fewest positives (then rows); the others go, most rows first, to the fold with
+    the fewest rows.  The ``largest`` of either kind are dealt one by one; the small
+    ones that follow fill the room that is left in hash order by their running total,
+    so a fold ends at most two of them away from its share.
+    """
+    key = seeded_hash(entity, seed) if order_hash is None else order_hash
+    entities = stable(
+        df.groupBy(entity)
+        .agg(
+            F.max(target).cast("int").alias("entity_outcome"),
+            F.count("*").alias("rows"),
+            F.count_if(F.col(target) == 1).alias("positives"),
+        )
+        .withColumn("_hash", key.cast("bigint"))
+    )
+    load = [[0, 0] for _ in range(n_folds)]
+    parts = []
+    for by_positives in (True, False):
+        kind = entities.where(F.col("positives") > 0 if by_positives else F.col("positives") == 0)
+        weight = "positives" if by_positives else "rows"
+        order = [F.col("positives").desc(), F.col("rows").desc(), F.col("_hash").asc(), F.col(entity).asc()]
+        first = kind.orderBy(*order).limit(largest).collect()
+        if not first:
+            continue
+        dealt = [(*r, k) for r, k in zip(first, _deal_largest(first, load, by_positives))]
+        schema = f"{kind.schema.simpleString()[7:-1]},fold:int"
+        parts.append(df.sparkSession.createDataFrame(dealt, schema))
+        if len(first) == largest:
+            last = first[-1]
+            rest = kind.where(_comes_after(last, entity))
+            total = rest.agg(F.sum(weight)).first()[0]
+            if total is None:
+                continue
+            room = _room([v[0 if by_positives else 1] for v in load], total)
+            tail = stable(_fill(rest, room, weight, entity))
+            for r in tail.groupBy("fold").agg(F.sum("positives").alias("p"), F.sum("rows").alias("n")).collect():
+                load[r["fold"]][0] += r["p"]
+                load[r["fold"]][1] += r["n"]
+            parts.append(tail)
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole.select(entity, "entity_outcome", "rows", "positives", "fold")
+
+
+def _comes_after(last, entity: str) -> Column:
+    """Behind ``last`` in the order of balanced_folds (a NULL entity stands first)."""
+    out = F.col(entity) > F.lit(last[entity]) if last[entity] is not None else F.col(entity).isNotNull()
+    for column, down in (("_hash", False), ("rows", True), ("positives", True)):
+        value = F.lit(last[column])
+        beyond = F.col(column) < value if down else F.col(column) > value
+        out = beyond | ((F.col(column) == value) & out)
+    return out
+
+
+def _fill(rest: DataFrame, room: list[float], weight: str, entity: str) -> DataFrame:
+    """Adds ``fold``: entities in hash order fill one fold's room after the other."""
+    sliced = rest.withColumn(
+        "_slice", F.floor(F.col("_hash") / F.lit(HASH_RANGE // SLICES)).cast("int")
+    ).withColumn("_all", F.lit(0))
+    run = running_totals(
+        sliced,
+        by=["_all"],
+        buckets=["_slice"],
+        order=[F.col("_hash").asc(), F.col(entity).asc()],
+        bucket_order=[F.col("_slice").asc()],
+        sums={"_run": weight},
+    )
+    middle = F.col("_run") - F.col(weight) / 2.0
+    ends, at = [], 0.0
+    for k, r in enumerate(room):
+        at += r
+        if r > 0:
+            ends.append((k, at))
+    fold = F.lit(ends[-1][0])
+    for k, end in reversed(ends[:-1]):
+        fold = F.when(middle < end, k).otherwise(fold)
+    return run.withColumn("fold", fold.cast("int")).drop("_slice", "_all", "_run")

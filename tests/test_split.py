@@ -81,3 +81,38 @@ def test_fold_count_needs_both_classes(spark):
         split.fold_count(few, target="y")
     with pytest.raises(ValueError):
         split.fold_count(few.where("y = 0"), target="y")
+
+
+def slow_balanced(entities, n_folds):
+    """entities: (id, rows, positives), dealt one by one."""
+    load, out = [[0, 0] for _ in range(n_folds)], {}
+    for i, rows, positives in sorted(entities, key=lambda e: (-e[2], -e[1], e[0])):
+        k = min(range(n_folds), key=lambda f: ((load[f][0], load[f][1], f) if positives else (load[f][1], f)))
+        load[k][0] += positives
+        load[k][1] += rows
+        out[i] = k
+    return out, load
+
+
+def test_balanced_folds_match_plain_loops(spark):
+    sizes = [(i, 1 + (i * i * 7) % 41, (i % 4 == 0) * (1 + i % 3)) for i in range(60)]
+    rows = spark.createDataFrame([(i, int(j < p)) for i, n, p in sizes for j in range(max(n, p))], "g long, y int")
+    sizes = [(i, max(n, p), p) for i, n, p in sizes]
+    got = split.balanced_folds(rows, entity="g", target="y", n_folds=4, order_hash=F.col("g"))
+    want, load = slow_balanced(sizes, 4)
+    assert {r["g"]: r["fold"] for r in got.collect()} == want
+    assert {(r["g"], r["rows"], r["positives"]) for r in got.collect()} == set(sizes)
+    assert max(v[1] for v in load) - min(v[1] for v in load) <= max(s[1] for s in sizes)
+
+
+def test_balanced_folds_fill_the_tail_by_running_totals(spark):
+    rows = spark.range(6000).select(
+        F.when(F.col("id") < 900, -1).when(F.col("id") < 1700, -2).when(F.col("id") < 5980, F.floor(F.col("id") / 7)).alias("g"),
+        (F.col("id") % 11 == 0).cast("int").alias("y"),
+    )
+    got = split.balanced_folds(rows, entity="g", target="y", n_folds=3, largest=20)
+    assert got.count() == rows.select("g").distinct().count()
+    folds = got.groupBy("fold").agg(F.sum("rows").alias("n"), F.sum("positives").alias("p")).collect()
+    assert len(folds) == 3 and sum(r["n"] for r in folds) == 6000
+    assert max(r["n"] for r in folds) - min(r["n"] for r in folds) <= 4 * 7
+    assert max(r["p"] for r in folds) - min(r["p"] for r in folds) <= 4
