@@ -64,43 +64,57 @@ class Settings(NamedTuple):
 def bin_edges(df: DataFrame, features: str, *, max_bins: int = MAX_BINS) -> list[list[float]]:
     """Per column the ascending cuts; a value goes left of the first cut it does not exceed.
 
-    Cuts are values of the rows: up to ``max_bins - 1`` quantiles and the least value.
+    Cuts are values of the rows: up to ``max_bins - 2`` quantiles and the least value.
     The largest value is no cut, as nothing lies behind it.
     """
+    return next(iter(part_edges(df, features, F.lit(0), max_bins=max_bins).values()))
+
+
+def part_edges(df: DataFrame, features: str, part: Column, *, max_bins: int = MAX_BINS) -> dict[int, list[list[float]]]:
+    """The cuts of every part of the table, in one pass over it."""
     if not 2 <= max_bins <= MAX_BINS:
         raise ValueError(f"max_bins must be between 2 and {MAX_BINS}")
     row = df.select(F.size(vector_to_array(features)).alias("n")).first()
     if row is None:
         raise ValueError("no rows to fit on")
-    cells = vector_to_array(features)
-    wide = df.select(*[cells[i].alias(f"c{i}") for i in range(row["n"])])
-    if not wide.columns:
-        return []
-    share = [i / (max_bins - 1) for i in range(1, max_bins - 1)]
-    cuts = wide.approxQuantile(wide.columns, share, 0.1 / max_bins)
-    ends = wide.agg(
-        F.array(*[F.min(c) for c in wide.columns]).alias("low"),
-        F.array(*[F.max(c) for c in wide.columns]).alias("high"),
-    ).first()
-    return [
-        sorted(({low, *values} if low is not None else set(values)) - {high})
-        for values, low, high in zip(cuts, ends["low"], ends["high"])
-    ]
+    cells = df.select(part.alias("part"), vector_to_array(features).alias("x"))
+    share = F.array(*[F.lit(i / (max_bins - 1)) for i in range(1, max_bins - 1)]).cast("array<double>")
+    columns = [
+        F.struct(
+            F.percentile_approx(F.col("x")[i], share, 100 * max_bins).alias("cuts") if max_bins > 2 else F.array().alias("cuts"),
+            F.min(F.col("x")[i]).alias("low"),
+            F.max(F.col("x")[i]).alias("high"),
+        )
+        for i in range(row["n"])
+    ]
+    found = cells.groupBy("part").agg(F.array(*columns).alias("columns"))
+    return {
+        r["part"]: [sorted({*c["cuts"], c["low"]} - {c["high"]}) for c in r["columns"]]
+        for r in found.collect()  # one row per part
+    }
 
 
-def binned(df: DataFrame, features: str, edges: Sequence[Sequence[float]], *keep: Column) -> DataFrame:
-    """Kept columns and ``bins``, one byte per column of the vector."""
+def binned(df: DataFrame, features: str, edges, *keep: Column) -> DataFrame:
+    """Kept columns and ``bins``, one byte per column of the vector.
+
+    ``edges`` are the cuts, or the cuts of each part; the first kept column then is the part.
+    """
     named = df.select(*keep, vector_to_array(features).alias("_x"))
     kept = named.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _rows(batch.column(len(kept)), len(edges))
-            out = np.empty(x.shape, np.uint8)
-            for i, cuts in enumerate(edges):
-                out[:, i] = np.searchsorted(cuts, x[:, i], side="left")
-            packed = pa.array([r.tobytes() for r in out], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], packed], names=[*kept, "bins"])
+            part = batch.column(0).to_numpy() if isinstance(edges, dict) else np.zeros(len(batch))
+            packed = np.empty(len(batch), object)
+            for k in np.unique(part).tolist():
+                at = np.flatnonzero(part == k)
+                cuts = edges[k] if isinstance(edges, dict) else edges
+                x = _rows(batch.column(len(kept)).take(pa.array(at)), len(cuts))
+                out = np.empty(x.shape, np.uint8)
+                for i, c in enumerate(cuts):
+                    out[:, i] = np.searchsorted(c, x[:, i], side="left")
+                packed[at] = [r.tobytes() for r in out]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())], names=[*kept, "bins"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema.fields[:-1])
     return named.mapInArrow(run, f"{schema}, bins binary")
@@ -111,7 +125,7 @@ def _rows(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
-def _bytes(column: pa.Array, width: int) -> np.ndarray:
+def byte_rows(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), width)
 
 
@@ -278,7 +292,7 @@ def _cells(state, width: int, n_bins: int, round_: int, s: Settings):
         total = None
         for batch in batches:
             key, y, w, margin = (batch.column(i).to_numpy() for i in (0, 1, 2, 4))
-            bins = _bytes(batch.column(3), width)
+            bins = byte_rows(batch.column(3), width)
             for t in recent:
                 margin = margin + np.array(t.value)[t.walk(bins)]
             g, h = gradients(margin, y, w)
@@ -321,7 +335,7 @@ def _with_margin(rows: DataFrame, trees: list[Tree], width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bins, margin = _bytes(batch.column(3), width), batch.column(4).to_numpy()
+            bins, margin = byte_rows(batch.column(3), width), batch.column(4).to_numpy()
             for t in map(Tree, shared.value):
                 margin = margin + np.array(t.value)[t.walk(bins)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(margin)], names=["key", "y", "w", "bins", "margin"])
@@ -337,16 +351,18 @@ def fits_task(matrix: DataFrame, width: int, task_bytes: int = TASK_BYTES) -> bo
     return matrix.count() * (width + 24) <= task_bytes
 
 
-def fit_side_by_side(parts: DataFrame, candidates: Sequence[Settings], widths: dict[int, int], weights: dict[int, float] | None = None) -> DataFrame:
+def fit_side_by_side(
+    parts: DataFrame, candidates: Sequence, widths: dict[int, int], weights: dict[int, tuple[float, float]], grow, chance
+) -> DataFrame:
     """(candidate, part, y, score) of the held-out rows of every (candidate, part).
 
-    parts: (part, held, key, y, bins), each part small enough for a task.  Positives of a
-    part weigh ``weights[part]``.  Every fit is a task of its own.
+    parts: (part, held, key, y, bins), each part small enough for a task.  Negatives and
+    positives of a part weigh ``weights[part]``.  Every fit is a task of its own: ``grow``
+    makes the trees, ``chance`` a probability of their sum.
     """
     many = len(candidates)
     every = F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
     tasks = parts.select(every.alias("candidate"), "part", "held", "key", "y", "bins")
-    weight = weights or {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
@@ -367,14 +383,14 @@ def fit_side_by_side(parts: DataFrame, candidates: Sequence[Settings], widths: d
         table = pa.Table.from_batches(rows)
         held = table.column("held").to_numpy()
         key, y = table.column("key").to_numpy(), table.column("y").to_numpy()
-        bins = _bytes(table.column("bins").combine_chunks(), widths[part])
-        w = np.where(y > 0, weight.get(part, 1.0), 1.0)
-        trees = grow_in_task(bins[~held], y[~held], w[~held], key[~held], int(bins.max(initial=0)) + 1, candidates[candidate])
+        bins = byte_rows(table.column("bins").combine_chunks(), widths[part])
+        w = np.where(y > 0, weights[part][1], weights[part][0])
+        trees = grow(bins[~held], y[~held], w[~held], key[~held], int(bins.max(initial=0)) + 1, candidates[candidate])
         margin = np.zeros(int(held.sum()))
         for t in trees:
             margin += np.array(t.value)[t.walk(bins[held])]
         n = len(margin)
-        columns = [np.full(n, candidate, np.int32), np.full(n, part, np.int32), y[held].astype(np.int32), 1 / (1 + np.exp(-margin))]
+        columns = [np.full(n, candidate, np.int32), np.full(n, part, np.int32), y[held].astype(np.int32), chance(margin, len(trees))]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["candidate", "part", "y", "score"])
 
     # more partitions than fits, so that few share one
@@ -413,22 +429,22 @@ class BoostedTrees(Estimator, _BoostedParams, DefaultParamsReadable, DefaultPara
         )
         width, n_bins, s = len(edges), max(map(len, edges), default=0) + 1, self.options()
         if fits_task(matrix, width, self.getOrDefault("taskBytes")):
-            trees = _grown_apart(matrix, width, n_bins, s)
+            trees = grown_apart(matrix, width, n_bins, s, grow_in_task)
         else:
             trees = grow_by_levels(matrix, width, n_bins, s)
         state = {"edges": edges, "trees": [list(t.lists()) for t in trees]}
         return BoostedTreesModel(state=json.dumps(state), featuresCol=features)
 
 
-def _grown_apart(matrix: DataFrame, width: int, n_bins: int, s: Settings) -> list[Tree]:
-    """One small matrix, grown by one task."""
+def grown_apart(matrix: DataFrame, width: int, n_bins: int, s, grow) -> list[Tree]:
+    """One small matrix, grown by one task with ``grow`` (see grow_in_task)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches), matrix_schema)
         key, y, w = (table.column(c).to_numpy() for c in ("key", "y", "w"))
         order = np.argsort(key, kind="stable")
-        bins = _bytes(table.column("bins").combine_chunks(), width)[order]
-        trees = grow_in_task(bins, y[order], w[order], key[order], n_bins, s)
+        bins = byte_rows(table.column("bins").combine_chunks(), width)[order]
+        trees = grow(bins, y[order], w[order], key[order], n_bins, s)
         yield pa.RecordBatch.from_arrays([pa.array([json.dumps(t.lists()) for t in trees], pa.string())], names=["tree"])
 
     matrix_schema = pa.schema([("key", pa.int64()), ("y", pa.float64()), ("w", pa.float64()), ("bins", pa.binary())])
@@ -475,6 +491,11 @@ class BoostedTreesModel(Model, HasFeaturesCol, DefaultParamsReadable, DefaultPar
         mean = gain / np.maximum(cuts, 1)
         return DenseVector(mean / mean.sum() if mean.sum() else mean)
 
+    @staticmethod
+    def _chance(total: np.ndarray, n_trees: int) -> np.ndarray:
+        """A probability from the sum over the trees."""
+        return 1 / (1 + np.exp(-total))
+
     def _transform(self, df: DataFrame) -> DataFrame:
         fitted = self.fitted
         shared = df.sparkSession.sparkContext.broadcast(
@@ -490,6 +511,8 @@ class BoostedTreesModel(Model, HasFeaturesCol, DefaultParamsReadable, DefaultPar
             ]
         )
 
+        to_chance = self._chance
+
         @F.pandas_udf("double")
         def chance(x: pd.Series) -> pd.Series:
             rows = np.stack(x.to_numpy()) if len(x) else np.zeros((0, 1))
@@ -501,7 +524,7 @@ class BoostedTreesModel(Model, HasFeaturesCol, DefaultParamsReadable, DefaultPar
                     down = np.where(rows[every, np.maximum(c, 0)] <= cut[node], left[node], right[node])
                     node = np.where(c >= 0, down, node)
                 margin += value[node]
-            return pd.Series(1 / (1 + np.exp(-margin)))
+            return pd.Series(to_chance(margin, len(shared.value)))
 
         p = chance(vector_to_array(self.getOrDefault("featuresCol")))
         scored = df.withColumn("_chance", p)

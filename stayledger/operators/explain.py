@@ -1,10 +1,11 @@
 """Per-row and global explanations of a random forest.
 
 Exact path-dependent Shapley values of the forest's positive-class probability.
-The node table Spark ML saves with the model gives thresholds, children and
-weighted class counts.  Each leaf is reduced to one interval and one cover share
-per feature on its path; rows are explained in Arrow batches on the executors and
-leave as a long table (row id, feature, value, contribution).
+The forest's node table gives thresholds, children, covers and shares of positives.
+Each leaf is reduced to one interval and one cover share per feature on its path.  What
+it adds to a row depends only on which intervals the row meets, so a leaf's contributions
+are tabled once per pattern and rows look theirs up; that goes on in Arrow batches on the
+executors, and leaves a long table (row id, feature, value, contribution).
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from stayledger.operators.forest import BinnedForestModel
 from stayledger.operators.scale import join_small
 from stayledger.session import shared_folder
 
@@ -28,11 +30,27 @@ from stayledger.session import shared_folder
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+Forest = BinnedForestModel | RandomForestClassificationModel
+
+#: Leaves with more features on their path have too many patterns to table.
+TABLED = 12
+TABLE_CELLS = 1 << 20
+
 # --- the fitted forest as a table ------------------------------------------------------
 
 
-def node_table(spark: SparkSession, forest: RandomForestClassificationModel) -> DataFrame:
+def node_table(spark: SparkSession, forest: Forest) -> DataFrame:
     """(tree, node, left, right, feature, threshold, cover, positive_share)."""
+    if isinstance(forest, BinnedForestModel):
+        rows = [
+            (tree, node, left if column >= 0 else -1, right if column >= 0 else -1, column, cut, cover, value)
+            for tree, node, column, cut, left, right, value, _, cover in forest.nodes()
+        ]
+        return spark.createDataFrame(
+            rows,
+            "tree int, node int, left int, right int, feature int, threshold double, "
+            "cover double, positive_share double",
+        )
     folder = f"{shared_folder(spark)}/forest-{uuid.uuid4().hex}"
     forest.write().save(folder)
     stats = F.col("nodeData.impurityStats")
@@ -97,44 +115,66 @@ def leaf_paths(nodes: DataFrame) -> list[dict]:
     return leaves
 
 
-def shapley_batch(x: np.ndarray, leaves: list[dict]) -> np.ndarray:
-    """Contributions (rows x features) of a batch, summed over all leaves.
+def pattern_values(value: np.ndarray, z: np.ndarray, o: np.ndarray) -> np.ndarray:
+    """Contributions (leaves, patterns, features) of leaves with d features on their path.
 
-    For one leaf with d features, feature i earns
-    value * (o_i - z_i) * sum_k w_k q_k, where o is 1 when the row meets the
-    feature's interval, z is the cover share that would, and q are the
-    coefficients of the product of (z_j + o_j t) over the other features.
+    ``z`` (leaves, d) are cover shares, ``o`` (patterns, d) tells which intervals are met.
+    Feature i earns value * (o_i - z_i) * sum_k w_k q_k, where q are the coefficients of
+    the product of (z_j + o_j t) over the other features.
     """
-    out = np.zeros(x.shape)
+    d = z.shape[1]
+    met_by = o[None, :, :]
+    poly = np.zeros((len(z), len(o), d + 1))
+    poly[:, :, 0] = 1.0
+    for j in range(d):
+        grown = poly * z[:, None, [j]]
+        grown[:, :, 1:] += poly[:, :, :-1] * met_by[:, :, [j]]
+        poly = grown
+    weight = [
+        math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d) for k in range(d)
+    ]
+    shares = z[:, None, :]
+    met = np.zeros((len(z), len(o), d))
+    carry = np.zeros((len(z), len(o), d))
+    for k in range(d - 1, -1, -1):
+        carry = poly[:, :, [k + 1]] - shares * carry
+        met += weight[k] * carry
+    unmet = (poly[:, :, :d] @ np.array(weight))[:, :, None] / shares
+    return value[:, None, None] * (met_by - shares) * np.where(met_by > 0, met, unmet)
+
+
+def shapley_batch(x: np.ndarray, leaves: list[dict]) -> np.ndarray:
+    """Contributions (rows x features) of a batch, summed over all leaves."""
+    out = np.zeros((x.shape[1], len(x)))
+    columns = np.ascontiguousarray(x.T)
+    by_size: dict[int, list[dict]] = {}
     for leaf in leaves:
-        features, z = leaf["features"], leaf["share"]
-        d = len(features)
+        by_size.setdefault(len(leaf["features"]), []).append(leaf)
+    for d, alike in by_size.items():
         if d == 0:
             continue
-        chosen = x[:, features]
-        o = ((chosen > leaf["low"]) & (chosen <= leaf["high"])).astype(float)
-        poly = np.zeros((len(x), d + 1))
-        poly[:, 0] = 1.0
-        for j in range(d):
-            grown = poly * z[j]
-            grown[:, 1:] += poly[:, :-1] * o[:, [j]]
-            poly = grown
-        weight = [
-            math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d)
-            for k in range(d)
-        ]
-        met = np.zeros((len(x), d))
-        carry = np.zeros((len(x), d))
-        for k in range(d - 1, -1, -1):
-            carry = poly[:, [k + 1]] - z * carry
-            met += weight[k] * carry
-        unmet = (poly[:, :d] @ np.array(weight))[:, None] / z
-        out[:, features] += leaf["value"] * (o - z) * np.where(o > 0, met, unmet)
-    return out
+        tabled = d <= TABLED
+        bits = 1 << np.arange(d)
+        patterns = (np.arange(1 << d)[:, None] & bits > 0).astype(float) if tabled else None
+        step = max(1, TABLE_CELLS // (d << d)) if tabled else 1
+        for at in range(0, len(alike), step):
+            some = alike[at : at + step]
+            value = np.array([leaf["value"] for leaf in some])
+            z = np.array([leaf["share"] for leaf in some])
+            table = pattern_values(value, z, patterns) if tabled else None
+            for i, leaf in enumerate(some):
+                features = leaf["features"]
+                chosen = columns[features]
+                o = (chosen > leaf["low"][:, None]) & (chosen <= leaf["high"][:, None])
+                if tabled:
+                    out[features] += table[i].T[:, bits @ o]
+                else:
+                    out[features] += pattern_values(value, z, o.T.astype(float))[0].T
+    return out.T
 
 
 def tree_shap(
-    forest: RandomForestClassificationModel,
+    forest: Forest,
     df: DataFrame,
     *,
     row_id: str,
@@ -173,6 +213,10 @@ def tree_shap(
         ]
     )
     vectors = df.select(row_id, vector_to_array(features).alias("_x"))
+    # explaining costs far more than moving a row: no core is left idle
+    cores = spark.sparkContext.defaultParallelism
+    if vectors.rdd.getNumPartitions() < cores:
+        vectors = vectors.repartition(cores)
     return vectors.mapInPandas(explain, schema)
 
 

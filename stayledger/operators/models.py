@@ -7,10 +7,11 @@ import json
 import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -19,15 +20,13 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stayledger.config import SEED
-from stayledger.operators import boost
+from stayledger.operators import boost, forest
 from stayledger.operators.metrics import discrimination_metrics
 from stayledger.operators.prep import TabularPreprocessor
 from stayledger.session import stable
 
 SCORE = "predicted_probability"
 WEIGHT = "_class_weight"
-MAX_BINS = 32  # Spark's default; more bins come closer to exact splits, at a cost per fit
-DEEPEST_TREE = 30  # Spark ML's limit, used where a tree's depth is left open
 
 
 # --- class weights ----------------------------------------------------------------------
@@ -208,22 +207,25 @@ def build_random_forest(
     min_samples_leaf: int = 5,
     max_features: str | float = "sqrt",
     class_weight: str | None = "balanced",
-    max_bins: int = MAX_BINS,
+    max_bins: int = forest.MAX_BINS,
     seed: int = SEED,
 ) -> Pipeline:
-    """Random forest; a number is split at one of at most ``max_bins - 1`` of its quantiles."""
-    forest = RandomForestClassifier(
+    """Random forest; a number is split at one of at most ``max_bins - 1`` of its values."""
+    settings = forest.Settings(
+        n_estimators=n_estimators,
+        max_depth=max_depth,
+        min_samples_leaf=min_samples_leaf,
+        max_features=max_features,
+        seed=seed,
+    )
+    trees = forest.BinnedForest(
         labelCol=target,
         weightCol=WEIGHT,
-        numTrees=n_estimators,
-        maxDepth=DEEPEST_TREE if max_depth is None else max_depth,
-        minInstancesPerNode=min_samples_leaf,
-        featureSubsetStrategy=str(max_features),
+        settings=json.dumps(settings._asdict()),
         maxBins=max_bins,
-        seed=seed,
     )
     weights = ClassWeights(labelCol=target, mode=class_weight or "none")
-    return Pipeline(stages=[preprocessor.copy(), weights, forest])
+    return Pipeline(stages=[preprocessor.copy(), weights, trees])
 
 
 def build_boosted_trees(
@@ -389,41 +391,55 @@ def _fold_table(preprocessor, df: DataFrame, target: str, fold: str, k: int) ->
     fitted = preprocessor.copy().fit(df.where(F.col(fold) != k))
     output = preprocessor.getOrDefault("outputCol")
     rows = fitted.transform(df).where(F.col(fold).isNotNull())
-    return stable(rows.select(F.col(target), (F.col(fold) == k).alias("_held"), output))
+    return stable(rows.select(F.lit(k).alias("_part"), F.col(target), (F.col(fold) == k).alias("_held"), output))
+
+
+def _class_weights(stage: ClassWeights, negatives: int, positives: int) -> tuple[float, float]:
+    """The weights the stage would learn from these counts."""
+    mode, fixed = stage.getOrDefault("mode"), stage.getOrDefault("positiveWeight")
+    total = negatives + positives
+    if mode == "balanced":
+        classes = (negatives > 0) + (positives > 0)
+        return tuple(total / (classes * n) if n else 1.0 for n in (negatives, positives))
+    if mode == "positive" and not fixed:
+        if not positives:
+            raise ValueError("training target contains zero positive cases")
+        return 1.0, negatives / positives
+    return 1.0, fixed if mode == "positive" else 1.0
 
 
-def _boosted_scores(
-    stages: Mapping[str, tuple], tables: Mapping[int, DataFrame], target: str, pool
-) -> DataFrame:
-    """(model, fold, y, p) of boosted candidates, all fits as tasks of one job."""
+def _tree_scores(stages: Mapping[str, tuple], rows: DataFrame, target: str) -> DataFrame:
+    """(model, fold, y, p) of candidates of one kind, all fits as tasks of one job.
+
+    ``rows`` are the fold tables one below the other.
+    """
     _, trees = next(iter(stages.values()))
+    kind, fitted = (boost, boost.BoostedTreesModel) if isinstance(trees, boost.BoostedTrees) else (forest, forest.BinnedForestModel)
     features, bins = trees.getOrDefault("featuresCol"), trees.getOrDefault("maxBins")
-    spark = next(iter(tables.values())).sparkSession
-
-    def one(k: int):
-        edges = boost.bin_edges(tables[k].where("not _held"), features, max_bins=bins)
-        key = F.monotonically_increasing_id().alias("key")
-        rows = boost.binned(
-            tables[k], features, edges, F.lit(k).alias("part"), F.col("_held").alias("held"), key, F.col(target).cast("double").alias("y")
-        )
-        counts = class_ratio(tables[k].where("not _held"), target=target).first()
-        return k, stable(rows), len(edges), counts["scale_pos_weight"]
-
-    parts = list(pool.map(inheritable_thread_target(spark)(one), tables))
-    widths = {k: width for k, _, width, _ in parts}
-    every = parts[0][1]
-    for _, rows, _, _ in parts[1:]:
-        every = every.unionByName(rows)
-    # candidates that weigh positives alike share a job
+    # every step takes all folds in one job
+    train = rows.where("not _held")
+    edges = boost.part_edges(train, features, F.col("_part"), max_bins=bins)
+    widths = {k: len(e) for k, e in edges.items()}
+    counts = {
+        r["_part"]: (r["n_neg"], r["n_pos"])
+        for r in train.groupBy("_part").agg(F.count_if(F.col(target) == 0).alias("n_neg"), F.count_if(F.col(target) == 1).alias("n_pos")).collect()
+    }
+    key = F.monotonically_increasing_id().alias("key")
+    every = stable(
+        boost.binned(
+            rows, features, edges, F.col("_part").alias("part"), F.col("_held").alias("held"), key, F.col(target).cast("double").alias("y")
+        )
+    )
+    # candidates that weigh the classes alike share a job
     scored = None
-    by_weight: dict[float, list[str]] = {}
+    alike: dict[str, list[str]] = {}
     for name, (weights, _) in stages.items():
-        by_weight.setdefault(weights.getOrDefault("positiveWeight"), []).append(name)
-    for fixed, names in by_weight.items():
-        if not fixed and any(ratio is None for *_, ratio in parts):
-            raise ValueError("training target contains zero positive cases")
-        weights = {k: fixed or ratio for k, _, _, ratio in parts}
-        found = boost.fit_side_by_side(every, [stages[n][1].options() for n in names], widths, weights)
+        alike.setdefault(_settings_key(weights), []).append(name)
+    for names in alike.values():
+        weights = {k: _class_weights(stages[names[0]][0], *c) for k, c in counts.items()}
+        found = boost.fit_side_by_side(
+            every, [stages[n][1].options() for n in names], widths, weights, kind.grow_in_task, fitted._chance
+        )
         label = F.element_at(F.array(*map(F.lit, names)), F.col("candidate") + 1)
         found = found.select(label.alias("model"), F.col("part").alias("fold"), F.col("y").alias(target), F.col("score").alias(SCORE))
         scored = found if scored is None else scored.unionByName(found)
@@ -442,7 +458,7 @@ def fold_scores(
     """(model, fold, auroc, auprc); everything is refitted inside each fold.
 
     Preprocessing is fitted once per fold, and its output is written for all
-    candidates that share it.  Boosted candidates over a matrix that fits a task are
+    candidates that share it.  Tree candidates over a matrix that fits a task are
     tasks of one job.  Other fits are Spark jobs, submitted from a few threads as
     Spark's own tuning classes do.
     """
@@ -459,19 +475,27 @@ def fold_scores(
 
         for names in groups.values():
             first = pipelines[next(iter(names))].getStages()[0]
-            made = on_pool(lambda k: _fold_table(first, df, target, fold, k), range(n_folds))
-            tables = dict(enumerate(made))
-            boosted = {n: tuple(r) for n, r in names.items() if isinstance(r[-1], boost.BoostedTrees)}
+            tables = on_pool(lambda k: _fold_table(first, df, target, fold, k), range(n_folds))
+            output = first.getOrDefault("outputCol")
+            # folds differ in width where their rows differ in categories
+            wide = [t.select(F.size(vector_to_array(output)).alias("n")).first() for t in tables]
+            alike_wide: dict[int, list[DataFrame]] = {}
+            for table, row in zip(tables, wide):
+                if row is not None:
+                    alike_wide.setdefault(row["n"], []).append(table)
             alike: dict[tuple, dict[str, tuple]] = {}
-            for n, r in boosted.items():
-                alike.setdefault((r[-1].getOrDefault("maxBins"), r[-1].getOrDefault("taskBytes")), {})[n] = r
-            for (_, room), stages in alike.items():
-                width = made[0].select(F.size(vector_to_array(first.getOrDefault("outputCol")))).first()
-                if width is None or not boost.fits_task(made[0], width[0], room):
+            for n, r in names.items():
+                if isinstance(r[-1], (boost.BoostedTrees, forest.BinnedForest)):
+                    room = r[-1].getOrDefault("taskBytes")
+                    alike.setdefault((type(r[-1]), r[-1].getOrDefault("maxBins"), room), {})[n] = tuple(r)
+            for (*_, room), stages in alike.items():
+                if not alike_wide or not boost.fits_task(tables[0], max(alike_wide), room):
                     continue
-                scored = _boosted_scores(stages, tables, target, pool)
-                areas = discrimination_metrics(scored, target=target, probability=SCORE, by=["model", "fold"])
-                records += [(r["model"], r["fold"], r["auroc"], r["auprc"]) for r in areas.collect()]
+                for some in alike_wide.values():
+                    rows = reduce(DataFrame.unionByName, some)
+                    scored = _tree_scores(stages, rows, target)
+                    areas = discrimination_metrics(scored, target=target, probability=SCORE, by=["model", "fold"])
+                    records += [(r["model"], r["fold"], r["auroc"], r["auprc"]) for r in areas.collect()]
             done = {r[0] for r in records}
 
             def one(task: tuple[str, int]) -> tuple:

@@ -1,8 +1,8 @@
 """Models, calibration and explanations on labelled documents.
 
-Settings here are small so the queries run anywhere; the operators' defaults are
-the full ones.  A query fits what it needs itself; a fit named twice inside one
-query is made once.
+Models run with the operators' own settings, searches over the whole grids; only the
+forest whose rows are explained has fewer trees.  A query fits what it needs itself; a
+fit named twice inside one query is made once.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ from stayledger.session import shared_folder, stable
 TARGET = "toxic"
 NUMERIC = ["n_chars", "n_words", "n_digits", "n_upper", "quality"]
 CATEGORICAL = ["lang"]
-FOREST = {"n_estimators": 20, "max_depth": 4, "min_samples_leaf": 5}
-BOOSTED = {"n_estimators": 8, "learning_rate": 0.1, "max_depth": 3}
-FOLDS = 3
+FOREST_DRAWS, BOOSTED_DRAWS = 12, 16
+EXPLAINED_TREES = 100
+
 
 def kept(fn):
     """Remember a fit for the run of one query, which has its own ``Tables``."""
@@ -41,20 +41,29 @@ def kept(fn):
 
 @kept
 def _rows(t: Tables) -> DataFrame:
-    """Modelling rows with their split and fold, both assigned by source."""
+    """Modelling rows with their split, assigned by source."""
     rows = star.document_rows(t)
     sources = rows.groupBy("source").agg(F.max(TARGET).alias("entity_outcome"))
-    assigned = split.split_rows(
-        rows, split.assign_splits(sources, entity="source"), entity="source"
+    return stable(
+        split.split_rows(
+            rows, split.assign_splits(sources, entity="source"), entity="source"
+        )
     )
-    folds = split.group_folds(rows, entity="source", target=TARGET, n_folds=FOLDS)
-    return stable(assigned.join(folds.select("source", "fold"), "source"))
 
 
 def _train(t: Tables) -> DataFrame:
     return _rows(t).where(F.col("split") == "train")
 
 
+@kept
+def _folds(t: Tables) -> tuple[DataFrame, int]:
+    """Training rows with folds of whole sources, even in rows and outcomes."""
+    train = _train(t)
+    n = split.fold_count(train, target=TARGET)
+    folds = split.balanced_folds(train, entity="source", target=TARGET, n_folds=n)
+    return stable(train.join(folds.select("source", "fold"), "source")), n
+
+
 def _stage() -> prep.TabularPreprocessor:
     return prep.build_preprocessor(NUMERIC, CATEGORICAL)
 
@@ -66,12 +75,12 @@ def _logistic(t: Tables) -> PipelineModel:
 
 @kept
 def _forest(t: Tables) -> PipelineModel:
-    return models.train_random_forest(_stage(), _train(t), target=TARGET, **FOREST)
+    return models.train_random_forest(_stage(), _train(t), target=TARGET)
 
 
 @kept
 def _boosted(t: Tables) -> PipelineModel:
-    return models.train_boosted_trees(_stage(), _train(t), target=TARGET, **BOOSTED)
+    return models.train_boosted_trees(_stage(), _train(t), target=TARGET)
 
 
 KEEP = ["doc_id", "split", TARGET]
@@ -121,18 +130,17 @@ def validation_comparison(t):
 
 @kept
 def _cv(t: Tables) -> DataFrame:
+    rows, n = _folds(t)
     return models.fold_scores(
         {
-            "Random Forest": models.build_random_forest(
-                _stage(), target=TARGET, **FOREST
-            ),
+            "Random Forest": models.build_random_forest(_stage(), target=TARGET),
             "Boosted Trees": models.build_boosted_trees(
-                _stage(), target=TARGET, positive_weight=0.0, **BOOSTED
+                _stage(), target=TARGET, positive_weight=0.0
             ),
         },
-        _train(t),
+        rows,
         target=TARGET,
-        n_folds=FOLDS,
+        n_folds=n,
     )
 
 
@@ -147,54 +155,88 @@ def cv_summary(t):
     return models.cv_summary(_cv(t))
 
 
-@kept
-def _forest_search(t: Tables):
-    grid = {
-        "n_estimators": [5, 10],
-        "max_depth": [2, 4, None],
-        "max_features": ["sqrt", "log2", 0.7],
-    }
+def _search(t: Tables, build, grid, draws: int, refit: bool = True, **fixed):
+    rows, n = _folds(t)
     return models.random_search(
-        models.build_random_forest,
-        _stage(),
-        _train(t),
-        target=TARGET,
-        grid=grid,
-        draws=2,
-        n_folds=FOLDS,
-    )
+        build, _stage(), rows, target=TARGET, grid=grid, draws=draws, n_folds=n, refit=refit, **fixed
+    )
 
 
 @query()
 def tune_random_forest(t):
     """Scores of the model refitted with the best drawn options."""
-    best, _, _ = _forest_search(t)
+    best, _, _ = _search(t, models.build_random_forest, models.FOREST_GRID, FOREST_DRAWS)
     return models.predict_positive(best, _rows(t), keep=KEEP)
 
 
 @query()
 def search_results(t):
-    """Options, score per fold, mean, population sd and rank."""
-    _, scores, _ = _forest_search(t)
-    return models.search_results(scores)
+    """Options, score per fold, mean, population sd and rank of both searches."""
+    searches = (
+        ("Random Forest", models.build_random_forest, models.FOREST_GRID, FOREST_DRAWS, {}),
+        ("Boosted Trees", models.build_boosted_trees, models.BOOSTED_GRID, BOOSTED_DRAWS, {"positive_weight": 0.0}),
+    )
+    tables = []
+    for name, build, grid, draws, fixed in searches:
+        _, scores, _ = _search(t, build, grid, draws, refit=False, **fixed)
+        tables.append(models.search_results(scores).withColumn("model", F.lit(name)))
+    return tables[0].unionByName(tables[1])
 
 
 @query()
 def tune_boosted(t):
-    grid = {"n_estimators": [4, 6], "max_depth": [2, 3], "subsample": [0.7, 1.0]}
-    best, _, _ = models.random_search(
-        models.build_boosted_trees,
-        _stage(),
-        _train(t),
-        target=TARGET,
-        grid=grid,
-        draws=2,
-        n_folds=FOLDS,
-        positive_weight=0.0,
+    best, _, _ = _search(
+        t, models.build_boosted_trees, models.BOOSTED_GRID, BOOSTED_DRAWS, positive_weight=0.0
     )
     return models.predict_positive(best, _rows(t), keep=KEEP)
 
 
+# One round of depth 1, said in SQL: the sums behind every cut and leaf.
+_STUMP_FEATURES = {
+    "words": "cast(least(floor(n_words / 8), 200) as double)",
+    "digits": "least(n_digits, 60d)",
+    "upper": "cast(least(floor(n_upper / 2), 120) as double)",
+    "quality": "quality",
+}
+_STUMP_SQL = r"""counted AS (SELECT CAST(toxic AS INTEGER) AS y,
+   len(string_split_regex(text, '\s+')) AS n_words, length(regexp_replace(text, '[^0-9]', '', 'g')) AS n_digits,
+   length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper, quality FROM documents JOIN labels USING (doc_id)),
+ long AS (SELECT y, unnest([0, 1, 2, 3]) AS place, unnest([least(floor(n_words / 8), 200), least(n_digits, 60), least(floor(n_upper / 2), 120), quality]) AS x FROM counted),
+ balance AS (SELECT sum(1 - y) / CAST(sum(y) AS DOUBLE) AS w FROM counted),
+ cells AS (SELECT place, x, sum(CASE WHEN y = 1 THEN -w / 2 ELSE 0.5 END) AS g, sum(CASE WHEN y = 1 THEN w / 4 ELSE 0.25 END) AS h FROM long, balance GROUP BY 1, 2),
+ run AS (SELECT place, x, sum(g) OVER (PARTITION BY place ORDER BY x) AS gl, sum(h) OVER (PARTITION BY place ORDER BY x) AS hl,
+   sum(g) OVER (PARTITION BY place) AS g, sum(h) OVER (PARTITION BY place) AS h FROM cells),
+ cuts AS (SELECT *, gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1) AS gain FROM run WHERE hl >= 5 AND h - hl >= 5)"""
+
+
+@query(
+    f"""WITH {_STUMP_SQL} SELECT ['words', 'digits', 'upper', 'quality'][place + 1] AS feature, CAST(x AS DOUBLE) AS threshold, round(gain, 6) AS gain,
+ round(h, 6) AS cover, round(-gl / (hl + 1), 6) AS left_value, round(-(g - gl) / (h - hl + 1), 6) AS right_value
+ FROM cuts ORDER BY cuts.gain DESC, place, x LIMIT 1"""
+)
+def boosted_stump(t):
+    """The one cut of a single boosted round of depth 1, found level by level."""
+    rows = star.document_rows(t).select(
+        TARGET, *[F.expr(c).alias(name) for name, c in _STUMP_FEATURES.items()]
+    )
+    stage = prep.build_preprocessor(
+        list(_STUMP_FEATURES), [], add_numeric_missing_indicators=False, scale_numeric_features=False
+    )
+    pipeline = models.build_boosted_trees(
+        stage, target=TARGET, positive_weight=0.0, n_estimators=1, learning_rate=1.0, max_depth=1, subsample=1.0, colsample_bytree=1.0
+    )
+    pipeline.getStages()[-1]._set(taskBytes=1)
+    nodes = pipeline.fit(rows).stages[-1].nodes()
+    root = nodes[0]
+    found = [(list(_STUMP_FEATURES)[root[2]], root[3], root[7], root[8], nodes[root[4]][6], nodes[root[5]][6])]
+    return rounded(
+        t.spark.createDataFrame(
+            found,
+            "feature string, threshold double, gain double, cover double, left_value double, right_value double",
+        )
+    )
+
+
 @query(
     """SELECT count(*) AS rows_compared, CAST(0 AS DOUBLE) AS max_difference
  FROM documents JOIN labels USING (doc_id)"""
@@ -249,13 +291,20 @@ def isotonic_calibration(t):
 # --- explanations ----------------------------------------------------------------------------
 
 
+@kept
+def _explained(t: Tables) -> PipelineModel:
+    return models.train_random_forest(
+        _stage(), _train(t), target=TARGET, n_estimators=EXPLAINED_TREES
+    )
+
+
 def _transformed(t: Tables) -> DataFrame:
-    return _forest(t).stages[0].transform(_rows(t))
+    return _explained(t).stages[0].transform(_rows(t))
 
 
 @kept
 def _contributions(t: Tables) -> DataFrame:
-    model = _forest(t)
+    model = _explained(t)
     return stable(
         explain.tree_shap(
             model.stages[-1],
@@ -268,7 +317,7 @@ def _contributions(t: Tables) -> DataFrame:
 
 @kept
 def _base(t: Tables) -> DataFrame:
-    return explain.base_value(explain.node_table(t.spark, _forest(t).stages[-1]))
+    return explain.base_value(explain.node_table(t.spark, _explained(t).stages[-1]))
 
 
 @query()
@@ -290,7 +339,7 @@ def shap_completeness(t):
     return explain.shap_completeness(
         _contributions(t),
         row_id="doc_id",
-        n_features=len(_forest(t).stages[0].feature_names()),
+        n_features=len(_explained(t).stages[0].feature_names()),
     )
 
 
@@ -300,7 +349,7 @@ def shap_completeness(t):
 )
 def shap_additivity(t):
     """Base value plus contributions reproduces the probability."""
-    scores = models.predict_positive(_forest(t), _rows(t), keep=["doc_id"])
+    scores = models.predict_positive(_explained(t), _rows(t), keep=["doc_id"])
     return rounded(
         explain.shap_additivity(
             _contributions(t), scores, _base(t), row_id="doc_id", score=models.SCORE
@@ -323,7 +372,7 @@ def _builtin(t: Tables, model: PipelineModel) -> DataFrame:
 @query()
 def builtin_importance(t):
     """Impurity importance of the forest and of the boosted model."""
-    forest = _builtin(t, _forest(t)).withColumn("model", F.lit("forest"))
+    forest = _builtin(t, _explained(t)).withColumn("model", F.lit("forest"))
     boosted = _builtin(t, _boosted(t)).withColumn("model", F.lit("boosted"))
     return forest.unionByName(boosted)
 
@@ -331,14 +380,14 @@ def builtin_importance(t):
 @query()
 def importance_comparison(t):
     return explain.compare_importance(
-        explain.global_importance(_contributions(t)), _builtin(t, _forest(t))
+        explain.global_importance(_contributions(t)), _builtin(t, _explained(t))
     )
 
 
 @query()
 def local_shap_top(t):
     """Contributions of one representative case per error category."""
-    scored = models.predict_positive(_forest(t), _rows(t), keep=KEEP)
+    scored = models.predict_positive(_explained(t), _rows(t), keep=KEEP)
     labelled = metrics.error_categories(scored, target=TARGET, probability=models.SCORE)
     cases = metrics.representative_cases(
         labelled, probability=models.SCORE, row_id="doc_id"
