@@ -259,6 +259,7 @@ class Cells:
 
     def __init__(self, pivots: np.ndarray, threshold: float):
         self.pivots = pivots
+        self.plain = pivots, threshold  # what broadcasts carry: executors need no package
         gap = np.sqrt(np.maximum(0, 2 - 2 * pivots @ pivots.T))
         self.angle = math.acos(min(1.0, max(-1.0, threshold))) + 1e-6
         self.gap = gap * math.sin(min(self.angle, math.pi / 2)) + 1e-9
@@ -281,10 +282,11 @@ class Cells:
 def deal(classes: DataFrame, cells, dtype: str, width: int, radius, tiles, chunks, full: bool = False) -> DataFrame:
     """(key, side, node, many, code, scale, miss): every class in each tile pair it takes part in."""
     base = np.concatenate([[0], np.cumsum(tiles * tiles + tiles * chunks)])
-    shared = classes.sparkSession.sparkContext.broadcast((cells, radius, tiles, chunks, base))
+    shared = classes.sparkSession.sparkContext.broadcast((*cells.plain, radius, tiles, chunks, base))
 
     def run(batches):
-        cells, radius, tiles, chunks, base = shared.value
+        *plain, radius, tiles, chunks, base = shared.value
+        cells = Cells(*plain)
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
@@ -325,11 +327,12 @@ def class_links(classes: DataFrame, work: Workspace, threshold: float, dtype: st
     wanted = max(1, min(-(-count // CELL), CELLS, HELD // width))
     chosen = pivots_of(classes, F.xxhash64("node"), wanted).select("vec").toPandas()
     cells = Cells(units(pa.array(chosen["vec"], pa.binary()), dtype, width), threshold)
-    shared = spark.sparkContext.broadcast(cells)
+    shared = spark.sparkContext.broadcast(cells.plain)
 
     def place(batches):
+        cells = Cells(*shared.value)
         for batch in batches:
-            cell, angle = shared.value.nearest(units(batch.column(2), dtype, width))
+            cell, angle = cells.nearest(units(batch.column(2), dtype, width))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int64()), pa.array(angle)], names=["node", "many", "vec", "cell", "angle"])
 
     mixed = F.pmod(F.xxhash64("node"), F.lit(1 << 48)).alias("mix")
@@ -340,11 +343,11 @@ def class_links(classes: DataFrame, work: Workspace, threshold: float, dtype: st
     far = spark.sparkContext.broadcast(radius)
 
     def visits(batches):
-        seen = np.zeros(len(far.value), np.int64)
+        seen, cells = np.zeros(len(far.value), np.int64), Cells(*shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                seen += shared.value.reach(units(part.column(0), dtype, width), part.column(1).to_numpy(), far.value).sum(axis=0)
+                seen += cells.reach(units(part.column(0), dtype, width), part.column(1).to_numpy(), far.value).sum(axis=0)
         cell = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(seen[cell])], names=["cell", "n"])
 
