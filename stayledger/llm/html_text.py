@@ -6,11 +6,15 @@ their own; ratios are smoothed with a Gaussian along the page and split into two
 Lines of the upper cluster, and headings of the first level, are content. Article and main
 parts that together hold most of their text are the article; without such, the innermost
 element that holds all of them is. Its lines stand, short ones between long ones included, but not
-lines that are mostly links nor those in parts named as something else (navigation,
-header, footer, aside, form, script, advert, notice, comments).
+lines that are mostly links nor those in parts that are something else by their element
+(navigation, header, footer, aside, form, script) or by a name in their class or id (advert,
+notice, comments, sidebar). A name never costs the article: phrases (`no-sidebar`,
+`search-for-life`) are no such names, and a named part stands if it holds over half of the
+page's text and an article, main or first-level heading of its own (comments: such a heading),
+or, on pages without any of these, at least three blocks.
 
 Null, empty or text-free html: empty text, 0 characters. Tags left open are closed by
-what follows them; a link that is never closed ends with its block. Repeated rows are judged each for itself.
+what follows them, a head by the first thing that can't stand in it; a link that is never closed ends with its block. Repeated rows are judged each for itself.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from .common import table
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style noscript template head title svg math canvas object iframe audio video".split())
 CONTROLS = frozenset("nav header footer aside form button select option textarea input label fieldset dialog menu".split())
+HEAD_ONLY = frozenset("html head title meta link base script style noscript template".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split()
 )
@@ -39,18 +44,25 @@ OTHER_PART = re.compile(
     r"|login|popups?|modals?|overlay|footer|header|masthead|pagination|pager|toolbar|skip|search|comments?|discussion|replies|respond|disqus)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: A name with such a word is a phrase about the part, not the part's kind.
+PHRASE = re.compile(r"^(?:no|not|has|with|without)[_-]|[_-](?:for|of)[_-]", re.IGNORECASE)
 COMMENTS = re.compile(r"comment|discussion|replies|respond|disqus", re.IGNORECASE)
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 #: Line distance at which smoothing has fallen to 60 %.
 SPREAD = 1.0
 
 
+def part_names(named: str) -> str:
+    """The names in class and id values that tell a part other than the article."""
+    return " ".join(x for x in named.split() if OTHER_PART.search(x) and not PHRASE.search(x))
+
+
 class Lines(HTMLParser):
     """Blocks of a page in order, as parser events come in."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple] = []  # (tag, excluded, in comments, hidden, container path)
+        self.open: list[tuple] = []  # (tag, state around it)
         self.out: list[dict] = []
         self.text: list[str] = []
         self.tags = 0
@@ -61,13 +73,15 @@ class Lines(HTMLParser):
         self.number = 0
         self.kinds: dict[int, str] = {}
         self.heading = False
-        self.state = (False, False, False, ())
+        self.anchored: dict[int, bool] = {}  # per part of such a name: an article or main begins in it
+        self.comment_parts: set[int] = set()
+        self.state = (False, False, False, (), ())  # excluded, in comments, hidden, container path, named parts
 
     def flush(self):
         text = " ".join("".join(self.text).split())
         if text:
-            excluded, _, hidden, path = self.state
-            self.out.append({"text": text, "tags": self.tags, "links": self.links, "out": excluded or hidden, "path": path, "heading": self.heading})
+            excluded, _, hidden, path, named = self.state
+            self.out.append({"text": text, "tags": self.tags, "links": self.links, "out": excluded or hidden, "path": path, "named": named, "heading": self.heading})
             self.unsure.append((self.out[-1], self.late))
         self.text, self.tags, self.links, self.late, self.heading = [], 0, 0, 0, False
         self.past = self.link
@@ -87,9 +101,18 @@ class Lines(HTMLParser):
         self.state = self.open[k][1]
         del self.open[k:]
 
+    def end_head(self, last: bool):
+        """Close a head that is open, if nothing in it is or if `last` things no longer count."""
+        for k, (tag, _) in enumerate(self.open):
+            if tag == "head" and (last or k == len(self.open) - 1):
+                self.close_from(k)
+                return
+
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
             self.flush()
+        if tag not in HEAD_ONLY:
+            self.end_head(tag == "body")
         self.tags += 1
         if tag == "br" or tag == "img":
             self.text.append(" ")
@@ -103,24 +126,35 @@ class Lines(HTMLParser):
             self.end_link(False)
             self.link = True
         self.heading = self.heading or tag == "h1"
-        excluded, comments, hidden, path = self.state
+        excluded, comments, hidden, path, within = self.state
         values = dict(attrs)
-        named = " ".join(values.get(k) or "" for k in ("class", "id"))
-        other = tag in CONTROLS or (values.get("role") or "") in ROLES or bool(OTHER_PART.search(named)) or "hidden" in values or (values.get("aria-hidden") == "true")
+        names = "" if tag in ("body", "html") else part_names(" ".join(values.get(k) or "" for k in ("class", "id")))
+        other = tag in CONTROLS or (values.get("role") or "") in ROLES or "hidden" in values or (values.get("aria-hidden") == "true")
         if tag in ("body", "html"):
             other = False
-        comments = comments or (other and bool(COMMENTS.search(named)))
         # an article or main part begins afresh where something before it was left open
-        fresh = tag in ("article", "main") and not comments and not hidden
+        fresh = tag in ("article", "main") and not (comments or COMMENTS.search(names)) and not hidden
         excluded = other or (excluded and not fresh)
-        if tag in ("header", "h1") and any(x[0] in ("article", "main") for x in self.open) and not self.state[0] and not OTHER_PART.search(named):
+        if tag in ("article", "main"):
+            for part in within:
+                self.anchored[part] = True
+        if fresh:
+            within = ()
+        if names:
+            part = len(self.anchored)
+            self.anchored[part] = False
+            within = (*within, part)
+            if COMMENTS.search(names):
+                comments = True
+                self.comment_parts.add(part)
+        if tag in ("header", "h1") and any(x[0] in ("article", "main") for x in self.open) and not self.state[0] and not names:
             excluded = excluded and tag != "header"  # an article's own heading
         if tag in CONTAINERS:
             self.number += 1
             self.kinds[self.number] = tag
             path = (*path, self.number)
         self.open.append((tag, self.state))
-        self.state = (excluded, comments, hidden or tag in HIDDEN, path)
+        self.state = (excluded, comments, hidden or tag in HIDDEN, path, within)
 
     def close_open(self, tags, stop=()):
         """Close the innermost open one of these tags, unless a stopping element is nearer."""
@@ -149,6 +183,8 @@ class Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_data(self, data):
+        if self.open and self.open[-1][0] == "head" and not data.isspace():
+            self.end_head(False)
         if self.state[2]:
             return
         self.text.append(data)
@@ -177,6 +213,28 @@ def two_clusters(x: np.ndarray) -> float:
         low, high = new
 
 
+def other_parts(parser: Lines) -> set[int]:
+    """The named parts that are not the article."""
+    held, blocks = dict.fromkeys(parser.anchored, 0), dict.fromkeys(parser.anchored, 0)
+    headed, total, anchors = set(), 0, False
+    for x in parser.out:
+        if x["out"]:
+            continue
+        total += len(x["text"])
+        anchors = anchors or x["heading"] or any(parser.kinds[c] in ("article", "main") for c in x["path"])
+        for part in x["named"]:
+            held[part] += len(x["text"])
+            blocks[part] += 1
+            if x["heading"]:
+                headed.add(part)
+
+    def article(part):
+        own = part in headed or (part not in parser.comment_parts and (parser.anchored[part] or (not anchors and blocks[part] >= 3)))
+        return own and 2 * held[part] > total
+
+    return {part for part in parser.anchored if not article(part)}
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks, joined by an empty line."""
     if not html:
@@ -188,6 +246,9 @@ def main_text(html: str | None) -> str:
     lines = parser.out
     for x in lines:
         x["out"] = x["out"] or 2 * x["links"] > len(x["text"])
+    others = other_parts(parser)
+    for x in lines:
+        x["out"] = x["out"] or not others.isdisjoint(x["named"])
     if all(x["out"] for x in lines):
         return ""
     ratio = np.array([0.0 if x["out"] else len(x["text"]) / max(1, x["tags"]) for x in lines])

@@ -166,6 +166,27 @@ def test_html_article_in_parts():
     assert html_text.main_text(f"<article><h1>Title</h1><div><a href=1>Open link</div>{''.join(p)}<a href=2>Next</a></article>") == want
 
 
+def test_html_names_and_open_heads_cost_no_article():
+    """Heads without an end tag, wrapper classes and phrases in names leave the article."""
+    long = [f"Paragraph {k} of the text, long enough to be content by its ratio of text to tags." for k in range(6)]
+    p = "".join(f"<p>{x}</p>" for x in long)
+    nav, foot = "<nav><a href=1>Home</a></nav>", "<div class=site-footer>Footer of the page, all of it, and who made it.</div>"
+    want = "\n\n".join(["Title", *long])
+    assert html_text.main_text(f"<html><head><title>t</title><body>{nav}<div><h1>Title</h1>{p}</div>{foot}") == want
+    assert html_text.main_text(f"<html><head><title>t</title><div><h1>Title</h1>{p}</div>{foot}") == want
+    assert html_text.main_text(f"<head><meta charset=utf-8><title>t</title>{p}") == "\n\n".join(long)
+    for name in ("page no-sidebar", "post has-comments", "share-price-report", "page with-banner", "search-for-life", "header"):
+        for tag in ("div", "section"):
+            assert html_text.main_text(f"<body>{nav}<{tag} class='{name}'><h1>Title</h1>{p}</{tag}>{foot}</body>") == want, name
+            assert html_text.main_text(f"<body>{nav}<{tag} id='{name.split()[-1]}'><article><h1>Title</h1>{p}</article></{tag}>{foot}</body>") == want, name
+    part = "<section id='search-for-life'><p>One of three.</p><p>Two of three.</p><p>Three of three.</p></section>"
+    assert html_text.main_text(f"<article><h1>Title</h1>{p}{part}</article>") == f"{want}\n\nOne of three.\n\nTwo of three.\n\nThree of three."
+    # comments and sidebars go even where they are most of the page
+    for name in ("comments", "comment-list", "sidebar", "related-posts", "newsletter-box"):
+        assert html_text.main_text(f"<article><h1>Title</h1>{p}<div class={name}>{p}{p}{p}</div></article>") == want, name
+        assert html_text.main_text(f"<div id=content><h1>Title</h1>{p}</div><div class={name}>{p}{p}{p}</div>") == want, name
+
+
 def test_html_odd_pages(spark):
     assert [html_text.main_text(h) for h in (None, "", "<p></p>", "plain text", "<p>a<p>b", "<<<", "<div class=ad>x</div>")] == ["", "", "", "plain text", "a\n\nb", "<<<", ""]
     pages = spark.createDataFrame([(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "<p>t</p>", "x")], "page_id long, url string, html string, text string")
