@@ -2,7 +2,9 @@
 
 Words are hashed in bulk. Each task sorts the suffixes of its documents (those that
 begin like some test suffix; no other can match) into shard arrays, binary-searches every
-distinct test window in them, and marks the words at all matching locations.
+distinct test window in them, and marks the words at all matching locations. Hashes only
+propose: no two words of a set of test items share one (else the set takes another seed),
+and a place counts if its words are the test words byte for byte.
 
 Null or wordless text has no words: zero counts, no items, not contaminated. Wordless
 items have no window. An item id that is null is listed as an empty string; an id that
@@ -22,9 +24,10 @@ from .common import table, texts
 
 #: Bytes of documents in one shard; bytes of test items that one step holds.
 SHARD, ITEM_BYTES = 1 << 22, 1 << 24
-BASE = np.uint64(0x9E3779B97F4A7C15)
-BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+BASE = 0x9E3779B97F4A7C15
 BITS = 22
+#: Words over so many bytes are hashed one by one: the bulk hash has known collisions of long words.
+LONG = 64
 
 
 def word_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -36,30 +39,46 @@ def word_tables() -> tuple[np.ndarray, np.ndarray]:
     return low, word[low]
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the seed's base and of its inverse."""
+    base = (BASE + 2 * seed * 0xD1342543DE82EF95) % (1 << 64)
+
     def chain(base):
         out = np.full(n, base, np.uint64)
         out[0] = 1
         return np.multiply.accumulate(out)
 
-    return chain(BASE), chain(BASE_INVERSE)
+    return chain(base), chain(pow(base, -1, 1 << 64))
 
 
-def words_of(parts: list[bytes], tables, power) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit word hashes, number of words per part) of texts laid side by side."""
+def words_of(parts: list[bytes], tables, power, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts laid side by side: 64-bit word hashes, words per part, lower-cased bytes, where words start and stop."""
     data = np.frombuffer(b"\n".join(parts), np.uint8)
     ends = np.cumsum([len(p) + 1 for p in parts])
     low, word = tables
     inside = np.concatenate([[False], word[data], [False]])
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     start, stop = edge[::2], edge[1::2]
+    lower = low[data]
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((low[data].astype(np.uint64) + np.uint64(1)) * power[0][: len(data)], out=total[1:])
+    np.cumsum((lower.astype(np.uint64) + np.uint64(1)) * power[0][: len(data)], out=total[1:])
     value = (total[stop] - total[start]) * power[1][start]
     value ^= value >> np.uint64(31)
     value *= np.uint64(0xD6E8FEB86659FD93)
     value ^= (value >> np.uint64(32)) + (stop - start).astype(np.uint64)
-    return np.maximum(value, np.uint64(1)), np.diff(np.searchsorted(start, ends), prepend=0)
+    for k in np.flatnonzero(stop - start > LONG):
+        word = hashlib.blake2b(lower[start[k] : stop[k]].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little"))
+        value[k] = int.from_bytes(word.digest(), "little")
+    return np.maximum(value, np.uint64(1)), np.diff(np.searchsorted(start, ends), prepend=0), lower, start, stop
+
+
+def vocabulary(words: np.ndarray, lower: np.ndarray, start: np.ndarray, stop: np.ndarray) -> dict[int, bytes] | None:
+    """The word of every hash, or None if two words share one."""
+    data, known = lower.tobytes(), {}
+    for value, a, b in zip(words.tolist(), start.tolist(), stop.tolist(), strict=True):
+        if known.setdefault(value, data[a:b]) != data[a:b]:
+            return None
+    return known
 
 
 def windows_at(words: np.ndarray, at: np.ndarray, room: np.ndarray, width: int) -> np.ndarray:
@@ -82,12 +101,18 @@ def starts_hash(words: np.ndarray, k: int) -> np.ndarray:
 
 def test_index(items: list[tuple], width: int) -> dict:
     """Distinct test windows in order, their lengths, and the items that hold them."""
-    tables = word_tables()
+    tables, seed, known = word_tables(), -1, None
+    data = [(text or "").encode() for _, text in items]
+    while known is None:
+        seed += 1
+        power = powers(sum(map(len, data)) + len(data) + 2, seed)
+        every, counts, *places = words_of(data, tables, power, seed) if data else (np.zeros(0, np.uint64), [], *[np.zeros(0, np.int64)] * 3)
+        known = vocabulary(every, *places)
+    ends = np.cumsum(counts, dtype=np.int64)
     names, rows, lengths, owner = [], [], [], []
     heads = {k: np.zeros(1 << BITS, bool) for k in (1, 2, 3)}
-    for name, text in items:
-        data = (text or "").encode()
-        words, _ = words_of([data], tables, powers(len(data) + 2))
+    for k, (name, _) in enumerate(items):
+        words = every[ends[k] - counts[k] : ends[k]]
         if not len(words):
             continue
         size = min(width, len(words))
@@ -99,12 +124,12 @@ def test_index(items: list[tuple], width: int) -> dict:
         heads[k][starts_hash(words, k)] = True
         names.append("" if name is None else str(name))
     if not rows:
-        return {"rows": np.zeros(0, f"S{8 * width}"), "heads": {}, "names": []}
+        return {"rows": np.zeros(0, f"S{8 * width}"), "heads": {}, "names": [], "seed": seed, "words": known}
     window, group = np.unique(np.concatenate(rows), return_inverse=True)
     length = np.zeros(len(window), np.int64)
     length[group] = np.concatenate(lengths)
     pair = np.unique(np.stack([group, np.concatenate(owner)]), axis=1)
-    return {"rows": window, "length": length, "first": np.searchsorted(pair[0], np.arange(len(window) + 1)), "items": pair[1], "names": names, "heads": {k: v for k, v in heads.items() if v.any()}}
+    return {"rows": window, "length": length, "first": np.searchsorted(pair[0], np.arange(len(window) + 1)), "items": pair[1], "names": names, "heads": {k: v for k, v in heads.items() if v.any()}, "seed": seed, "words": known}
 
 
 def search(words: np.ndarray, counts: np.ndarray, index: dict, width: int):
@@ -134,10 +159,26 @@ def search(words: np.ndarray, counts: np.ndarray, index: dict, width: int):
     return at[spot], window
 
 
+def confirmed(at: np.ndarray, length: np.ndarray, words: np.ndarray, lower: np.ndarray, start: np.ndarray, stop: np.ndarray, known: dict[int, bytes]) -> np.ndarray:
+    """Which matches hold the test words themselves, not only their hashes."""
+    edge = np.zeros(len(words) + 1, np.int64)
+    np.add.at(edge, at, 1)
+    np.add.at(edge, at + length, -1)
+    asked = np.flatnonzero(np.cumsum(edge)[:-1])
+    wrong = np.zeros(len(words) + 1, np.int64)
+    for k, value, a, b in zip(asked.tolist(), words[asked].tolist(), start[asked].tolist(), stop[asked].tolist(), strict=True):
+        wrong[k + 1] = known[value] != lower[a:b].tobytes()
+    wrong = np.cumsum(wrong)
+    return wrong[at + length] == wrong[at]
+
+
 def shard_hits(parts: list[bytes], index: dict, width: int, tables, power):
     """Per text: (words, flags of hit words, item numbers)."""
-    words, counts = words_of(parts, tables, power)
+    words, counts, *places = words_of(parts, tables, power, index["seed"])
     at, window = search(words, counts, index, width)
+    if len(at):
+        real = confirmed(at, index["length"][window], words, *places, index["words"])
+        at, window = at[real], window[real]
     mark = np.zeros(len(words) + 1, np.int32)
     if len(at):
         np.add.at(mark, at, 1)
@@ -162,7 +203,9 @@ def mark_hits(docs: DataFrame, index: dict, width: int, id_type: str) -> DataFra
     run_type = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
     def run(batches):
-        index, tables, power = shared.value, word_tables(), powers(SHARD + (1 << 17))
+        index, tables = shared.value, word_tables()
+        seed = index["seed"]
+        power = powers(SHARD + (1 << 17), seed)
         for batch in batches:
             out = {"n": [], "hits": [], "items": []}
             held, size, row = [], 0, 0
@@ -171,7 +214,7 @@ def mark_hits(docs: DataFrame, index: dict, width: int, id_type: str) -> DataFra
             def flush():
                 nonlocal held, size, row, power
                 if held and size + len(held) + 1 > len(power[0]):
-                    power = powers(size + len(held) + 1)
+                    power = powers(size + len(held) + 1, seed)
                 for n, hit, items in shard_hits(held, index, width, tables, power) if held else ():
                     for run in old_hits[row]:
                         hit[run["a"] : run["b"]] = True
