@@ -15,12 +15,14 @@ from __future__ import annotations
 import gc
 import hashlib
 import json
+import pickle
 import re
 import struct
 import unicodedata
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -249,12 +251,15 @@ def digest_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_i
 
 def _encoded(docs, vocabulary_path, id_col, text_col, digest):
     with open(vocabulary_path, encoding="utf-8") as file:
-        # what a worker remembers stays with the broadcast vocabulary, from task to task
-        shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(file.read()))
+        # sent by value in the one list that a worker keeps, so that it needs no package; what
+        # it remembers stays with the vocabulary it makes of that, from task to task
+        shared = docs.sparkSession.sparkContext.broadcast([cloudpickle.dumps(Vocabulary(file.read()))])
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        encoder = Encoder(shared.value)
+        if isinstance(shared.value[0], bytes):
+            shared.value[0] = pickle.loads(shared.value[0])
+        encoder = Encoder(shared.value[0])
         names = encoder.vocabulary.names
         for batch in batches:
             out = [[], [], []]
