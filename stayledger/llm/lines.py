@@ -51,23 +51,29 @@ def boilerplate(docs: DataFrame, text_col: str, site_col: str, sites: int, least
     return wide.where(F.col("estimate") > sites * (1 + BAND)).select("h1", "h2").union(exact.select("h1", "h2"))
 
 
-def remove_lines(docs: DataFrame, text_col: str = "text", site_col: str = "source", sites: int = SITES, least: int = LEAST) -> DataFrame:
-    """The rows of docs with boilerplate lines gone from the text, and (_lines, _removed)."""
+def remove_lines(docs: DataFrame, text_col: str = "text", site_col: str = "source", sites: int = SITES, least: int = LEAST, count_col: str = "_lines", removed_col: str = "_removed") -> DataFrame:
+    """The rows of docs with boilerplate lines gone from the text, and their counts of lines.
+
+    The two count columns can be named otherwise where docs has columns called like them.
+    """
     work = Workspace(docs.sparkSession, "lines")
     common = boilerplate(docs, text_col, site_col, sites, least, work)
-    own = docs.select("*", *(c.alias(f"_{n}") for c, n in zip(text_key(text_col), ("k1", "k2"), strict=True)))
-    each = own.select("_k1", "_k2", F.explode(hashes(F.col(text_col), least)).alias("h")).select("_k1", "_k2", "h.h1", "h.h2")
-    met = each.join(common, ["h1", "h2"]).groupBy("_k1", "_k2").agg(F.collect_set(F.struct("h1", "h2")).alias("_bad"))
-    lines = F.split(F.col(text_col), "\n", -1)
-    stay = F.filter(lines, lambda x: ~(F.length(F.trim(x)) >= least) | ~F.array_contains("_bad", line_hash(x)))
-    joined = own.join(met, ["_k1", "_k2"], "left").withColumn("_stay", F.when(F.col("_bad").isNotNull(), stay))
+    # the row travels as one column, so none of its names can clash
+    k1, k2 = text_key(text_col)
+    own = docs.select(k1.alias("k1"), k2.alias("k2"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    each = docs.select(k1.alias("k1"), k2.alias("k2"), F.explode(hashes(F.col(text_col), least)).alias("h")).select("k1", "k2", "h.h1", "h.h2")
+    met = each.join(common, ["h1", "h2"]).groupBy("k1", "k2").agg(F.collect_set(F.struct("h1", "h2")).alias("bad"))
+    old = F.col("row")[text_col]
+    lines = F.split(old, "\n", -1)
+    stay = F.filter(lines, lambda x: ~(F.length(F.trim(x)) >= least) | ~F.array_contains("bad", line_hash(x)))
+    joined = own.join(met, ["k1", "k2"], "left").withColumn("stay", F.when(F.col("bad").isNotNull(), stay))
     # what is left must hold a line of its own
-    changes = F.col("_bad").isNotNull() & F.exists("_stay", lambda x: F.length(F.trim(x)) >= least)
-    text = F.when(changes, F.array_join("_stay", "\n")).otherwise(F.col(text_col))
-    count = F.coalesce(F.when(F.col(text_col).isNotNull(), F.size(lines)), F.lit(0)).cast("long")
-    removed = F.when(changes, F.size(lines) - F.size("_stay")).otherwise(0).cast("long")
-    kept = [F.col(c) if c != text_col else text.alias(text_col) for c in docs.columns]
-    return joined.select(*kept, count.alias("_lines"), removed.alias("_removed"))
+    changes = F.col("bad").isNotNull() & F.exists("stay", lambda x: F.length(F.trim(x)) >= least)
+    text = F.when(changes, F.array_join("stay", "\n")).otherwise(old)
+    count = F.coalesce(F.when(old.isNotNull(), F.size(lines)), F.lit(0)).cast("long")
+    removed = F.when(changes, F.size(lines) - F.size("stay")).otherwise(0).cast("long")
+    kept = [F.col("row")[c].alias(c) if c != text_col else text.alias(text_col) for c in docs.columns]
+    return joined.select(*kept, count.alias(count_col), removed.alias(removed_col))
 
 
 def op7_line_dedup(spark, folder: str) -> DataFrame:
