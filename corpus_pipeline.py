@@ -30,8 +30,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that stand on many sites, short ones included."""
-    done = lines.remove_lines(docs, least=1)
-    size = F.when(F.col("_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    total, removed = (next(n for n in (name + "_" * k for k in range(len(docs.columns) + 1)) if n not in docs.columns) for name in ("n_lines", "n_removed"))
+    done = lines.remove_lines(docs, least=1, count_col=total, removed_col=removed)
+    size = F.when(F.col(removed) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return done.select(*(size.alias(c) if c == "n_chars" else c for c in docs.columns))
 
 
@@ -42,10 +43,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     kind = docs.schema["doc_id"].dataType
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0).cast(kind)).alias("doc_id"), *text_key("text"), F.xxhash64(*docs.columns).alias("rest"))
-    keyed = docs.withColumn("_key", key)
-    groups = simhash.similar_groups(keyed, id_col="_key", width=SHINGLE, similarity=SIMILARITY)
-    first = groups.where(F.col("_key") == F.col("component_id")).select("_key").distinct()
-    return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    keyed = docs.select(key.alias("key"), "text", F.struct(*docs.columns).alias("row"))
+    groups = simhash.similar_groups(keyed, id_col="key", width=SHINGLE, similarity=SIMILARITY)
+    first = groups.where(F.col("key") == F.col("component_id")).select("key").distinct()
+    return keyed.join(first, "key", "left_semi").dropDuplicates(["key"]).select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
