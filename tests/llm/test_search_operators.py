@@ -208,6 +208,19 @@ def test_pipeline_stages_take_odd_tables(spark):
             stage(spark, spark.createDataFrame(rows, schema), "/root/testdata/sf0.001").count()
 
 
+def test_pipeline_stages_keep_clashing_columns(spark):
+    """Columns named like a stage's own pass through every stage but the last."""
+    names = ["row", "key", "id", "k1", "k2", "h1", "h2", "bad", "stay", "node", "hits", "_key", "_k1", "_lines", "_removed", "n_lines", "n_removed", "component_id"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} long" for n in names)
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "abc"]
+    docs = spark.createDataFrame([(k, t, "en", "a", len(t), *(100 * k + i for i in range(len(names)))) for k, t in enumerate([*texts, texts[0]])], schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "/root/testdata/sf0.001")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *names]
+    got = sorted(tuple(r) for r in docs.collect())
+    assert got == [(k, t, "en", "a", len(t), *(100 * k + i for i in range(len(names)))) for k, t in enumerate(texts)]
+
+
 def test_similar_groups_of_a_template(spark):
     """Texts of one template around the bound: refused pairs must not take the place of true ones."""
     rng = np.random.default_rng(4)

@@ -3,11 +3,14 @@
 import hashlib
 import html as entities
 import re
+import subprocess
+import sys
 from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from stayledger.llm import bpe, decontaminate, html_text, language, lines, secrets, suffix, toxicity
@@ -285,6 +288,15 @@ def test_bpe_equals_the_library(docs, rows, no_docs):
     assert bpe.digest_documents(no_docs, path).count() == 0
 
 
+def test_bpe_vocabulary_travels_by_value():
+    """A worker without the package can read what is broadcast."""
+    with open(bpe.public_vocabulary(), encoding="utf-8") as file:
+        sent = cloudpickle.dumps(bpe.Vocabulary(file.read()))
+    code = "import pickle, sys, importlib.util as u; assert u.find_spec('stayledger') is None; print(len(pickle.load(sys.stdin.buffer).names))"
+    done = subprocess.run([sys.executable, "-I", "-c", code], input=sent, capture_output=True, check=True)
+    assert int(done.stdout) > 40000
+
+
 def test_bpe_odd_texts():
     tokenizers = pytest.importorskip("tokenizers")
     path = bpe.public_vocabulary()
@@ -341,6 +353,28 @@ def test_repeats_removed(docs, rows, no_docs, monkeypatch, length, most):
 # ---- benchmark ----
 
 
+def thue_morse(n):
+    """Two words of 2 ** n letters that a polynomial modulo 2 ** 64 can't tell apart."""
+    bits = [bin(i).count("1") % 2 for i in range(2**n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_overlap_compares_words(spark, monkeypatch):
+    """Words that share a hash are not the same word."""
+    one, other = thue_morse(10)
+    docs = spark.createDataFrame([(1, one), (2, other), (3, f"x {other} {one}")], "doc_id long, text string")
+    tests = spark.createDataFrame([(1, one)], "item_id long, text string")
+    rows = lambda: sorted((r.doc_id, r.n_words, r.n_hit, r.n_items) for r in decontaminate.overlap_report(docs, tests).collect())
+    want = [(1, 1, 1, 1), (2, 1, 0, 0), (3, 3, 1, 1)]
+    assert rows() == want
+    monkeypatch.setattr(decontaminate, "LONG", 1 << 30)  # the words collide: only the bytes tell them apart
+    assert rows() == want
+    tables, power = decontaminate.word_tables(), decontaminate.powers(4096)
+    assert decontaminate.vocabulary(*(lambda w, c, *p: (w, *p))(*decontaminate.words_of([one.encode(), other.encode()], tables, power))) is None
+    monkeypatch.undo()
+    assert len(decontaminate.test_index([(1, one), (2, other)], 10)["words"]) == 2
+
+
 def test_overlap_matches_brute_force(spark, docs, rows, no_docs, monkeypatch):
     pattern = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     items = [(1, " ".join(rows[12][1].split()[3:25])), (2, "ALPHA beta"), (3, None), (4, ""), (5, rows[30][1]), (5, rows[31][1]), (None, "mu2 λ"), (7, "never seen words"), (10, "one")]
