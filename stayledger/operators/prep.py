@@ -4,12 +4,15 @@ Numeric columns: exact median fill, missing indicators for columns that had
 missing values at fit time, then population-sd scaling of both.  Categorical
 columns: most-frequent (or constant) fill and one column per sorted category,
 all zeros for a category not seen at fit time.  Columns not listed are dropped
-from the vector.  The fitted model is a set of expressions in one projection.
+from the vector.  The fitted model is a set of expressions in one projection;
+categories of columns with more than ``inlineCategories`` values stay a table,
+are joined and become sparse vectors.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -18,14 +21,22 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasOutputCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, functions as F, types as T
-
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+)
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from stayledger.operators import categories
 from stayledger.operators.checks import require_columns
 from stayledger.operators.profile import category_counts
-from stayledger.operators.scale import exact_quantiles
+from stayledger.operators.scale import exact_quantiles, fits_broadcast
+from stayledger.session import shared_folder, stable
 
 CONSTANT_FILL = "missing_value"
+INLINE_CATEGORIES = 256
 
 
 def infer_feature_types(
@@ -69,7 +80,13 @@ class _PreprocessorParams(HasOutputCol):
     maxCategories = Param(
         Params._dummy(),
         "maxCategories",
-        "error beyond this many one-hot columns",
+        "error beyond this many one-hot columns, 0 for no limit",
+        TypeConverters.toInt,
+    )
+    inlineCategories = Param(
+        Params._dummy(),
+        "inlineCategories",
+        "a column with more categories keeps them in a table",
         TypeConverters.toInt,
     )
 
@@ -87,7 +104,8 @@ class TabularPreprocessor(
         scale=True,
         categoricalFill="most_frequent",
         sparseOutput=False,
-        maxCategories=10000,
+        maxCategories=0,
+        inlineCategories=INLINE_CATEGORIES,
         outputCol="features",
     ):
         super().__init__()
@@ -98,7 +116,8 @@ class TabularPreprocessor(
             scale=True,
             categoricalFill="most_frequent",
             sparseOutput=False,
-            maxCategories=10000,
+            maxCategories=0,
+            inlineCategories=INLINE_CATEGORIES,
             outputCol="features",
         )
         given = dict(self._input_kwargs)
@@ -113,12 +132,11 @@ class TabularPreprocessor(
         numeric = self.getOrDefault("numericCols")
         categorical = self.getOrDefault("categoricalCols")
         require_columns(df, [*numeric, *categorical])
-        state = {
-            **self._fit_numeric(df, numeric),
-            **self._fit_categorical(df, categorical),
-        }
+        found, path = self._fit_categorical(df, categorical)
+        state = {**self._fit_numeric(df, numeric), "categorical": found}
         model = TabularPreprocessorModel(
             state=json.dumps(state),
+            dictionaryPath=path,
             sparseOutput=self.getOrDefault("sparseOutput"),
             outputCol=self.getOrDefault("outputCol"),
         )
@@ -165,33 +183,60 @@ class TabularPreprocessor(
         ]
         return {"numeric": values, "indicators": flags}
 
-    def _fit_categorical(self, df: DataFrame, categorical: Sequence[str]) -> dict:
+    def _fit_categorical(
+        self, df: DataFrame, categorical: Sequence[str]
+    ) -> tuple[list[dict], str]:
+        """What is fitted per column, and the folder of the columns' dictionary if any."""
         if not categorical:
-            return {"categorical": []}
+            return [], ""
+        counts = stable(category_counts(df, categorical))
+        constant = self.getOrDefault("categoricalFill") == "constant"
+        if constant:
+            value = F.coalesce("value", F.lit(CONSTANT_FILL)).alias("value")
+            counts = counts.groupBy("column_name", value).agg(F.sum("n").alias("n"))
+        summary = {r["column_name"]: r for r in categories.category_summary(counts).collect()}
         limit = self.getOrDefault("maxCategories")
-        rows = category_counts(df, categorical).take(limit + len(categorical) + 1)
-        seen: dict[str, dict[str, int]] = {c: {} for c in categorical}
-        missing = {c: 0 for c in categorical}
-        for r in rows:
-            if r["value"] is None:
-                missing[r["column_name"]] = r["n"]
-            else:
-                seen[r["column_name"]][r["value"]] = r["n"]
-        if sum(len(v) for v in seen.values()) > limit:
+        if 0 < limit < sum(r["size"] for r in summary.values()):
             raise ValueError(f"more than {limit} categories to one-hot encode")
+        inline = self.getOrDefault("inlineCategories")
+        sizes = {c: summary[c]["size"] for c in categorical if c in summary}
+        values: dict[str, list[str]] = {c: [] for c, n in sizes.items() if 0 < n <= inline}
+        wide = [c for c, n in sizes.items() if n > inline]
+        listed = counts.where(F.col("value").isNotNull() & F.col("column_name").isin(list(values)))
+        for r in listed.collect():
+            values[r["column_name"]].append(r["value"])
+        path, small = "", True
+        if wide:
+            path = f"{shared_folder(df.sparkSession)}/dictionary-{uuid.uuid4().hex}"
+            numbered = categories.number_categories(counts.where(F.col("column_name").isin(wide)))
+            numbered.write.parquet(path)
+            small = fits_broadcast(df.sparkSession.read.parquet(path))
         out = []
-        for c in categorical:
-            counts = seen[c]
-            if self.getOrDefault("categoricalFill") == "constant":
-                fill = CONSTANT_FILL
-                if missing[c]:
-                    counts = {**counts, fill: counts.get(fill, 0) + missing[c]}
-            elif counts:
-                top = max(counts.values())
-                fill = min(v for v, n in counts.items() if n == top)
-            if counts:
-                out.append({"column": c, "fill": fill, "values": sorted(counts)})
-        return {"categorical": out}
+        for c in sizes:
+            fill = CONSTANT_FILL if constant else summary[c]["top"]
+            if c in values:
+                out.append({"column": c, "fill": fill, "values": sorted(values[c])})
+            elif c in wide:
+                out.append({"column": c, "fill": fill, "size": sizes[c], "small": small})
+        return out, path
+
+
+class _ModelWriter(DefaultParamsWriter):
+    """The dictionary is saved beside the parameters, so the saved model is whole."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        source = self.instance.getOrDefault("dictionaryPath")
+        if source:
+            self.sparkSession.read.parquet(source).write.parquet(f"{path}/dictionary")
+
+
+class _ModelReader(DefaultParamsReader):
+    def load(self, path: str) -> TabularPreprocessorModel:
+        model = super().load(path)
+        if model.getOrDefault("dictionaryPath"):
+            model._set(dictionaryPath=f"{path}/dictionary")
+        return model
 
 
 class TabularPreprocessorModel(
@@ -201,19 +246,40 @@ class TabularPreprocessorModel(
     sparseOutput = Param(
         Params._dummy(), "sparseOutput", "compress vectors", TypeConverters.toBoolean
     )
+    dictionaryPath = Param(
+        Params._dummy(), "dictionaryPath", "folder of the dictionary", TypeConverters.toString
+    )
 
     @keyword_only
-    def __init__(self, *, state="{}", sparseOutput=False, outputCol="features"):
+    def __init__(self, *, state="{}", sparseOutput=False, dictionaryPath="", outputCol="features"):
         super().__init__()
-        self._setDefault(state="{}", sparseOutput=False, outputCol="features")
+        self._setDefault(state="{}", sparseOutput=False, dictionaryPath="", outputCol="features")
         self._set(**self._input_kwargs)
 
+    def write(self) -> _ModelWriter:
+        return _ModelWriter(self)
+
+    @classmethod
+    def read(cls) -> _ModelReader:
+        return _ModelReader(cls)
+
     @property
     def fitted(self) -> dict:
         return json.loads(self.getOrDefault("state"))
 
-    def _columns(self) -> list[tuple[str, Column]]:
-        """(output name, expression) in vector order."""
+    def dictionary(self, spark: SparkSession) -> DataFrame:
+        """(column_name, value, idx) of the columns whose categories are a table."""
+        return spark.read.parquet(self.getOrDefault("dictionaryPath"))
+
+    def _values(self, f: dict) -> list[str]:
+        """A column's categories in order; as many as the vector has entries for it."""
+        if "values" in f:
+            return f["values"]
+        own = self.dictionary(SparkSession.active()).where(F.col("column_name") == f["column"])
+        return [r["value"] for r in sorted(own.collect(), key=lambda r: r["idx"])]
+
+    def _columns(self, wide: bool = True) -> list[tuple[str, Column]]:
+        """(output name, expression) in vector order, with or without dictionary columns."""
         fitted = self.fitted
         out = []
         for f in fitted["numeric"]:
@@ -230,10 +296,12 @@ class TabularPreprocessorModel(
                 )
             )
         for f in fitted["categorical"]:
+            if "values" not in f and not wide:
+                continue
             filled = F.coalesce(F.col(f"`{f['column']}`").cast("string"), F.lit(f["fill"]))
             out += [
                 (f"categorical__{f['column']}_{v}", (filled == F.lit(v)).cast("double"))
-                for v in f["values"]
+                for v in self._values(f)
             ]
         return out
 
@@ -246,6 +314,8 @@ class TabularPreprocessorModel(
 
     def _transform(self, df: DataFrame) -> DataFrame:
         output = self.getOrDefault("outputCol")
+        if self.getOrDefault("dictionaryPath"):
+            return self._transform_wide(df, output)
         expressions = [c for _, c in self._columns()]
         if not self.getOrDefault("sparseOutput"):
             return df.withColumn(output, array_to_vector(F.array(*expressions)))
@@ -253,6 +323,36 @@ class TabularPreprocessorModel(
         wide = df.select("*", *[c.alias(p) for p, c in zip(parts, expressions)])
         return VectorAssembler(inputCols=parts, outputCol=output).transform(wide).drop(*parts)
 
+    def _transform_wide(self, df: DataFrame, output: str) -> DataFrame:
+        """Blocks in vector order: expressions, and one sparse vector per dictionary column."""
+        found = self.fitted["categorical"]
+        tables = [f for f in found if "values" not in f]
+        codes = {f["column"]: f"_code{i}" for i, f in enumerate(tables)}
+        numbers = dict(self._columns(wide=False))
+        singles = {name: f"_f{i}" for i, name in enumerate(numbers)}
+        blocks = [singles[n] for n in numbers if not n.startswith("categorical__")]
+        for f in found:
+            if "values" in f:
+                blocks += [singles[f"categorical__{f['column']}_{v}"] for v in f["values"]]
+            else:
+                blocks.append(f"{codes[f['column']]}_hot")
+        wide = df.select("*", *[c.alias(singles[n]) for n, c in numbers.items()])
+        coded = categories.category_codes(
+            wide,
+            self.dictionary(df.sparkSession),
+            codes,
+            fills={f["column"]: f["fill"] for f in tables},
+            small=all(f["small"] for f in tables),
+        )
+        hot = categories.one_hot_codes(
+            coded,
+            {codes[f["column"]]: f["size"] for f in tables},
+            {c: f"{c}_hot" for c in codes.values()},
+        )
+        joined = VectorAssembler(inputCols=blocks, outputCol=output).transform(hot).drop(*blocks)
+        # one attribute per category would make the schema as wide as the dictionary
+        return joined.withMetadata(output, {})
+
 
 def build_preprocessor(
     numeric_features: Sequence[str],

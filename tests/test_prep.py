@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from stayledger.operators import prep
+from stayledger.operators import categories, prep
 from tests.conftest import FEATURES
 
 
@@ -100,6 +100,56 @@ def test_too_many_categories_is_an_error(spark):
         narrow.fit(df)
 
 
+@pytest.mark.parametrize("fill", ["most_frequent", "constant"])
+def test_dictionary_equals_inline_categories(splits, tmp_path, fill):
+    """Categories kept as a table give the vectors that expressions give."""
+    train, _, test = splits
+    odd = test.unionByName(test.limit(3).withColumn("admission_type", F.lit("NEW_CATEGORY")).withColumn("stay_id", -F.col("stay_id")))
+    pick = lambda m: [r["features"].toArray().tolist() for r in m.transform(odd).orderBy("stay_id").collect()]
+    options = dict(numericCols=FEATURES[:3], categoricalCols=FEATURES[3:], categoricalFill=fill)
+    inline = prep.TabularPreprocessor(**options).fit(train)
+    for most in (1, 2):  # both columns in the table, and one of them
+        table = prep.TabularPreprocessor(**options, inlineCategories=most).fit(train)
+        assert any("size" in f for f in table.fitted["categorical"])
+        assert table.feature_names() == inline.feature_names()
+        assert pick(table) == pick(inline)
+        assert table.named(odd).exceptAll(inline.named(odd)).count() == 0
+        path = str(tmp_path / f"{fill}{most}")
+        PipelineModel(stages=[table]).write().overwrite().save(path)
+        again = PipelineModel.load(path).stages[0]
+        assert again.getOrDefault("dictionaryPath").startswith(path)
+        assert pick(again) == pick(inline)
+
+
+def test_twenty_thousand_categories(spark):
+    rows = spark.range(0, 60_000, 1, 4).select(
+        (F.col("id") * 1.0).alias("x"), F.concat(F.lit("v"), F.col("id") % 20_000).alias("k"), "id"
+    )
+    model = prep.build_preprocessor(["x"], ["k"]).fit(rows.where("id < 40000"))
+    order = sorted(f"v{i}" for i in range(20_000))
+    assert model.dictionary(spark).orderBy("idx").toPandas()["value"].tolist() == order
+    done = model.transform(rows).select("id", "k", "features")
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    place = {v: i for i, v in enumerate(order)}
+    for r in done.where("id % 997 = 0").collect():
+        v = r["features"]
+        assert v.size == 20_001 and place[r["k"]] + 1 in v.indices and v[place[r["k"]] + 1] == 1.0 and len(v.indices) <= 2
+
+
+def test_codes_whatever_the_join(spark):
+    """NULL, unknown, hot and empty values; broadcast, shuffled, and a clashing column."""
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("", 4), ("new", 5), ("b", 6)], "k string, _value long")
+    numbered = categories.category_dictionary(df.where("_value <> 5"), ["k"])
+    assert [tuple(r) for r in numbered.orderBy("idx").collect()] == [("k", "", 0), ("k", "a", 1), ("k", "b", 2)]
+    for small in (True, False, None):
+        got = categories.category_codes(df, numbered, {"k": "code"}, small=small)
+        assert got.columns == ["k", "_value", "code"]
+        assert [r["code"] for r in got.orderBy("_value").collect()] == [1, 1, None, 0, None, 2]
+    none = categories.category_dictionary(df.limit(0), ["k"])
+    assert none.count() == 0 and categories.category_codes(df, none, {"k": "code"}).where("code is not null").count() == 0
+
+
 def test_saved_model_transforms_alike(splits, tmp_path):
     train, _, test = splits
     model = prep.fit_preprocessor(stage(), train)
