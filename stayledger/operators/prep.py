@@ -308,6 +308,28 @@ class TabularPreprocessorModel(
     def feature_names(self) -> list[str]:
         return [name for name, _ in self._columns()]
 
+    def feature_table(self, spark: SparkSession) -> DataFrame:
+        """(position, feature) of the vector's entries; dictionaries stay on the executors."""
+        fitted = self.fitted
+        singles = iter(name for name, _ in self._columns(wide=False))
+        named, wide, at = [], [], 0
+        for _ in (*fitted["numeric"], *fitted["indicators"]):
+            named.append((at, next(singles)))
+            at += 1
+        for f in fitted["categorical"]:
+            if "values" in f:
+                named += [(at + i, next(singles)) for i in range(len(f["values"]))]
+                at += len(f["values"])
+            else:
+                wide.append((f["column"], at))
+                at += f["size"]
+        out = spark.createDataFrame(named, "position long, feature string")
+        for column, start in wide:
+            own = self.dictionary(spark).where(F.col("column_name") == column)
+            name = F.concat(F.lit(f"categorical__{column}_"), "value")
+            out = out.union(own.select((F.col("idx") + start).alias("position"), name.alias("feature")))
+        return out
+
     def named(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """The transformed features as ordinary named columns."""
         return df.select(*keep, *[c.alias(name) for name, c in self._columns()])

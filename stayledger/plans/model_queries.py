@@ -259,12 +259,26 @@ def model_roundtrip(t):
 # --- calibration -------------------------------------------------------------------------
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {star.SCORED_ORDERS_SQL}, g AS (SELECT p, CAST(sum(y) AS DOUBLE) AS pos, CAST(count(*) - sum(y) AS DOUBLE) AS neg FROM scored GROUP BY p),
+ n AS (SELECT (sum(pos) + 1) / (sum(pos) + 2) AS hi, 1 / (sum(neg) + 2) AS lo FROM g),
+ w AS (SELECT p, pos + neg AS w, pos * hi + neg * lo AS t FROM g, n),
+ newton(step, a, b) AS (
+  SELECT 0, CAST(0 AS DOUBLE), ln(sum(t) / (sum(w) - sum(t))) FROM w
+  UNION ALL
+  SELECT step + 1, a + (h00 * g1 - h01 * g0) / (h11 * h00 - h01 * h01), b + (h11 * g0 - h01 * g1) / (h11 * h00 - h01 * h01)
+  FROM (SELECT step, a, b, sum((t - w * m) * p) AS g1, sum(t - w * m) AS g0,
+               sum(w * m * (1 - m) * p * p) AS h11, sum(w * m * (1 - m) * p) AS h01, sum(w * m * (1 - m)) AS h00
+        FROM (SELECT step, a, b, p, w, t, 1 / (1 + exp(-(a * p + b))) AS m FROM newton, w WHERE step < 30) q
+        GROUP BY step, a, b) r)
+ SELECT stay_id, y, p, round(1 / (1 + exp(-(a * p + b))), 5) AS calibrated
+ FROM scored, (SELECT a, b FROM newton WHERE step = 30) f"""
+)
 def sigmoid_calibration(t):
     scored = star.scored_orders(t)
     fitted = calibrate.fit_calibrator(scored, method="sigmoid", score="p", target="y")
     return fitted.apply(scored, score="p", out="calibrated").select(
-        "stay_id", "y", "p", "calibrated"
+        "stay_id", "y", "p", F.round("calibrated", 5).alias("calibrated")
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from stayledger.config import (
@@ -13,10 +14,10 @@ from stayledger.config import (
     REVIEW_CONTEXT,
 )
 from stayledger.functions import age_band, knuth_hash
-from stayledger.operators import ledger, metrics, models, prep, scale, split
+from stayledger.operators import categories, ledger, metrics, models, prep, scale, split
 from stayledger.plans import star
 from stayledger.plans.registry import query, rounded
-from stayledger.session import shared_folder
+from stayledger.session import shared_folder, stable
 from stayledger.sources import tables
 
 # --- entity splits -----------------------------------------------------------------------
@@ -293,6 +294,48 @@ def one_hot(t):
     )
 
 
+@query(f"WITH {star.PART_SQL} SELECT column_name, value, idx FROM dictionary")
+def category_dictionary(t):
+    """Numbered categories of the training rows, in code-point order."""
+    rows = star.part_rows(t)
+    return categories.category_dictionary(rows.where("is_train"), ["part", "flag"])
+
+
+@query(
+    f"""WITH {star.PART_SQL}
+ SELECT order_id, line, p.idx AS part_code, f.idx AS flag_code FROM lines_
+ LEFT JOIN dictionary p ON p.column_name = 'part' AND p.value = part
+ LEFT JOIN dictionary f ON f.column_name = 'flag' AND f.value = flag"""
+)
+def category_codes(t):
+    """Codes of all rows; NULL for a value the training rows do not have."""
+    rows = star.part_rows(t)
+    known = stable(categories.category_dictionary(rows.where("is_train"), ["part", "flag"]))
+    coded = categories.category_codes(rows, known, {"part": "part_code", "flag": "flag_code"})
+    return coded.select("order_id", "line", "part_code", "flag_code")
+
+
+@query(
+    f"""WITH {star.PART_SQL},
+ top AS (SELECT part FROM lines_ WHERE is_train AND part IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+ top_flag AS (SELECT flag FROM lines_ WHERE is_train AND flag IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+ filled AS (SELECT coalesce(part, (SELECT part FROM top)) AS part, coalesce(flag, (SELECT flag FROM top_flag)) AS flag FROM lines_),
+ shown AS (SELECT 'part' AS column_name, part AS value FROM filled UNION ALL SELECT 'flag', flag FROM filled),
+ sums AS (SELECT column_name, value, CAST(count(*) AS DOUBLE) AS total FROM shown GROUP BY 1, 2)
+ SELECT 'categorical__' || column_name || '_' || value AS feature, coalesce(total, 0) AS total
+ FROM dictionary LEFT JOIN sums USING (column_name, value)"""
+)
+def sparse_one_hot(t):
+    """Sums of the sparse vectors of all rows, thousands of entries wide, by feature."""
+    rows = star.part_rows(t)
+    stage = prep.build_preprocessor([], ["part", "flag"])
+    model = prep.fit_preprocessor(stage, rows.where("is_train"))
+    sums = model.transform(rows).agg(Summarizer.sum(F.col("features")).alias("v"))
+    names = model.feature_table(t.spark)
+    entries = sums.select(F.posexplode(vector_to_array("v")).alias("position", "total"))
+    return entries.join(names, "position").select("feature", "total")
+
+
 @query(
     f"""WITH {FILLS_SQL}
  SELECT 'price' AS feature, 'median' AS kind, CAST((SELECT price FROM fills) AS VARCHAR) AS value,

@@ -415,6 +415,30 @@ def prep_rows(t: Tables) -> DataFrame:
     )
 
 
+def part_rows(t: Tables) -> DataFrame:
+    """Order lines with the part as a category of many values, some unknown or missing."""
+    key = F.col("l_orderkey")
+    part = F.when(key % 13 != 0, F.col("l_partkey").cast("string"))
+    return t.lineitem.select(
+        key.alias("order_id"),
+        F.col("l_linenumber").alias("line"),
+        part.alias("part"),
+        F.col("l_returnflag").alias("flag"),
+        (key % 10 < 3).alias("is_train"),
+    )
+
+
+PART_SQL = """lines_ AS (
+  SELECT l_orderkey AS order_id, l_linenumber AS line,
+         CASE WHEN l_orderkey % 13 <> 0 THEN CAST(l_partkey AS VARCHAR) END AS part,
+         l_returnflag AS flag, l_orderkey % 10 < 3 AS is_train
+  FROM lineitem),
+dictionary AS (
+  SELECT column_name, value, row_number() OVER (PARTITION BY column_name ORDER BY value) - 1 AS idx
+  FROM (SELECT DISTINCT 'part' AS column_name, part AS value FROM lines_ WHERE is_train AND part IS NOT NULL
+        UNION ALL SELECT DISTINCT 'flag', flag FROM lines_ WHERE is_train AND flag IS NOT NULL) d)"""
+
+
 PREP_SQL = """rows_ AS (
   SELECT o_orderkey AS row_id,
          CASE WHEN o_custkey % 7 <> 0 THEN o_totalprice END AS price,

@@ -142,6 +142,21 @@ def scores(spark):
     return spark.createDataFrame(rows, "id bigint, y int, p double")
 
 
+def test_sigmoid_of_odd_scores(spark):
+    """No rows, one score, missing scores, perfectly separated and far-off scores."""
+    fit = lambda rows: calibrate.fit_sigmoid(spark.createDataFrame(rows, "p double, y int"), score="p", target="y")
+    assert fit([]) == calibrate.SigmoidCalibrator(0.0, 0.0)
+    flat = fit([(0.3, 1), (0.3, 0), (0.3, 0), (None, 1)])
+    assert flat.slope == 0.0 and 1 / (1 + math.exp(-flat.intercept)) == pytest.approx((2 / 3 + 2 / 4) / 3)
+    for far in (0.0, 1e6):
+        split_ = fit([(far + x, int(x > 5)) for x in range(11)])
+        p = [1 / (1 + math.exp(-(split_.slope * (far + x) + split_.intercept))) for x in range(11)]
+        # the optimum: successes and their scores are met on average
+        want = [(5 + 1) / (5 + 2) if x > 5 else 1 / (6 + 2) for x in range(11)]
+        assert sum(p) == pytest.approx(sum(want), abs=1e-6)
+        assert sum(x * v for x, v in enumerate(p)) == pytest.approx(sum(x * v for x, v in enumerate(want)), abs=1e-5)
+
+
 def test_sigmoid_solves_the_smoothed_problem(spark):
     df = scores(spark)
     fitted = calibrate.fit_calibrator(df, method="sigmoid", score="p", target="y")

@@ -112,6 +112,8 @@ def test_dictionary_equals_inline_categories(splits, tmp_path, fill):
         table = prep.TabularPreprocessor(**options, inlineCategories=most).fit(train)
         assert any("size" in f for f in table.fitted["categorical"])
         assert table.feature_names() == inline.feature_names()
+        placed = table.feature_table(train.sparkSession).orderBy("position").collect()
+        assert [tuple(r) for r in placed] == list(enumerate(inline.feature_names()))
         assert pick(table) == pick(inline)
         assert table.named(odd).exceptAll(inline.named(odd)).count() == 0
         path = str(tmp_path / f"{fill}{most}")
