@@ -84,43 +84,6 @@ def spanning_edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return nodes[keep], nodes[label[keep]]
 
 
-def spanning_links(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The edges of a minimum spanning forest of (a, b, weight)."""
-    keep = spanning_places(a, b, weight)
-    return a[keep], b[keep], weight[keep]
-
-
-def spanning_places(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Where the edges of a minimum spanning forest of (a, b, weight) stand, by merging rounds.
-
-    Equal weights are ordered by a hash of the edge, so that no node becomes a hub.
-    """
-    low, high = np.minimum(a, b), np.maximum(a, b)
-    chance = (low * np.uint64(0x9E3779B97F4A7C15)) ^ (high * np.uint64(0xC2B2AE3D27D4EB4F))
-    chance = (chance ^ (chance >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    order = np.lexsort((chance, weight))
-    a, b = a[order], b[order]
-    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
-    left, right = ends[: len(a)], ends[len(a) :]
-    edge, label = np.arange(len(a)), np.arange(len(nodes))
-    chosen = []
-    while True:
-        apart = label[left] != label[right]
-        left, right, edge = left[apart], right[apart], edge[apart]
-        if not len(edge):
-            break
-        first = np.full(len(nodes), len(a))
-        np.minimum.at(first, label[left], edge)
-        np.minimum.at(first, label[right], edge)
-        pick = np.unique(first[first < len(a)])
-        chosen.append(pick)
-        child, root = spanning_edges(label[ends[: len(a)][pick]], label[ends[len(a) :][pick]])
-        to = np.arange(len(nodes))
-        to[child] = root
-        label = to[label]
-    return order[np.concatenate(chosen)] if chosen else np.zeros(0, np.int64)
-
-
 def components(edges: DataFrame, work: Workspace) -> DataFrame:
     """(node, root) of every node in the edges (a, b); root is the component's least node.
 

@@ -8,15 +8,6 @@ sum radius - partitions + 1, which no pair within the radius can escape. Probes
 the indexed values of their partition in sorted runs and are verified on the full
 fingerprint.
 
-`similar_groups` finds texts by Jaccard similarity of their shingle sets. One fingerprint
-puts a pair at 0.8 some ten bits apart, so WORDS independent ones are probed, each within
-WORD_RADIUS bits, and texts meet where one of BANDS min-hash bands agrees as well; a pair
-that met is a candidate when all of its bits differ in LIMIT or less. Candidates are checked
-on the whole texts in rounds. The first emits minimum spanning forests by that distance (a
-dense group gives as many edges as nodes, and its closest pairs). Later ones go on with the
-nodes whose pairs were left out and are still apart, in ever larger shares of them, and the
-last with none left out: a refused pair takes no other's place.
-
 Nulls: a null text has no words. No words: fingerprint zero, linked like any other.
 Rows are never merged: repeated rows get the same answer; a null id takes part in links
 but is no component's name. An empty table gives an empty result.
@@ -31,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, components, spanning_edges, spanning_places, texts
+from .common import Workspace, components, spanning_edges, texts
 
 BINS = 1 << 16
 #: Index rows of one value that a task holds; larger groups are cut into a grid of cells.
@@ -39,11 +30,6 @@ BLOCK = 4096
 #: What a probe row costs, counted in candidate comparisons.
 PROBE_COST = 300
 SLAB = 1 << 21
-#: Fingerprints of a shingle set, bits that one of them may differ in, and bits over all of them:
-#: a pair at similarity 0.8 differs in 39 of 256 bits on average (standard deviation 6).
-WORDS, WORD_RADIUS, LIMIT = 4, 8, 60
-#: Bands of so many min-hashes; a pair at 0.8 shares none of them once in 2800.
-BANDS, BAND_ROWS = 20, 5
 
 
 def fingerprint(text: bytes, width: int) -> int:
@@ -175,11 +161,8 @@ def allocate(costs: list[dict[int, np.ndarray]], total: int) -> np.ndarray:
     return out
 
 
-def probes(fps: DataFrame, groups: list[list[int]], histogram: np.ndarray, radius: int, carry: tuple = ()) -> DataFrame:
-    """(key, probe, fp, carry...): each fingerprint's indexed values and the values it probes.
-
-    The long columns named in carry go with every row.
-    """
+def probes(fps: DataFrame, groups: list[list[int]], histogram: np.ndarray, radius: int) -> DataFrame:
+    """(key, probe, fp): each fingerprint's indexed values and the values it probes."""
     m, total = len(groups), radius - len(groups) + 1
     # a partition may be asked to take all of the radius when the others are crowded, as far as its ball stays small
     most = [max(t for t in range(max(0, total) + 1) if t <= -(-total // m) or len(ball(len(g), t)) <= 1024) for g in groups]
@@ -194,7 +177,6 @@ def probes(fps: DataFrame, groups: list[list[int]], histogram: np.ndarray, radiu
         for whole in batches:
             for at in range(0, whole.num_rows, 4096):
                 fp = whole.column(0).slice(at, 4096).to_numpy().view(np.uint64)
-                side = [fp, *(whole.column(1 + i).slice(at, 4096).to_numpy() for i in range(len(carry)))]
                 mixed = ((fp * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)).astype(np.int64)
                 vals = [values(fp, g) for g in groups]
                 costs = []
@@ -214,7 +196,7 @@ def probes(fps: DataFrame, groups: list[list[int]], histogram: np.ndarray, radiu
                     rows = np.repeat(np.arange(len(fp)), blocks)
                     other = np.arange(len(rows)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
                     cell = (mixed[rows] % blocks[rows]) * blocks[rows] + other
-                    yield batch_of(emit(i, vals[i][rows], cell), False, [c[rows] for c in side], carry)
+                    yield batch_of(emit(i, vals[i][rows], cell), False, fp[rows])
                     for t in range(most[i] + 1):
                         mine = np.flatnonzero(radii[:, i] == t)
                         if not len(mine):
@@ -228,61 +210,36 @@ def probes(fps: DataFrame, groups: list[list[int]], histogram: np.ndarray, radiu
                         again = np.repeat(np.arange(len(rows)), blocks)
                         a = np.arange(len(again)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
                         cell = a * blocks[again] + mixed[rows[again]] % blocks[again]
-                        yield batch_of(emit(i, value[again], cell), True, [c[rows[again]] for c in side], carry)
-
-    return fps.select("fp", *carry).mapInArrow(run, "key long, probe boolean, fp long" + "".join(f", {c} long" for c in carry))
+                        yield batch_of(emit(i, value[again], cell), True, fp[rows[again]])
 
+    return fps.select("fp").mapInArrow(run, "key long, probe boolean, fp long")
 
-def batch_of(key, probe, side, carry):
-    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(key), probe)), *(pa.array(c.view(np.int64)) for c in side)], names=["key", "probe", "fp", *carry])
 
+def batch_of(key, probe, fp):
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(key), probe)), pa.array(fp.view(np.int64))], names=["key", "probe", "fp"])
 
-def thinned(pairs: list[np.ndarray], most: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Of pairs (a, b, weight, root of a, root of b): a minimum spanning forest of the roots
-    and the `most` lightest pairs of each node; and the nodes of the pairs left out."""
-    low, high = np.minimum(pairs[0], pairs[1]), np.maximum(pairs[0], pairs[1])
-    order = np.lexsort((high, low))
-    again = (low[order][1:] == low[order][:-1]) & (high[order][1:] == high[order][:-1])
-    a, b, weight, left, right = pairs = [c[order[np.append(True, ~again)]] for c in pairs]
-    keep = np.zeros(len(a), bool)
-    keep[spanning_places(left, right, weight)] = True
-    if most:
-        ends = np.concatenate([a, b])
-        order = np.lexsort((np.tile(weight, 2), ends))
-        first = np.searchsorted(ends[order], ends[order], "left")
-        keep[order[np.arange(len(ends)) - first < most] % len(a)] = True
-    return [c[keep] for c in pairs], np.unique(np.concatenate([a[~keep], b[~keep]]))
 
-
-def verify(rows: DataFrame, radius: int, carry: tuple = (), limit: int = 0, most: int = 0) -> DataFrame:
+def verify(rows: DataFrame, radius: int) -> DataFrame:
     """(a, b): edges whose components are those of all probe-index pairs within the radius.
 
     Rows of one key come in a sorted run, index rows first. A task holds the index rows
     of the run it is in (at most about BLOCK) and the current batch; edges of a batch are
     reduced to a star forest, so a dense group gives as many edges as nodes.
-
-    With carry, the row's other fingerprints, its component and its name last: pairs of
-    different components must also differ in no more than limit bits over all fingerprints,
-    edges join names, and a batch is thinned by those bits to a spanning forest of the
-    components and the `most` closest pairs of each name. Names of pairs left out come as
-    edges to themselves.
     """
 
     def run(batches):
-        held_key, held = np.zeros(0, np.int64), [np.zeros(0, np.uint64) for _ in range(1 + len(carry))]
+        held_key, held = np.zeros(0, np.int64), np.zeros(0, np.uint64)
         for batch in batches:
             key = np.concatenate([held_key, batch.column(0).to_numpy()])
             probe = np.concatenate([np.zeros(len(held_key), bool), batch.column(1).to_numpy(zero_copy_only=False)])
-            side = [np.concatenate([h, batch.column(2 + i).to_numpy().view(np.uint64)]) for i, h in enumerate(held)]
-            index = np.flatnonzero(~probe)
-            index_key, index_side = key[index], [c[index] for c in side]
-            fp, index_fp = side[0], index_side[0]
+            fp = np.concatenate([held, batch.column(2).to_numpy().view(np.uint64)])
+            index_key, index_fp = key[~probe], fp[~probe]
             asked = np.flatnonzero(probe)
             first = np.searchsorted(index_key, key[asked], "left")
             count = np.searchsorted(index_key, key[asked], "right") - first
             asked, first, count = asked[count > 0], first[count > 0], count[count > 0]
             done = np.cumsum(count)
-            left, right, links, cut = [], [], [], []
+            left, right = [], []
             at = 0
             while at < len(asked):
                 base = done[at - 1] if at else 0
@@ -291,45 +248,23 @@ def verify(rows: DataFrame, radius: int, carry: tuple = (), limit: int = 0, most
                 me = np.repeat(np.arange(at, to), c)
                 other = np.arange(len(me)) - np.repeat(np.cumsum(c) - c, c) + first[me]
                 x, y = fp[asked[me]], index_fp[other]
-                apart = np.bitwise_count(x ^ y)
-                if carry:
-                    near = np.flatnonzero(apart <= radius)
-                    mine, theirs = asked[me[near]], other[near]
-                    apart = apart[near].astype(np.int64)
-                    for c, i in zip(side[1:-2], index_side[1:-2], strict=True):
-                        apart += np.bitwise_count(c[mine] ^ i[theirs])
-                    x, y, x_root, y_root = side[-1][mine], index_side[-1][theirs], side[-2][mine], index_side[-2][theirs]
-                    near = (apart <= limit) & (x_root != y_root)
-                else:
-                    near = (apart <= radius) & (x != y)
-                if near.any() and carry:
-                    kept, out = thinned([c[near] for c in (x, y, apart, x_root, y_root)], most)
-                    links.append(kept)
-                    cut.append(out)
-                elif near.any():
+                near = (np.bitwise_count(x ^ y) <= radius) & (x != y)
+                if near.any():
                     a, b = spanning_edges(x[near], y[near])
                     left.append(a)
                     right.append(b)
                 at = to
-            if links:
-                kept, out = thinned([np.concatenate(c) for c in zip(*links, strict=True)], most)
-                out = np.unique(np.concatenate([*cut, out]))
-                left, right = [kept[0], out], [kept[1], out]
             if left:
-                a, b = np.concatenate(left), np.concatenate(right)
-                a, b = (a, b) if carry else spanning_edges(a, b)
+                a, b = spanning_edges(np.concatenate(left), np.concatenate(right))
                 yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
             last = index_key == key[-1] if len(key) else np.zeros(0, bool)
-            held_key, held = index_key[last], [c[last] for c in index_side]
+            held_key, held = index_key[last], index_fp[last]
 
     return rows.repartition("key").sortWithinPartitions("key", "probe").mapInArrow(run, "a long, b long")
 
 
-def near_edges(fps: DataFrame, radius: int, count: int, carry: tuple = (), limit: int = 0, most: int = 0, more: DataFrame | None = None) -> DataFrame:
-    """Edges (a, b) among distinct fingerprints that connect what lies within the radius.
-
-    carry, limit, most: as in `verify`, where any radius will do then; more: further rows for it.
-    """
+def near_edges(fps: DataFrame, radius: int, count: int) -> DataFrame:
+    """Edges (a, b) among distinct fingerprints that connect what lies within the radius."""
     groups = bit_groups(fps, choose_parts(count, radius))
 
     def tally(batches):
@@ -346,8 +281,7 @@ def near_edges(fps: DataFrame, radius: int, count: int, carry: tuple = (), limit
     got = counted.toPandas()
     histogram = np.zeros((len(groups), BINS), np.float64)
     histogram[got["part"].to_numpy(int), got["bin"].to_numpy(int)] = got["n"]
-    rows = probes(fps, groups, histogram, radius, carry)
-    return verify(rows if more is None else rows.union(more), 64 if carry else radius, carry, limit, most)
+    return verify(probes(fps, groups, histogram, radius), radius)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, radius: int = 4) -> DataFrame:
@@ -366,144 +300,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(answer, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def shingle_set(text: bytes, width: int) -> np.ndarray:
-    """Sorted distinct hashes of a text's word shingles; fewer words are one shingle."""
-    import xxhash
-
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    k = min(width, len(words))
-    digest = xxhash.xxh64_intdigest
-    pairs = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)
-    return np.unique(np.fromiter((digest(joined[i:j], 42) for i, j in pairs), np.uint64))
-
-
-def mixed(x: np.ndarray, salt: int) -> np.ndarray:
-    """x scrambled to other 64 bits, independently for every salt."""
-    x = x + np.uint64(0x9E3779B97F4A7C15 * (salt + 1) & (1 << 64) - 1)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def set_fingerprints(shingles: np.ndarray) -> list[int]:
-    """WORDS fingerprints of a shingle set and, last, a name for them; all zero if empty."""
-    if not len(shingles):
-        return [0] * (WORDS + 1)
-    found, name = [], np.zeros(1, np.uint64)
-    for k in range(WORDS):
-        set_in = np.zeros(64, np.int64)
-        for at in range(0, len(shingles), 1 << 15):
-            part = mixed(shingles[at : at + (1 << 15)], k).astype("<u8")
-            set_in += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        word = np.packbits(2 * set_in > len(shingles), bitorder="little").view("<u8")
-        name = mixed(name ^ word, WORDS)
-        found.append(int(word.view(np.int64)[0]))
-    return [*found, int(name.view(np.int64)[0])]
-
-
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """A key for each band of a shingle set's min-hashes; none if empty."""
-    if not len(shingles):
-        return np.zeros(0, np.int64)
-    odd = mixed(np.arange(BANDS * BAND_ROWS, dtype=np.uint64), WORDS + 1) | np.uint64(1)
-    least = np.full(len(odd), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 1 << 12):
-        least = np.minimum(least, (shingles[at : at + (1 << 12), None] * odd).min(axis=0))
-    key = np.arange(BANDS, dtype=np.uint64)
-    for row in least.reshape(BANDS, BAND_ROWS).T:
-        key = mixed(key ^ row, WORDS + 2)
-    return key.view(np.int64)
-
-
-def band_rows(nodes: DataFrame, word: str, carry: tuple) -> DataFrame:
-    """Rows as of `probes` under the band keys that nodes of different components share."""
-    each = nodes.select(F.explode("bands").alias("band"), F.col(word).alias("fp"), *carry)
-    met = each.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    each = each.join(met.select("band", F.ceil(F.col("n") / BLOCK).alias("cells")), "band")
-    each = each.withColumn("mine", F.pmod(F.xxhash64("node"), "cells")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)))
-    sides = [F.struct(F.xxhash64("band", F.col(x) * F.col("cells") + F.col(y)).alias("key"), F.lit(probe).alias("probe")) for x, y, probe in (("mine", "other", False), ("other", "mine", True))]
-    return each.withColumn("side", F.explode(F.array(*sides))).select("side.key", "side.probe", "fp", *carry)
-
-
-def alike(left: bytes, right: bytes, width: int, similarity: float) -> bool:
-    """Whether the Jaccard similarity of two texts' shingle sets reaches a bound."""
-    a, b = shingle_set(left, width), shingle_set(right, width)
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both >= similarity * (len(a) + len(b) - both)
-
-
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(id, component_id) for every row: the least id reachable over links.
-
-    Texts link when their sets of word shingles have at least the Jaccard similarity.
-    Texts whose fingerprints agree in every bit count as one. Every link is checked on
-    whole texts, so there are no false ones; texts without words are one group. A pair is
-    missed if all WORDS fingerprints differ in more than WORD_RADIUS bits and no band
-    agrees, or all bits together differ in more than LIMIT (for other similarities than 0.8
-    set them to suit). Pairs that differ less are all checked unless others join them, so a
-    group of many texts just under the similarity costs a check a pair. Nulls and repeated
-    rows: as in `near_duplicates`.
-    """
-    names = [f"w{k}" for k in range(WORDS)]
-    work = Workspace(docs.sparkSession, "similar")
-
-    def mark(batches):
-        for batch in batches:
-            sets = [shingle_set(t, width) for t in texts(batch.column(1))]
-            found = np.array([set_fingerprints(s) for s in sets], np.int64).reshape(-1, WORDS + 1)
-            bands = pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c) for c in found.T.copy()), bands], names=["id", "text", *names, "node", "bands"])
-
-    def check(batches):
-        for batch in batches:
-            good = [alike(a, b, width, similarity) for a, b in zip(texts(batch.column(2)), texts(batch.column(3)), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    longs = ", ".join(f"{c} long" for c in [*names, "node"])
-    marked = work.write(chosen.mapInArrow(mark, f"id {chosen.schema['id'].dataType.simpleString()}, text string, {longs}, bands array<long>"), "fingerprints")
-    nodes = work.write(marked.groupBy("node").agg(F.min("id").alias("least"), *(F.first(c).alias(c) for c in (*names, "bands"))), "distinct")
-    left, most = nodes.withColumn("root", F.col("node")), 0
-    asked = links = None
-    while True:
-        count, found = left.count(), None
-        for k, word in enumerate(names):
-            carry = (*(c for c in names if c != word), "root", "node")
-            fps = left.select(F.col(word).alias("fp"), *carry)
-            part = work.write(near_edges(fps, WORD_RADIUS, count, carry, LIMIT, most, None if k else band_rows(left, word, carry)), f"candidates{k}")
-            found = part if found is None else found.union(part)
-        found = work.write(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
-        edges, cut = found.where("a <> b"), found.where("a = b").select(F.col("a").alias("node"))
-        if asked is not None:
-            edges = work.write(edges.join(asked, ["a", "b"], "left_anti"), "fresh")
-        ends = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-        # the least of equal-fingerprint texts stands for all of them
-        shown = marked.select("node", "text").join(ends, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
-        shown = work.write(shown, "texts")
-        paired = edges.join(shown.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(shown.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-        good = work.write(paired.select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "links")
-        asked, links = (edges, good) if asked is None else (asked.union(edges), links.union(good))
-        tree = components(links, work).withColumnRenamed("node", "end")
-        if cut.isEmpty():
-            break
-        # pairs left out lie within groups of asked pairs: done where such a group is one component
-        met = components(asked, work).withColumnRenamed("root", "met").join(tree, F.col("node") == F.col("end"), "left").select("node", "met", F.coalesce("root", "node").alias("root"))
-        apart = met.groupBy("met").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("met")
-        rest = met.join(apart, "met", "left_semi").join(cut, "node", "left_semi").select("node", "root")
-        left, most = work.write(nodes.join(rest, "node").select("node", *names, "bands", "root"), "left"), 8 * most or 8
-        if left.isEmpty():
-            break
-    named = nodes.join(tree, nodes["node"] == tree["end"], "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    answer = named.join(least, "root").select("node", "component_id")
-    return marked.select("id", "node").join(answer, "node").select(F.col("id").alias(id_col), "component_id")
-
-
 def op10_simhash(spark, folder: str) -> DataFrame:
     from .common import table
 
