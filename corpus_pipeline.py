@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from stayledger.llm import bpe, decontaminate, language, lines, simhash
 from stayledger.llm.common import Workspace, table, text_key
 
-#: Near-duplicates share so much (Jaccard) of their shingles of so many words.
-SHINGLE, SIMILARITY = 5, 0.8
+#: Near-duplicates: words of a shingle, bits in which linked fingerprints may differ.
+SHINGLE, RADIUS = 4, 4
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     kind = docs.schema["doc_id"].dataType
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0).cast(kind)).alias("doc_id"), *text_key("text"), F.xxhash64(*docs.columns).alias("rest"))
     keyed = docs.select(key.alias("key"), "text", F.struct(*docs.columns).alias("row"))
-    groups = simhash.similar_groups(keyed, id_col="key", width=SHINGLE, similarity=SIMILARITY)
+    groups = simhash.near_duplicates(keyed, id_col="key", width=SHINGLE, radius=RADIUS)
     first = groups.where(F.col("key") == F.col("component_id")).select("key").distinct()
     return keyed.join(first, "key", "left_semi").dropDuplicates(["key"]).select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
