@@ -1008,6 +1008,51 @@ def load_table_coerced(t):
     )
 
 
+# Cells of error events hold a text in place of a number, as a source file may.
+_EVENT_CELLS = {"value": "CASE WHEN event_type = 'error' THEN 'n/a' ELSE CAST(value AS string) END"}
+_EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
+
+
+def _landed_events(t):
+    """The event table as a folder of gzip CSV files, landed once."""
+    folder = f"{shared_folder(t.spark)}/landing-{uuid.uuid4().hex}"
+    columns = ["event_id", "ts", "user_id", "event_type"]
+    cells = [F.expr(sql).alias(c) for c, sql in _EVENT_CELLS.items()]
+    t.events.select(*columns, *cells).write.options(
+        header=True, compression="gzip", timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSS",
+        timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS", **tables.CSV_TEXT,
+    ).csv(f"{folder}/csv")
+    return tables.land_csv(
+        t.spark, f"{folder}/csv", _EVENT_SCHEMA, f"{folder}/typed", **tables.CSV_TEXT
+    )
+
+
+@query(
+    """SELECT user_id, count(*) AS n_events, count(CASE WHEN event_type <> 'error' THEN value END) AS n_values,
+ round(avg(CASE WHEN event_type <> 'error' THEN value END), 6) AS value_mean,
+ max(CASE WHEN event_type <> 'error' THEN value END) AS value_max, min(ts) AS first_ts, max(ts) AS last_ts
+ FROM events GROUP BY user_id"""
+)
+def csv_view(t):
+    """Gzip CSV landed as typed Parquet, a view over it, features by SQL from the view."""
+    view = f"landed_{uuid.uuid4().hex}"
+    tables.register_view(_landed_events(t).rows, view)
+    return t.spark.sql(
+        f"""SELECT user_id, count(*) AS n_events, count(value) AS n_values,
+        round(avg(value), 6) AS value_mean, max(value) AS value_max,
+        min(ts) AS first_ts, max(ts) AS last_ts FROM {view} GROUP BY user_id"""
+    )
+
+
+@query(
+    """SELECT 'value' AS "column", 'n/a' AS "value", count(*) AS n FROM events
+ WHERE event_type = 'error' HAVING count(*) > 0"""
+)
+def csv_rejects(t):
+    """Cells of the landed files that failed to cast, counted by column and text."""
+    return _landed_events(t).rejects.groupBy("column", "value").agg(F.count("*").alias("n"))
+
+
 @query(
     f"""WITH {COMPARE_SQL} SELECT model AS selected_model_name, 'validation' AS selection_dataset,
  'AUPRC' AS primary_selection_metric, 'AUROC' AS secondary_selection_metric, round(auprc, 6) AS validation_auprc,

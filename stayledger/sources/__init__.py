@@ -2,7 +2,9 @@
 
 from stayledger.sources.tables import (
     coerce_dates,
+    Landed,
     export_predictions,
+    land_csv,
     load_split,
     load_splits,
     load_table,
@@ -19,7 +21,9 @@ from stayledger.sources.tables import (
 
 __all__ = [
     "coerce_dates",
+    "Landed",
     "export_predictions",
+    "land_csv",
     "load_split",
     "load_splits",
     "load_table",

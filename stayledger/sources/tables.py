@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -89,6 +90,75 @@ def read_csv(
     )
 
 
+@dataclass(frozen=True)
+class Landed:
+    """A landed CSV table: its typed rows, and one row per cell that did not cast."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def land_csv(
+    spark: SparkSession,
+    path: str,
+    schema: str | T.StructType,
+    folder: str,
+    *,
+    partial: bool = False,
+    **options,
+) -> Landed:
+    """Land header CSV (plain or gzip) once as typed Parquet in ``folder``.
+
+    Each file is decompressed by one task of its own, in one pass that casts the cells
+    and keeps the text of those that fail.  The rejects (file, column, value) lie beside
+    the typed columns and are read without them; their cells are NULL in the rows.  An
+    empty cell is NULL and no reject.  All files must have the header of the first: one
+    that differs stops the job.  A column of the schema that the files lack is an error,
+    unless ``partial``.  Files with a header only give empty tables.
+    """
+    require_paths(spark, {"csv": path})
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    names = spark.read.csv(path, header=True, **options).columns
+    absent = [f.name for f in wanted.fields if f.name not in names]
+    if absent and not partial:
+        raise ValueError(f"{path} lacks the columns {absent}")
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    raw = spark.read.schema(texts).csv(path, header=True, enforceSchema=False, **options)
+    kept = [f for f in wanted.fields if f.name not in absent]
+    typed = {
+        f.name: F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})") for f in kept
+    }
+    failed = [
+        F.when(
+            F.col(f"`{f.name}`").isNotNull() & typed[f.name].isNull(),
+            F.struct(
+                F.col("_metadata.file_path").alias("file"),
+                F.lit(f.name).alias("column"),
+                F.col(f"`{f.name}`").alias("value"),
+            ),
+        )
+        for f in kept
+        if not isinstance(f.dataType, T.StringType)
+    ]
+    cells = F.array_compact(F.array(*failed)) if failed else F.array()
+    aside = "_rejects"
+    while aside in typed:
+        aside += "_"
+    (
+        raw.select(
+            *[c.alias(name) for name, c in typed.items()],
+            cells.cast("array<struct<file:string,column:string,value:string>>").alias(aside),
+        )
+        .write.mode("overwrite")
+        .parquet(folder)
+    )
+    landed = spark.read.parquet(folder)
+    return Landed(
+        landed.drop(aside),
+        landed.where(F.size(aside) > 0).select(F.inline(aside)),
+    )
+
+
 def read_source(spark: SparkSession, path: str, table: str) -> DataFrame:
     # a source file may hold some of its table's columns; operators name what they need
     return read_csv(spark, path, SCHEMAS[table], partial=True)

@@ -34,6 +34,8 @@ CHOSEN = [
     "calibration_bins",
     "error_category_summary",
     "isotonic_calibration",
+    "csv_view",
+    "csv_rejects",
     "local_contributions",
 ]
 

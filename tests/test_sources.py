@@ -19,6 +19,47 @@ def test_gzip_csv_with_a_schema(spark, tmp_path):
     assert rows[3]["intime"].year == 2150 and rows[4]["intime"] is None
 
 
+def test_landed_csv_keeps_cells_that_fail(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    schema = "id BIGINT, at TIMESTAMP_NTZ, x DOUBLE, name STRING, _rejects INT"
+    for name, body in {
+        "a": "1,2150-01-02 03:04:05,1.5,n/a,7\n2,never,,two,\n",
+        "b": "x,2150-01-03 00:00:00,much,,q\n",
+        "c": "",
+    }.items():
+        with gzip.open(source / f"{name}.csv.gz", "wt") as f:
+            f.write("id,at,x,name,_rejects\n" + body)
+    landed = tables.land_csv(spark, str(source), schema, str(tmp_path / "out"))
+    rows = {r["id"]: r for r in landed.rows.collect()}
+    assert landed.rows.columns == ["id", "at", "x", "name", "_rejects"]
+    assert rows.keys() == {1, 2, None}
+    assert (rows[1]["at"].year, rows[1]["x"], rows[1]["name"], rows[1]["_rejects"]) == (2150, 1.5, "n/a", 7)
+    assert rows[2]["at"] is None and rows[2]["x"] is None and rows[2]["name"] == "two"
+    cells = {(r["file"][-8:], r["column"], r["value"]) for r in landed.rejects.collect()}
+    assert cells == {
+        ("a.csv.gz", "at", "never"),
+        ("b.csv.gz", "id", "x"),
+        ("b.csv.gz", "x", "much"),
+        ("b.csv.gz", "_rejects", "q"),
+    }
+    with pytest.raises(ValueError):
+        tables.land_csv(spark, str(source), "id BIGINT, gone INT", str(tmp_path / "no"))
+    partly = tables.land_csv(
+        spark, str(source), "name STRING, gone INT", str(tmp_path / "part"), partial=True
+    )
+    assert partly.rows.columns == ["name"] and partly.rejects.count() == 0
+
+
+def test_landed_csv_refuses_another_header(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.csv").write_text("id,x\n1,2\n")
+    (source / "b.csv").write_text("x,id\n3,4\n")
+    with pytest.raises(Exception, match="header"):
+        tables.land_csv(spark, str(source), "id BIGINT, x BIGINT", str(tmp_path / "out"))
+
+
 def test_load_table_coerces_dates_that_exist(spark, tmp_path):
     path = str(tmp_path / "t.csv")
     with open(path, "w") as f:
