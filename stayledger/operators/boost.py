@@ -41,7 +41,7 @@ from stayledger.session import stable
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_BINS = 256  # a bin is one byte
-TASK_BYTES = 32 << 20
+TASK_BYTES = 64 << 20
 REFRESH = 20  # rounds after which the margins are written anew
 SMALLEST_GAIN = 1e-6
 MATRIX = "key long, y double, w double, bins binary"
@@ -193,6 +193,15 @@ class Tree:
         for values, new in zip(self.lists(), (-1, 0, 0, 0, 0.0, 0.0, 0.0)):
             values += [new, new]
 
+    def cut_all(self, nodes: list, columns: list, bins: list, gains: list) -> None:
+        """``cut`` of several nodes in turn."""
+        n = len(self.column)
+        for i, (node, column, bin_, gain) in enumerate(zip(nodes, columns, bins, gains)):
+            self.column[node], self.bin[node], self.gain[node] = column, bin_, gain
+            self.left[node], self.right[node] = n + 2 * i, n + 2 * i + 1
+        for values, new in zip(self.lists(), (-1, 0, 0, 0, 0.0, 0.0, 0.0)):
+            values += [new] * (2 * len(nodes))
+
     def lists(self) -> tuple[list, ...]:
         return self.column, self.bin, self.left, self.right, self.value, self.gain, self.cover
 
@@ -212,36 +221,59 @@ class Tree:
             node[at] = np.where(bins[at, column[n]] <= cut[n], left[n], right[n])
 
 
-def grow_in_task(bins, y, w, key, n_bins: int, s: Settings) -> list[Tree]:
-    """All rounds over one matrix."""
-    margin, trees = np.zeros(len(y)), []
+def grow_in_task(bins, y, w, key, n_bins: int, s: Settings) -> Iterator[Tree]:
+    """All rounds over one matrix, a tree at a time.
+
+    Columns are summed one by one, and only drawn rows of open nodes are carried from level
+    to level; rows stay in order, so every cell is summed in the same order.
+    """
+    margin, x = np.zeros(len(y)), np.ascontiguousarray(bins.T)
     for r in range(s.n_estimators):
         g, h = gradients(margin, y, w)
-        seen, columns, tree = drawn_rows(key, r, s), drawn_columns(bins.shape[1], r, s), Tree()
-        node, open_ = np.zeros(len(y), np.int64), [0]
+        columns, tree, open_ = drawn_columns(len(x), r, s), Tree(), [0]
+        drawn = drawn_rows(key, r, s)
+        rows, end = np.flatnonzero(drawn), np.zeros(len(y), np.intp)
+        gs, hs, own = g[rows], h[rows], x[columns][:, rows]
+        place = np.zeros(len(rows), np.intp)  # of the row's node among the open ones
         for depth in range(s.max_depth + 1):
-            place = np.full(len(tree.column), -1)
-            place[open_] = np.arange(len(open_))
-            at = np.flatnonzero(seen & (place[node] >= 0))
             if depth == s.max_depth:
-                gt, ht = (np.bincount(place[node[at]], weights=v[at], minlength=len(open_)) for v in (g, h))
+                gt, ht = (np.bincount(place, weights=v, minlength=len(open_)) for v in (gs, hs))
                 cut = [(0, 0, 0.0)] * len(open_)
             else:
-                gs, hs = cell_sums(bins[at], columns, place[node[at]], len(open_), n_bins, (g[at], h[at]))
-                gt, ht = gs[:, 0].sum(axis=1), hs[:, 0].sum(axis=1)
-                cut = list(zip(*(v.tolist() for v in best_cuts(gs, hs, s))))
-            grown = []
+                shape = len(open_), len(columns), n_bins
+                sums, first = (np.empty(shape), np.empty(shape)), place * n_bins
+                for c, column in enumerate(own):
+                    cell = first + column
+                    for out, v in zip(sums, (gs, hs)):
+                        out[:, c] = np.bincount(cell, weights=v, minlength=shape[0] * n_bins).reshape(shape[0], n_bins)
+                gt, ht = (v[:, 0].sum(axis=1) for v in sums)
+                cut = list(zip(*(v.tolist() for v in best_cuts(*sums, s))))
+            grown, below = [], np.full(len(open_), -1)
             for i, (c, b, gain) in enumerate(cut):
                 tree.settle(open_[i], gt[i], ht[i], s)
                 if gain > 0:
                     tree.cut(open_[i], int(columns[c]), b, gain)
+                    below[i] = len(grown)
                     grown += [tree.left[open_[i]], tree.right[open_[i]]]
             if not grown:
+                end[rows] = np.array(open_)[place]
                 break
-            node, open_ = tree.walk(bins, node), grown
-        margin = margin + np.array(tree.value)[tree.walk(bins, node)]
-        trees.append(tree)
-    return trees
+            if (below < 0).any():
+                stays = below[place] >= 0
+                end[rows[~stays]] = np.array(open_)[place[~stays]]
+                rows, gs, hs, own, place = rows[stays], gs[stays], hs[stays], own[:, stays], place[stays]
+            c, b = (np.array(v)[place] for v in list(zip(*cut))[:2])
+            place = below[place] + (own.ravel()[c * own.shape[1] + np.arange(len(rows))] > b)
+            open_ = grown
+        if not drawn.all():
+            end[~drawn] = tree.walk(bins[~drawn])
+        margin = margin + np.array(tree.value)[end]
+        yield tree
+
+
+def effort(s: Settings, width: int) -> float:
+    """How long a fit takes beside others over the same rows."""
+    return s.n_estimators * (s.max_depth + 1) * s.subsample * max(1, int(s.colsample_bytree * width))
 
 
 # --- level by level on the cluster --------------------------------------------------------
@@ -352,15 +384,20 @@ def fits_task(matrix: DataFrame, width: int, task_bytes: int = TASK_BYTES) -> bo
 
 
 def fit_side_by_side(
-    parts: DataFrame, candidates: Sequence, widths: dict[int, int], weights: dict[int, tuple[float, float]], grow, chance
+    parts: DataFrame, candidates: Sequence, widths: dict[int, int], weights: dict[int, tuple[float, float]], grow, chance, effort
 ) -> DataFrame:
     """(candidate, part, y, score) of the held-out rows of every (candidate, part).
 
     parts: (part, held, key, y, bins), each part small enough for a task.  Negatives and
-    positives of a part weigh ``weights[part]``.  Every fit is a task of its own: ``grow``
-    makes the trees, ``chance`` a probability of their sum.
+    positives of a part weigh ``weights[part]``.  Every fit is a task of its own, the longest
+    by ``effort`` first: ``grow`` makes the trees, which are scored and dropped one by one,
+    ``chance`` a probability of their sum.
     """
     many = len(candidates)
+    fits = sorted(
+        ((c, p) for c in range(many) for p in widths), key=lambda f: (-effort(candidates[f[0]], widths[f[1]]), f)
+    )
+    places = F.create_map(*[F.lit(v) for place, (c, p) in enumerate(fits) for v in (f"{c} {p}", place)])
     every = F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
     tasks = parts.select(every.alias("candidate"), "part", "held", "key", "y", "bins")
 
@@ -385,16 +422,17 @@ def fit_side_by_side(
         key, y = table.column("key").to_numpy(), table.column("y").to_numpy()
         bins = byte_rows(table.column("bins").combine_chunks(), widths[part])
         w = np.where(y > 0, weights[part][1], weights[part][0])
-        trees = grow(bins[~held], y[~held], w[~held], key[~held], int(bins.max(initial=0)) + 1, candidates[candidate])
-        margin = np.zeros(int(held.sum()))
-        for t in trees:
-            margin += np.array(t.value)[t.walk(bins[held])]
+        grown = grow(bins[~held], y[~held], w[~held], key[~held], int(bins.max(initial=0)) + 1, candidates[candidate])
+        asked, margin, n_trees = bins[held], np.zeros(int(held.sum())), 0
+        for t in grown:
+            margin += np.array(t.value)[t.walk(asked)]
+            n_trees += 1
         n = len(margin)
-        columns = [np.full(n, candidate, np.int32), np.full(n, part, np.int32), y[held].astype(np.int32), chance(margin, len(trees))]
+        columns = [np.full(n, candidate, np.int32), np.full(n, part, np.int32), y[held].astype(np.int32), chance(margin, n_trees)]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["candidate", "part", "y", "score"])
 
-    # more partitions than fits, so that few share one
-    dealt = tasks.repartition(3 * many * len(widths), "candidate", "part").sortWithinPartitions("candidate", "part", "key")
+    place = F.element_at(places, F.concat_ws(" ", "candidate", "part"))
+    dealt = tasks.repartitionById(len(fits), place).sortWithinPartitions("candidate", "part", "key")
     return dealt.mapInArrow(run, "candidate int, part int, y int, score double")
 
 
@@ -436,22 +474,35 @@ class BoostedTrees(Estimator, _BoostedParams, DefaultParamsReadable, DefaultPara
         return BoostedTreesModel(state=json.dumps(state), featuresCol=features)
 
 
-def grown_apart(matrix: DataFrame, width: int, n_bins: int, s, grow) -> list[Tree]:
-    """One small matrix, grown by one task with ``grow`` (see grow_in_task)."""
+def grown_apart(matrix: DataFrame, width: int, n_bins: int, s, grow, shares: Sequence[Sequence[int]] | None = None) -> list[Tree]:
+    """One small matrix, grown by one task with ``grow`` (see grow_in_task).
+
+    Trees that do not follow from each other may be dealt to tasks: ``shares`` lists the
+    numbers of each one's trees, which ``grow`` then takes, and every task gets the matrix.
+    """
+    names = ["key", "y", "w", "bins"]
+    schema = pa.schema([("key", pa.int64()), ("y", pa.float64()), ("w", pa.float64()), ("bins", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches), matrix_schema)
-        key, y, w = (table.column(c).to_numpy() for c in ("key", "y", "w"))
+        batches = list(batches)
+        if shares is not None and not batches:
+            return
+        table = pa.Table.from_batches([b.select(names) for b in batches], schema)
+        some = (shares[batches[0].column("share")[0].as_py()],) if shares is not None else ()
+        key, y, w = (table.column(c).to_numpy() for c in names[:3])
         order = np.argsort(key, kind="stable")
         bins = byte_rows(table.column("bins").combine_chunks(), width)[order]
-        trees = grow(bins, y[order], w[order], key[order], n_bins, s)
-        yield pa.RecordBatch.from_arrays([pa.array([json.dumps(t.lists()) for t in trees], pa.string())], names=["tree"])
-
-    matrix_schema = pa.schema([("key", pa.int64()), ("y", pa.float64()), ("w", pa.float64()), ("bins", pa.binary())])
-    out = []
-    for row in matrix.select("key", "y", "w", "bins").coalesce(1).mapInArrow(run, "tree string").collect():
-        out.append(Tree(json.loads(row["tree"])))
-    return out
+        for i, t in enumerate(grow(bins, y[order], w[order], key[order], n_bins, s, *some)):
+            made = pa.array([some[0][i] if some else i], pa.int32()), pa.array([json.dumps(t.lists())], pa.string())
+            yield pa.RecordBatch.from_arrays(list(made), names=["place", "tree"])
+
+    if shares is None:
+        dealt = matrix.select(*names).coalesce(1)
+    else:
+        every = F.explode(F.sequence(F.lit(0), F.lit(len(shares) - 1))).alias("share")
+        dealt = matrix.select(*names, every).repartitionById(len(shares), F.col("share"))
+    grown = dealt.mapInArrow(run, "place int, tree string").collect()
+    return [Tree(json.loads(r["tree"])) for r in sorted(grown, key=lambda r: r["place"])]
 
 
 class BoostedTreesModel(Model, HasFeaturesCol, DefaultParamsReadable, DefaultParamsWritable):

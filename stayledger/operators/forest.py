@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -38,6 +38,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MAX_BINS = 64
 DEEPEST = 30  # where the depth is left open
 CELLS = 1 << 22  # cells of a group of trees that one task sums
+TASK_CELLS = 1 << 18  # cells that a tree in one task sums at once
 SMALLEST_DROP = 1e-9
 #: How often a uniform number means 0, 1, 2... rows under Poisson(1).
 TIMES = np.exp(-1) * np.cumsum(1 / np.array([1, 1, 2, 6, 24, 120, 720, 5040, 40320], float))
@@ -110,41 +111,90 @@ def _settle(tree: Tree, node: int, g: float, h: float) -> None:
     tree.value[node], tree.cover[node] = g / h, h
 
 
-def grow_in_task(bins, y, w, key, n_bins: int, s: Settings) -> list[Tree]:
-    """All trees over one matrix."""
-    deepest, trees = DEEPEST if s.max_depth is None else s.max_depth, []
-    for t in range(s.n_estimators):
+def grow_in_task(bins, y, w, key, n_bins: int, s: Settings, some: Sequence[int] | None = None) -> Iterator[Tree]:
+    """All trees over one matrix, or those numbered ``some``, one at a time.
+
+    Rows lie ordered by node, in their old order inside it, so nodes are summed in chunks
+    of bounded size and every cell in the same order.
+    """
+    deepest, x = DEEPEST if s.max_depth is None else s.max_depth, np.ascontiguousarray(bins.T)
+    for t in range(s.n_estimators) if some is None else some:
         times = times_drawn(key, t, s)
         rows = np.flatnonzero(times)
         h = w[rows] * times[rows]
-        g, x, tree = h * y[rows], bins[rows], Tree()
-        node, open_ = np.zeros(len(rows), np.int64), [0]
-        if not len(rows):
+        g, own, tree = h * y[rows], x[:, rows].ravel(), Tree()
+        m = len(rows)
+        row, place, first, many = np.arange(m), np.zeros(m, np.intp), 0, 1  # open nodes follow each other
+        if not m:
             _settle(tree, 0, 0.0, 1.0)
-        for depth in range(deepest + 1 if len(rows) else 0):
-            place = np.full(len(tree.column), -1)
-            place[open_] = np.arange(len(open_))
-            at = np.flatnonzero(place[node] >= 0)
-            here = place[node[at]]
-            gt, ht = (np.bincount(here, weights=v[at], minlength=len(open_)) for v in (g, h))
-            for i, n in enumerate(open_):
-                _settle(tree, n, gt[i], ht[i])
+        for depth in range(deepest + 1 if m else 0):
+            gt, ht = (np.bincount(place, weights=v, minlength=many) for v in (g, h))
+            tree.value[first:], tree.cover[first:] = (gt / ht).tolist(), ht.tolist()
             mixed = (gt > 0) & (gt < ht)
+            mixed &= np.bincount(place, minlength=many) >= 2 * s.min_samples_leaf  # others cannot be cut
             if depth == deepest or not mixed.any():
                 break
-            columns, live = node_columns(open_, t, x.shape[1], s), mixed[here]
-            at, here = at[live], here[live]
-            sums = cell_sums(x[at], columns, here, n_bins, (g[at], h[at], np.ones(len(at))))
-            c, b, drop = best_cuts(*sums, s)
-            grown = []
-            for i in np.flatnonzero(drop > 0).tolist():
-                tree.cut(open_[i], int(columns[i, c[i]]), int(b[i]), float(drop[i]))
-                grown += [tree.left[open_[i]], tree.right[open_[i]]]
-            if not grown:
+            nodes = np.flatnonzero(mixed)
+            if len(nodes) < many:
+                row, place, g, h = _kept(mixed, row, place, g, h)
+            columns = node_columns(nodes + first, t, len(x), s)
+            c, b, drop = _node_cuts_in_task(own, m, row, place, g, h, columns, n_bins, s)
+            cut = drop > 0
+            if not cut.any():
                 break
-            node, open_ = tree.walk(x, node), grown
-        trees.append(tree)
-    return trees
+            column = columns[np.arange(len(nodes)), c]
+            first, many = len(tree.column), 2 * int(cut.sum())
+            tree.cut_all((nodes + first - len(mixed))[cut].tolist(), column[cut].tolist(), b[cut].tolist(), drop[cut].tolist())
+            if not cut.all():
+                row, place, g, h = _kept(cut, row, place, g, h)
+                column, b = column[cut], b[cut]
+            # both sides of every node, one after the other, rows in their old order
+            right = own[column[place] * m + row] > b[place]
+            starts = np.searchsorted(place, np.arange(len(b)))
+            lefts = np.cumsum(~right)
+            before = np.where(starts > 0, lefts[starts - 1], 0)
+            n_left = np.diff(np.append(before, lefts[-1]))
+            at = np.arange(len(row))
+            rank = lefts - 1 - before[place]
+            to = np.where(right, n_left[place] + at - rank - 1, starts[place] + rank)
+            order = np.empty(len(row), np.intp)
+            order[to] = at
+            row, g, h, place = row[order], g[order], h[order], (2 * place + right)[order]
+        yield tree
+
+
+def effort(s: Settings, width: int) -> float:
+    """How long a fit takes beside others over the same rows."""
+    return s.n_estimators * (DEEPEST if s.max_depth is None else s.max_depth) * (2 + column_count(width, s))
+
+
+def shares(s: Settings, tasks: int) -> list[list[int]]:
+    """The numbers of the trees of each task."""
+    return [list(range(i, s.n_estimators, tasks)) for i in range(min(tasks, s.n_estimators))]
+
+
+def _kept(nodes: np.ndarray, row, place, g, h):
+    """The rows of the marked nodes, whose places are numbered anew."""
+    here = nodes[place]
+    return row[here], (np.cumsum(nodes) - 1)[place[here]], g[here], h[here]
+
+
+def _node_cuts_in_task(own, m: int, row, place, g, h, columns, n_bins: int, s: Settings):
+    """``best_cuts`` of nodes whose rows lie one after the other, some nodes at a time."""
+    n_nodes, k = columns.shape
+    step = max(1, TASK_CELLS // (k * n_bins))
+    found = []
+    for a in range(0, n_nodes, step):
+        some = columns[a : a + step]
+        lo, hi = np.searchsorted(place, (a, a + len(some)))
+        here, at, values = place[lo:hi] - a, row[lo:hi], (g[lo:hi], h[lo:hi], None)
+        sums = [np.empty((len(some), k, n_bins)) for _ in values]
+        for j in range(k):
+            cell = here * n_bins + own[some[here, j] * m + at]
+            for out, v in zip(sums, values):
+                out[:, j] = np.bincount(cell, weights=v, minlength=len(some) * n_bins).reshape(len(some), n_bins)
+        found.append(best_cuts(*sums, s))
+    return tuple(np.concatenate(v) for v in zip(*found))
 
 
 # --- level by level on the cluster -----------------------------------------------------------
@@ -253,7 +303,8 @@ class BinnedForest(Estimator, HasLabelCol, HasFeaturesCol, HasWeightCol, Default
         matrix = stable(boost.binned(df, features, edges, F.monotonically_increasing_id().alias("key"), y.alias("y"), w.alias("w")))
         width, n_bins, s = len(edges), max(map(len, edges), default=0) + 1, self.options()
         if boost.fits_task(matrix, width, self.getOrDefault("taskBytes")):
-            trees = boost.grown_apart(matrix, width, n_bins, s, grow_in_task)
+            tasks = shares(s, matrix.sparkSession.sparkContext.defaultParallelism)
+            trees = boost.grown_apart(matrix, width, n_bins, s, grow_in_task, tasks)
         else:
             trees = grow_by_levels(matrix, width, n_bins, s)
         state = {"edges": edges, "trees": [list(t.lists()) for t in trees]}

@@ -169,3 +169,16 @@ def test_large_matrices_are_fitted_by_levels_in_folds(clinical):
     pipeline.getStages()[-1]._set(taskBytes=1)
     far = models.fold_scores({"a": pipeline}, rows, target=target, n_folds=2).orderBy("fold").collect()
     assert near == far
+
+
+def test_fits_lie_apart_and_the_longest_comes_first(spark):
+    rng = np.random.default_rng(2)
+    rows = [(p, k % 3 == 0, 400 * p + k, float(k % 2), rng.integers(0, 4, 2).astype(np.uint8).tobytes()) for p in (0, 1) for k in range(40)]
+    parts = spark.createDataFrame([(p, h, k, y, bytearray(b)) for p, h, k, y, b in rows], "part int, held boolean, key long, y double, bins binary")
+    candidates = [S(2, 0.3, 1, 0.0), S(9, 0.3, 3, 0.0), S(5, 0.3, 2, 0.0)]
+    scored = boost.fit_side_by_side(
+        parts, candidates, {0: 2, 1: 2}, {0: (1.0, 1.0), 1: (1.0, 2.0)}, boost.grow_in_task, boost.BoostedTreesModel._chance, boost.effort
+    )
+    assert scored.rdd.getNumPartitions() == 6
+    at = {(r["candidate"], r["part"]): r["at"] for r in scored.withColumn("at", F.spark_partition_id()).collect()}
+    assert sorted(at, key=at.get) == [(1, 0), (1, 1), (2, 0), (2, 1), (0, 0), (0, 1)]

@@ -144,3 +144,29 @@ def test_pattern_tables_give_shapley_values(spark, table, monkeypatch, tabled):
         trees.setdefault(tree, {})[node] = (column, cut, left, right, value, cover)
     want = np.array([sum(slow_shapley(row, t, 5) for t in trees.values()) / 3 for row in x[:25]])
     assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_trees_are_made_one_by_one_and_in_shares(monkeypatch):
+    drawn = []
+    times = forest.times_drawn
+    monkeypatch.setattr(forest, "times_drawn", lambda key, t, s: drawn.append(t) or times(key, t, s))
+    rng = np.random.default_rng(4)
+    bins, y, key = rng.integers(0, 9, (300, 4)).astype(np.uint8), rng.integers(0, 2, 300).astype(float), np.arange(300)
+    s = S(6, None, 2, 0.7)
+    grown = forest.grow_in_task(bins, y, 1 + y, key, 9, s)
+    first = next(grown)
+    assert drawn == [0]  # no tree is kept until the last is grown
+    whole = [first, *grown]
+    monkeypatch.setattr(forest, "TASK_CELLS", 50)  # nodes are summed a few at a time
+    dealt = {t: tree for some in forest.shares(s, 4) for t, tree in zip(some, forest.grow_in_task(bins, y, 1 + y, key, 9, s, some))}
+    assert sorted(dealt) == list(range(6))
+    assert [dealt[t].lists() for t in range(6)] == [t.lists() for t in whole]
+
+
+def test_shares_of_trees_make_the_same_forest(table):
+    edges = boost.bin_edges(table, "features", max_bins=16)
+    matrix = boost.binned(table, "features", edges, F.col("id").cast("long").alias("key"), F.col("y").cast("double").alias("y"), "w").cache()
+    n_bins, s = max(map(len, edges)) + 1, S(7, 4, 2, 0.7)
+    one = boost.grown_apart(matrix, 5, n_bins, s, forest.grow_in_task)
+    many = boost.grown_apart(matrix, 5, n_bins, s, forest.grow_in_task, forest.shares(s, 3))
+    assert [t.lists() for t in many] == [t.lists() for t in one]
