@@ -65,9 +65,10 @@ def spread_join(
     * True: the dimension goes to every task and the fact side is not moved.
     * False: keys with more than ``hot_rows`` fact rows are joined the same way,
       against their own dimension rows; all other rows are shuffled by key.
-    * None, not measured: a key's fact rows spread over ``salts`` tasks by their
-      input split, the dimension repeats once per salt, and Catalyst and AQE
-      choose the strategy by size.
+    * None, not measured: the dimension is measured here.  If it does not fit, a
+      key's fact rows spread over ``salts`` tasks by their input split, the
+      dimension repeats once per salt, and both sides are shuffled: repeated
+      rows must not be broadcast.
 
     ``condition`` refers to the sides as ``fact`` and ``dimension``.
     """
@@ -76,16 +77,18 @@ def spread_join(
     if how == "inner":
         for key in keys:
             fact = fact.where(F.col(key).isNotNull())
-    if small:
+    unmeasured = small is None
+    if small or (unmeasured and fits_broadcast(dimension)):
         return _matched(fact, F.broadcast(dimension), keys, how, condition)
-    if small is None:
+    if unmeasured:
         left = fact.withColumn(
             "_salt", F.pmod(F.spark_partition_id(), F.lit(salts)).cast("int")
         )
         right = dimension.withColumn(
             "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
         )
-        return _matched(left, right, [*keys, "_salt"], how, condition).drop("_salt")
+        shuffled = right.hint("merge")
+        return _matched(left, shuffled, [*keys, "_salt"], how, condition).drop("_salt")
     # a table of N rows has fewer than N / hot_rows such keys
     hot = stable(
         fact.groupBy(*keys)

@@ -130,6 +130,18 @@ def test_spread_join_keeps_every_match_of_a_hot_key(spark, how, small, hot_rows)
     assert got == want
 
 
+@pytest.mark.parametrize("fits", [True, False])
+def test_spread_join_never_broadcasts_repeated_rows(spark, monkeypatch, capsys, fits):
+    monkeypatch.setattr(scale, "fits_broadcast", lambda df, limit=0: fits)
+    fact = spark.createDataFrame([(i % 5, i) for i in range(40)], "k int, v int")
+    dim = spark.createDataFrame([(k, k * 10) for k in range(5)], "k int, w int")
+    joined = scale.spread_join(fact, dim, ["k"])
+    joined.explain()
+    plan = capsys.readouterr().out
+    assert ("BroadcastHashJoin" in plan, "explode" in plan) == (fits, not fits)
+    assert sorted(r["w"] for r in joined.collect()) == sorted(i % 5 * 10 for i in range(40))
+
+
 def test_spread_join_refuses_other_joins(spark):
     df = spark.range(2)
     with pytest.raises(ValueError):
