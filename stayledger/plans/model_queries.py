@@ -216,8 +216,11 @@ _STUMP_SQL = r"""counted AS (SELECT CAST(toxic AS INTEGER) AS y,
 )
 def boosted_stump(t):
     """The one cut of a single boosted round of depth 1, found level by level."""
-    rows = star.document_rows(t).select(
-        TARGET, *[F.expr(c).alias(name) for name, c in _STUMP_FEATURES.items()]
+    # written once: every step of the fit reads these rows, none the texts again
+    rows = stable(
+        star.document_rows(t).select(
+            TARGET, *[F.expr(c).alias(name) for name, c in _STUMP_FEATURES.items()]
+        )
     )
     stage = prep.build_preprocessor(
         list(_STUMP_FEATURES), [], add_numeric_missing_indicators=False, scale_numeric_features=False
