@@ -427,6 +427,18 @@ def long_features(
     return df.select(row_id, F.inline(cells))
 
 
+def vector_sums(df: DataFrame, features: str = "features") -> DataFrame:
+    """(position, total) of the vectors' stored entries, positions never stored left out.
+
+    Entries are summed by position, so no task holds a vector of all sums.
+    """
+    v = F.unwrap_udt(F.col(f"`{features}`"))
+    places = F.coalesce(v["indices"], F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    cells = F.arrays_zip(places.alias("position"), v["values"].alias("value"))
+    entries = df.where(F.size(v["values"]) > 0).select(F.inline(cells).alias("position", "value"))
+    return entries.groupBy(F.col("position").cast("long").alias("position")).agg(F.sum("value").alias("total"))
+
+
 def imputation_values(model: TabularPreprocessorModel, df: DataFrame) -> DataFrame:
     """(feature, kind, value, filled_rows): fitted fills, and rows of ``df`` they fill."""
     fitted = model.fitted

@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from stayledger.config import (
@@ -330,10 +329,10 @@ def sparse_one_hot(t):
     rows = star.part_rows(t)
     stage = prep.build_preprocessor([], ["part", "flag"])
     model = prep.fit_preprocessor(stage, rows.where("is_train"))
-    sums = model.transform(rows).agg(Summarizer.sum(F.col("features")).alias("v"))
+    sums = prep.vector_sums(model.transform(rows))
     names = model.feature_table(t.spark)
-    entries = sums.select(F.posexplode(vector_to_array("v")).alias("position", "total"))
-    return entries.join(names, "position").select("feature", "total")
+    total = F.coalesce("total", F.lit(0.0)).alias("total")
+    return names.join(sums, "position", "left").select("feature", total)
 
 
 @query(

@@ -168,3 +168,11 @@ def test_imputation_values(splits):
     rows = {r["feature"]: r for r in prep.imputation_values(model, train).collect()}
     assert rows["creatinine_first"]["filled_rows"] == 3
     assert rows["gender"]["kind"] == "most_frequent" and rows["gender"]["filled_rows"] == 2
+
+
+def test_vector_sums_need_no_whole_vector(spark):
+    from pyspark.ml.linalg import Vectors
+
+    vectors = [Vectors.sparse(10**9, [1, 999_999_999], [2.0, 3.0]), Vectors.sparse(10**9, [1], [0.5]), Vectors.sparse(10**9, [], []), Vectors.dense([7.0, 0.0]), None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "id int, features struct<x:int>" if False else None or ["id", "features"])
+    assert {(r["position"], r["total"]) for r in prep.vector_sums(df).collect()} == {(0, 7.0), (1, 2.5), (999_999_999, 3.0)}
