@@ -126,7 +126,13 @@ def _rows(column: pa.Array, width: int) -> np.ndarray:
 
 
 def byte_rows(column: pa.Array, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), width)
+    """The bytes of a binary column without nulls as a matrix, read where they lie."""
+    if not len(column) or not width:
+        return np.zeros((len(column), width), np.uint8)
+    _, places, data = column.buffers()
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    first = int(np.frombuffer(places, kind)[column.offset])
+    return np.frombuffer(data, np.uint8, len(column) * width, first).reshape(len(column), width)
 
 
 # --- drawing, cutting and walking, shared by both ways --------------------------------------
@@ -487,12 +493,15 @@ def grown_apart(matrix: DataFrame, width: int, n_bins: int, s, grow, shares: Seq
         batches = list(batches)
         if shares is not None and not batches:
             return
-        table = pa.Table.from_batches([b.select(names) for b in batches], schema)
         some = (shares[batches[0].column("share")[0].as_py()],) if shares is not None else ()
+        table = pa.Table.from_batches([b.select(names) for b in batches], schema)
+        batches.clear()
         key, y, w = (table.column(c).to_numpy() for c in names[:3])
         order = np.argsort(key, kind="stable")
         bins = byte_rows(table.column("bins").combine_chunks(), width)[order]
-        for i, t in enumerate(grow(bins, y[order], w[order], key[order], n_bins, s, *some)):
+        y, w, key = y[order], w[order], key[order]
+        del table, order  # the rows are held once while the trees grow
+        for i, t in enumerate(grow(bins, y, w, key, n_bins, s, *some)):
             made = pa.array([some[0][i] if some else i], pa.int32()), pa.array([json.dumps(t.lists())], pa.string())
             yield pa.RecordBatch.from_arrays(list(made), names=["place", "tree"])
 

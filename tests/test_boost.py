@@ -4,6 +4,7 @@ import json
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -182,3 +183,14 @@ def test_fits_lie_apart_and_the_longest_comes_first(spark):
     assert scored.rdd.getNumPartitions() == 6
     at = {(r["candidate"], r["part"]): r["at"] for r in scored.withColumn("at", F.spark_partition_id()).collect()}
     assert sorted(at, key=at.get) == [(1, 0), (1, 1), (2, 0), (2, 1), (0, 0), (0, 1)]
+
+
+def test_bytes_are_read_where_they_lie():
+    for kind in (pa.binary(), pa.large_binary()):
+        column = pa.array([b"abc", b"def", b"ghi", b"jkl"], kind)
+        for part in (column, column.slice(1, 2), column.slice(3)):
+            got = boost.byte_rows(part, 3)
+            assert got.tobytes() == b"".join(part.to_pylist()) and got.shape == (len(part), 3)
+            assert column.buffers()[2].address <= got.ctypes.data < column.buffers()[2].address + 12  # no copy
+    assert boost.byte_rows(pa.array([], pa.binary()), 3).shape == (0, 3)
+    assert boost.byte_rows(pa.array([b"", b""], pa.binary()), 0).shape == (2, 0)
