@@ -44,6 +44,7 @@ MAX_BINS = 256  # a bin is one byte
 TASK_BYTES = 64 << 20
 REFRESH = 20  # rounds after which the margins are written anew
 SMALLEST_GAIN = 1e-6
+WALKED, STEPS = 1 << 14, 4  # rows, and levels, that are walked at once
 MATRIX = "key long, y double, w double, bins binary"
 
 
@@ -148,12 +149,13 @@ def drawn_rows(key: np.ndarray, round_: int, s: Settings) -> np.ndarray:
     """Which rows a tree sees: a hash of key and round, uniform in [0, 1), under the share."""
     if s.subsample >= 1:
         return np.ones(len(key), bool)
+    share = np.uint64(np.ceil(s.subsample * 2.0**53))
     with np.errstate(over="ignore"):
         x = key.astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * np.uint64(s.seed * 1000003 + round_ + 1)
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(31)
-    return (x >> np.uint64(11)).astype(np.float64) * 2.0**-53 < s.subsample
+    return x >> np.uint64(11) < share
 
 
 def gradients(margin: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -216,22 +218,31 @@ class Tree:
 
     def walk(self, bins: np.ndarray, node: np.ndarray | None = None) -> np.ndarray:
         """The node each row ends in, for as far as the tree has grown."""
-        column, cut, left, right = (np.array(v) for v in self.lists()[:4])
-        node = np.zeros(len(bins), np.int64) if node is None else node
-        while True:
-            at = np.flatnonzero(column[node] >= 0)
-            if not len(at):
-                return node
-            n = node[at]
-            node = node.copy()
-            node[at] = np.where(bins[at, column[n]] <= cut[n], left[n], right[n])
+        column, cut, left = (np.asarray(v) for v in self.lists()[:3])
+        leaf = column < 0
+        # a row stays in a leaf, as no byte exceeds 255; children follow each other
+        column, cut = np.where(leaf, 0, column), np.where(leaf, 255, cut).astype(np.uint8)
+        left = np.where(leaf, np.arange(len(leaf)), left)
+        node = np.zeros(len(bins), np.int64) if node is None else node.copy()
+        flat, width = bins.ravel(), bins.shape[1]
+        for first in range(0, len(node), WALKED):
+            at = first + np.flatnonzero(~leaf.take(node[first : first + WALKED]))
+            n, own = node.take(at), at * width
+            while len(at):
+                for _ in range(STEPS):
+                    n = left.take(n) + (flat.take(own + column.take(n)) > cut.take(n))
+                node[at] = n
+                further = np.flatnonzero(~leaf.take(n))
+                at, n, own = at.take(further), n.take(further), own.take(further)
+        return node
 
 
 def grow_in_task(bins, y, w, key, n_bins: int, s: Settings) -> Iterator[Tree]:
     """All rounds over one matrix, a tree at a time.
 
     Columns are summed one by one, and only drawn rows of open nodes are carried from level
-    to level; rows stay in order, so every cell is summed in the same order.
+    to level; rows stay in order, so every cell is summed in the same order.  Gradient and
+    hessian of a row are the parts of one complex number, summed in one pass.
     """
     margin, x = np.zeros(len(y)), np.ascontiguousarray(bins.T)
     for r in range(s.n_estimators):
@@ -239,19 +250,22 @@ def grow_in_task(bins, y, w, key, n_bins: int, s: Settings) -> Iterator[Tree]:
         columns, tree, open_ = drawn_columns(len(x), r, s), Tree(), [0]
         drawn = drawn_rows(key, r, s)
         rows, end = np.flatnonzero(drawn), np.zeros(len(y), np.intp)
-        gs, hs, own = g[rows], h[rows], x[columns][:, rows]
+        gh, own = np.empty(len(rows), complex), np.stack([x[c].take(rows) for c in columns])
+        gh.real, gh.imag = g.take(rows), h.take(rows)
         place = np.zeros(len(rows), np.intp)  # of the row's node among the open ones
         for depth in range(s.max_depth + 1):
             if depth == s.max_depth:
-                gt, ht = (np.bincount(place, weights=v, minlength=len(open_)) for v in (gs, hs))
+                total = np.zeros(len(open_), complex)
+                np.add.at(total, place, gh)
+                gt, ht = total.real, total.imag
                 cut = [(0, 0, 0.0)] * len(open_)
             else:
                 shape = len(open_), len(columns), n_bins
-                sums, first = (np.empty(shape), np.empty(shape)), place * n_bins
+                sums, first = (np.empty(shape), np.empty(shape)), (place * n_bins).astype(np.min_scalar_type(shape[0] * n_bins))
                 for c, column in enumerate(own):
-                    cell = first + column
-                    for out, v in zip(sums, (gs, hs)):
-                        out[:, c] = np.bincount(cell, weights=v, minlength=shape[0] * n_bins).reshape(shape[0], n_bins)
+                    total = np.zeros((shape[0], n_bins), complex)
+                    np.add.at(total.reshape(-1), (first + column).astype(np.intp), gh)
+                    sums[0][:, c], sums[1][:, c] = total.real, total.imag
                 gt, ht = (v[:, 0].sum(axis=1) for v in sums)
                 cut = list(zip(*(v.tolist() for v in best_cuts(*sums, s))))
             grown, below = [], np.full(len(open_), -1)
@@ -267,13 +281,17 @@ def grow_in_task(bins, y, w, key, n_bins: int, s: Settings) -> Iterator[Tree]:
             if (below < 0).any():
                 stays = below[place] >= 0
                 end[rows[~stays]] = np.array(open_)[place[~stays]]
-                rows, gs, hs, own, place = rows[stays], gs[stays], hs[stays], own[:, stays], place[stays]
-            c, b = (np.array(v)[place] for v in list(zip(*cut))[:2])
-            place = below[place] + (own.ravel()[c * own.shape[1] + np.arange(len(rows))] > b)
+                kept = np.flatnonzero(stays)
+                rows, gh, place = rows.take(kept), gh.take(kept), place.take(kept)
+                own = np.stack([column.take(kept) for column in own])
+            c, b = (np.array(v) for v in list(zip(*cut))[:2])
+            met = own.ravel().take((c * len(rows)).take(place) + np.arange(len(rows)))
+            place = below.take(place) + (met > b.astype(np.uint8).take(place))
             open_ = grown
         if not drawn.all():
-            end[~drawn] = tree.walk(bins[~drawn])
-        margin = margin + np.array(tree.value)[end]
+            rest = np.flatnonzero(~drawn)
+            end[rest] = tree.walk(bins.take(rest, axis=0))
+        margin = margin + np.array(tree.value).take(end)
         yield tree
 
 
@@ -403,7 +421,8 @@ def fit_side_by_side(
     fits = sorted(
         ((c, p) for c in range(many) for p in widths), key=lambda f: (-effort(candidates[f[0]], widths[f[1]]), f)
     )
-    places = F.create_map(*[F.lit(v) for place, (c, p) in enumerate(fits) for v in (f"{c} {p}", place)])
+    at = {fit: place for place, fit in enumerate(fits)}
+    places = F.create_map(*[v for p in widths for v in (F.lit(p), F.array(*[F.lit(at[c, p]) for c in range(many)]))])
     every = F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
     tasks = parts.select(every.alias("candidate"), "part", "held", "key", "y", "bins")
 
@@ -437,7 +456,7 @@ def fit_side_by_side(
         columns = [np.full(n, candidate, np.int32), np.full(n, part, np.int32), y[held].astype(np.int32), chance(margin, n_trees)]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["candidate", "part", "y", "score"])
 
-    place = F.element_at(places, F.concat_ws(" ", "candidate", "part"))
+    place = F.element_at(places, F.col("part"))[F.col("candidate")]
     dealt = tasks.repartitionById(len(fits), place).sortWithinPartitions("candidate", "part", "key")
     return dealt.mapInArrow(run, "candidate int, part int, y int, score double")
 
@@ -558,33 +577,24 @@ class BoostedTreesModel(Model, HasFeaturesCol, DefaultParamsReadable, DefaultPar
 
     def _transform(self, df: DataFrame) -> DataFrame:
         fitted = self.fitted
-        shared = df.sparkSession.sparkContext.broadcast(
-            [
-                (
-                    np.array(c, np.int64),
-                    np.array([fitted["edges"][i][k] if i >= 0 else 0.0 for i, k in zip(c, b)]),
-                    np.array(left, np.int64),
-                    np.array(right, np.int64),
-                    np.array(value),
-                )
-                for c, b, left, right, value, _, _ in fitted["trees"]
-            ]
-        )
+        # plain arrays: a broadcast of objects would need the package on the executors
+        kinds = (np.int64, np.int64, np.int64, np.int64, float)
+        trees = [[np.array(v, kind) for v, kind in zip(lists, kinds)] + [None, None] for lists in fitted["trees"]]
+        shared = df.sparkSession.sparkContext.broadcast((fitted["edges"], trees))
 
         to_chance = self._chance
 
         @F.pandas_udf("double")
         def chance(x: pd.Series) -> pd.Series:
-            rows = np.stack(x.to_numpy()) if len(x) else np.zeros((0, 1))
-            margin, every = np.zeros(len(rows)), np.arange(len(rows))
-            for column, cut, left, right, value in shared.value:
-                node = np.zeros(len(rows), np.int64)
-                while (column[node] >= 0).any():
-                    c = column[node]
-                    down = np.where(rows[every, np.maximum(c, 0)] <= cut[node], left[node], right[node])
-                    node = np.where(c >= 0, down, node)
-                margin += value[node]
-            return pd.Series(to_chance(margin, len(shared.value)))
+            edges, trees = shared.value
+            rows = np.stack(x.to_numpy()) if len(x) else np.zeros((0, len(edges)))
+            bins, margin = np.zeros(rows.shape, np.uint8), np.zeros(len(rows))
+            for i, cuts in enumerate(edges):
+                bins[:, i] = np.searchsorted(cuts, rows[:, i], side="left")
+            for lists in trees:
+                tree = Tree(lists)
+                margin += tree.value.take(tree.walk(bins))
+            return pd.Series(to_chance(margin, len(trees)))
 
         p = chance(vector_to_array(self.getOrDefault("featuresCol")))
         scored = df.withColumn("_chance", p)

@@ -194,3 +194,47 @@ def test_bytes_are_read_where_they_lie():
             assert column.buffers()[2].address <= got.ctypes.data < column.buffers()[2].address + 12  # no copy
     assert boost.byte_rows(pa.array([], pa.binary()), 3).shape == (0, 3)
     assert boost.byte_rows(pa.array([b"", b""], pa.binary()), 0).shape == (2, 0)
+
+
+def test_rows_walk_some_at_a_time(monkeypatch):
+    monkeypatch.setattr(boost, "WALKED", 7)
+    monkeypatch.setattr(boost, "STEPS", 2)
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, 256, (60, 3)).astype(np.uint8)
+    bins[0] = 255
+    tree = boost.Tree()
+    for node, column, cut in ((0, 1, 90), (1, 0, 254), (3, 2, 40), (5, 1, 0), (2, 2, 120)):
+        tree.cut(node, column, cut, 1.0)
+
+    def end(row, node):
+        while tree.column[node] >= 0:
+            node = tree.left[node] if row[tree.column[node]] <= tree.bin[node] else tree.right[node]
+        return node
+
+    assert tree.walk(bins).tolist() == [end(r, 0) for r in bins]
+    begun = rng.integers(0, len(tree.column), 60)
+    before = begun.tolist()
+    assert tree.walk(bins, begun).tolist() == [end(r, n) for r, n in zip(bins, before)] and begun.tolist() == before
+    assert boost.Tree().walk(np.zeros((3, 0), np.uint8)).tolist() == [0, 0, 0]
+
+
+def test_a_value_at_a_cut_goes_left_and_nan_right(spark):
+    trees = [[[0, -1, -1], [1, 0, 0], [1, 0, 0], [2, 0, 0], [0.0, -1.0, 1.0], [1.0, 0.0, 0.0], [0.0, 0.0, 0.0]]]
+    model = boost.BoostedTreesModel(state=json.dumps({"edges": [[1.0, 2.5], []], "trees": trees}))
+    df = spark.createDataFrame([(x, [x, 7.0]) for x in (2.4, 2.5, 2.6, float("nan"), -0.0)], "x double, v array<double>")
+    scored = model.transform(df.withColumn("features", array_to_vector("v"))).select("prediction").collect()
+    assert [r["prediction"] for r in scored] == [0, 0, 1, 1, 0]
+
+
+def test_both_sums_of_a_column_take_one_pass(monkeypatch):
+    rng = np.random.default_rng(3)
+    bins, y = rng.integers(0, 30, (400, 4)).astype(np.uint8), rng.integers(0, 2, 400).astype(float)
+    monkeypatch.setattr(np, "bincount", None)  # which sums one value a pass
+    trees = list(boost.grow_in_task(bins, y, 1 + y, np.arange(400), 30, S(3, 0.3, 3, 0.5, subsample=0.7)))
+    assert len(trees) == 3 and max(len(t.column) for t in trees) > 3
+
+
+def test_fits_are_placed_without_texts(spark):
+    parts = spark.createDataFrame([(5, False, 1, 1.0, bytearray(b"a"))], "part int, held boolean, key long, y double, bins binary")
+    scored = boost.fit_side_by_side(parts, [S(2, 0.3, 1, 0.0)], {5: 1}, {5: (1.0, 1.0)}, boost.grow_in_task, boost.BoostedTreesModel._chance, boost.effort)
+    assert "concat_ws" not in scored._jdf.queryExecution().optimizedPlan().toString()
