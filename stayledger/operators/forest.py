@@ -39,6 +39,7 @@ MAX_BINS = 64
 DEEPEST = 30  # where the depth is left open
 CELLS = 1 << 22  # cells of a group of trees that one task sums
 TASK_CELLS = 1 << 18  # cells that a tree in one task sums at once
+SMALL_NODES = 8, 16, 32  # rows of nodes that are summed over the bins they hold
 SMALLEST_DROP = 1e-9
 #: How often a uniform number means 0, 1, 2... rows under Poisson(1).
 TIMES = np.exp(-1) * np.cumsum(1 / np.array([1, 1, 2, 6, 24, 120, 720, 5040, 40320], float))
@@ -75,7 +76,10 @@ def times_drawn(key: np.ndarray, tree: int, s: Settings) -> np.ndarray:
     """How often a tree sees each row."""
     with np.errstate(over="ignore"):
         x = _mixed(key.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ _salt(s, tree, 0))
-    return np.searchsorted(TIMES, (x >> np.uint64(11)).astype(float) * 2.0**-53, side="right")
+    chance, times = (x >> np.uint64(11)).astype(float) * 2.0**-53, np.zeros(len(x), np.uint8)
+    for t in TIMES:
+        times += chance >= t
+    return times
 
 
 def node_columns(nodes, tree: int, width: int, s: Settings) -> np.ndarray:
@@ -100,8 +104,12 @@ def best_cuts(g, h, n, s: Settings):
     gr, hr, nr = gl[:, :, -1:] - gl, hl[:, :, -1:] - hl, nl[:, :, -1:] - nl
     allowed = (nl >= s.min_samples_leaf) & (nr >= s.min_samples_leaf) & (hl > 0) & (hr > 0)
     with np.errstate(all="ignore"):
-        drop = gl**2 / hl + gr**2 / hr - gl[:, :, -1:] ** 2 / hl[:, :, -1:]
-    drop = np.where(allowed, drop, 0).reshape(len(g), -1)
+        whole = gl[:, :, -1:] ** 2 / hl[:, :, -1:]
+        drop = np.divide(np.square(gl, out=gl), hl, out=gl)
+        drop += np.divide(np.square(gr, out=gr), hr, out=gr)
+        drop -= whole
+    drop[~allowed] = 0
+    drop = drop.reshape(len(g), -1)
     best = drop.argmax(axis=1)
     value = drop[np.arange(len(g)), best]
     return best // g.shape[2], best % g.shape[2], np.where(value > SMALLEST_DROP, value, 0)
@@ -114,52 +122,55 @@ def _settle(tree: Tree, node: int, g: float, h: float) -> None:
 def grow_in_task(bins, y, w, key, n_bins: int, s: Settings, some: Sequence[int] | None = None) -> Iterator[Tree]:
     """All trees over one matrix, or those numbered ``some``, one at a time.
 
-    Rows lie ordered by node, in their old order inside it, so nodes are summed in chunks
-    of bounded size and every cell in the same order.
+    Rows lie ordered by node, in their old order inside it, so a node's rows are known by
+    their number, nodes are summed in chunks of bounded size and every cell in the same order.
+    Both values of a row are the parts of one complex number, summed in one pass.
     """
     deepest, x = DEEPEST if s.max_depth is None else s.max_depth, np.ascontiguousarray(bins.T)
     for t in range(s.n_estimators) if some is None else some:
         times = times_drawn(key, t, s)
         rows = np.flatnonzero(times)
-        h = w[rows] * times[rows]
-        g, own, tree = h * y[rows], x[:, rows].ravel(), Tree()
+        own, tree = np.concatenate([column.take(rows) for column in x]) if len(x) else x.ravel(), Tree()
         m = len(rows)
-        row, place, first, many = np.arange(m), np.zeros(m, np.intp), 0, 1  # open nodes follow each other
+        gh = np.empty(m, complex)
+        gh.imag = w[rows] * times[rows]
+        gh.real = gh.imag * y[rows]
+        row, sizes, first = np.arange(m), np.array([m]), 0  # open nodes follow each other
         if not m:
             _settle(tree, 0, 0.0, 1.0)
         for depth in range(deepest + 1 if m else 0):
-            gt, ht = (np.bincount(place, weights=v, minlength=many) for v in (g, h))
+            total = np.zeros(len(sizes), complex)
+            np.add.at(total, np.repeat(np.arange(len(sizes)), sizes), gh)
+            gt, ht = total.real, total.imag
             tree.value[first:], tree.cover[first:] = (gt / ht).tolist(), ht.tolist()
             mixed = (gt > 0) & (gt < ht)
-            mixed &= np.bincount(place, minlength=many) >= 2 * s.min_samples_leaf  # others cannot be cut
+            mixed &= sizes >= 2 * s.min_samples_leaf  # others cannot be cut
             if depth == deepest or not mixed.any():
                 break
             nodes = np.flatnonzero(mixed)
-            if len(nodes) < many:
-                row, place, g, h = _kept(mixed, row, place, g, h)
+            if len(nodes) < len(mixed):
+                row, sizes, gh = _kept(mixed, row, sizes, gh)
             columns = node_columns(nodes + first, t, len(x), s)
-            c, b, drop = _node_cuts_in_task(own, m, row, place, g, h, columns, n_bins, s)
+            c, b, drop = _node_cuts_in_task(own, m, row, sizes, gh, columns, n_bins, s)
             cut = drop > 0
             if not cut.any():
                 break
             column = columns[np.arange(len(nodes)), c]
-            first, many = len(tree.column), 2 * int(cut.sum())
-            tree.cut_all((nodes + first - len(mixed))[cut].tolist(), column[cut].tolist(), b[cut].tolist(), drop[cut].tolist())
+            at, first = (nodes + first)[cut], len(tree.column)
+            tree.cut_all(at.tolist(), column[cut].tolist(), b[cut].tolist(), drop[cut].tolist())
             if not cut.all():
-                row, place, g, h = _kept(cut, row, place, g, h)
+                row, sizes, gh = _kept(cut, row, sizes, gh)
                 column, b = column[cut], b[cut]
             # both sides of every node, one after the other, rows in their old order
-            right = own[column[place] * m + row] > b[place]
-            starts = np.searchsorted(place, np.arange(len(b)))
-            lefts = np.cumsum(~right)
-            before = np.where(starts > 0, lefts[starts - 1], 0)
-            n_left = np.diff(np.append(before, lefts[-1]))
-            at = np.arange(len(row))
-            rank = lefts - 1 - before[place]
-            to = np.where(right, n_left[place] + at - rank - 1, starts[place] + rank)
+            right = own.take(np.repeat(column * m, sizes) + row) > np.repeat(b.astype(np.uint8), sizes)
+            starts = np.cumsum(sizes) - sizes
+            n_right = np.add.reduceat(right, starts, dtype=np.intp)
+            n_left = sizes - n_right
             order = np.empty(len(row), np.intp)
-            order[to] = at
-            row, g, h, place = row[order], g[order], h[order], (2 * place + right)[order]
+            for side, many, begins in ((~right, n_left, starts), (right, n_right, starts + n_left)):
+                here = np.flatnonzero(side)
+                order[np.arange(len(here)) + np.repeat(begins - np.cumsum(many) + many, many)] = here
+            row, gh, sizes = row.take(order), gh.take(order), np.stack([n_left, n_right], axis=1).ravel()
         yield tree
 
 
@@ -173,30 +184,72 @@ def shares(s: Settings, tasks: int) -> list[list[int]]:
     return [list(range(i, s.n_estimators, tasks)) for i in range(min(tasks, s.n_estimators))]
 
 
-def _kept(nodes: np.ndarray, row, place, g, h):
-    """The rows of the marked nodes, whose places are numbered anew."""
-    here = nodes[place]
-    return row[here], (np.cumsum(nodes) - 1)[place[here]], g[here], h[here]
+def _kept(nodes: np.ndarray, row, sizes, gh):
+    """The rows of the marked nodes, and how many each has."""
+    here = np.flatnonzero(np.repeat(nodes, sizes))
+    return row.take(here), sizes[nodes], gh.take(here)
 
 
-def _node_cuts_in_task(own, m: int, row, place, g, h, columns, n_bins: int, s: Settings):
-    """``best_cuts`` of nodes whose rows lie one after the other, some nodes at a time."""
+def _node_cuts_in_task(own, m: int, row, sizes, gh, columns, n_bins: int, s: Settings):
+    """``best_cuts`` of nodes whose rows lie one after the other, some nodes at a time.
+
+    Nodes of few rows have cells for the bins they hold only: a cut behind an empty bin is
+    the cut behind the bin before it.
+    """
+    n_nodes = len(columns)
+    found = np.empty(n_nodes, np.intp), np.empty(n_nodes, np.intp), np.empty(n_nodes)
+    least = 0
+    for room in [r for r in SMALL_NODES if r < n_bins <= 64] + [n_bins]:
+        chosen = (sizes > least) & ((sizes <= room) | (room == n_bins))
+        least = room
+        if not chosen.any():
+            continue
+        rows, many, values = (row, sizes, gh) if chosen.all() else _kept(chosen, row, sizes, gh)
+        cuts = _sized_cuts(own, m, rows, many, values, columns[chosen], n_bins, room, s)
+        for out, v in zip(found, cuts):
+            out[chosen] = v
+    return found
+
+
+def _sized_cuts(own, m: int, row, sizes, gh, columns, n_bins: int, room: int, s: Settings):
+    """The cuts of nodes that hold at most ``room`` bins of a column."""
     n_nodes, k = columns.shape
-    step = max(1, TASK_CELLS // (k * n_bins))
+    step = max(1, TASK_CELLS // (k * room))
+    ends = np.cumsum(sizes)
     found = []
     for a in range(0, n_nodes, step):
-        some = columns[a : a + step]
-        lo, hi = np.searchsorted(place, (a, a + len(some)))
-        here, at, values = place[lo:hi] - a, row[lo:hi], (g[lo:hi], h[lo:hi], None)
-        sums = [np.empty((len(some), k, n_bins)) for _ in values]
+        some, many = columns[a : a + step], sizes[a : a + step]
+        lo, hi = ends[a] - many[0], ends[a + len(many) - 1]
+        at, values, starts = row[lo:hi], gh[lo:hi], ends[a : a + step] - many - lo
+        first = np.repeat(np.arange(len(some)) * room, many)
+        g, h, n = (np.empty((len(some), k, room)) for _ in range(3))
+        held = np.empty((len(some), k), np.uint64)
         for j in range(k):
-            cell = here * n_bins + own[some[here, j] * m + at]
-            for out, v in zip(sums, values):
-                out[:, j] = np.bincount(cell, weights=v, minlength=len(some) * n_bins).reshape(len(some), n_bins)
-        found.append(best_cuts(*sums, s))
+            bin_ = own.take(np.repeat(some[:, j] * m, many) + at)
+            if room < n_bins:  # the bin's place among those the node holds
+                bit = np.left_shift(np.uint64(1), bin_.astype(np.uint64))
+                held[:, j] = np.bitwise_or.reduceat(bit, starts)
+                bin_ = np.bitwise_count(np.repeat(held[:, j], many) & (bit - np.uint64(1)))
+            cell, total = first + bin_, np.zeros(len(some) * room, complex)
+            np.add.at(total, cell, values)
+            g[:, j], h[:, j] = total.real.reshape(len(some), room), total.imag.reshape(len(some), room)
+            n[:, j] = np.bincount(cell, minlength=len(total)).reshape(len(some), room)
+        c, b, drop = best_cuts(g, h, n, s)
+        found.append((c, _nth_bit(held[np.arange(len(some)), c], b) if room < n_bins else b, drop))
     return tuple(np.concatenate(v) for v in zip(*found))
 
 
+def _nth_bit(held: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Which bit is the ``n``-th that is set, counted from 0."""
+    n, bit = n.copy(), np.zeros(len(n), np.uint64)
+    for step in (32, 16, 8, 4, 2, 1):
+        below = np.bitwise_count(held >> bit & np.uint64((1 << step) - 1))
+        past = n >= below
+        n -= np.where(past, below, 0)
+        bit += np.where(past, np.uint64(step), np.uint64(0))
+    return bit.astype(np.intp)
+
+
 # --- level by level on the cluster -----------------------------------------------------------
 
 

@@ -170,3 +170,21 @@ def test_shares_of_trees_make_the_same_forest(table):
     one = boost.grown_apart(matrix, 5, n_bins, s, forest.grow_in_task)
     many = boost.grown_apart(matrix, 5, n_bins, s, forest.grow_in_task, forest.shares(s, 3))
     assert [t.lists() for t in many] == [t.lists() for t in one]
+
+
+def test_small_nodes_have_cells_for_the_bins_they_hold(monkeypatch):
+    rng = np.random.default_rng(6)
+    bins, y, key = rng.integers(0, 60, (700, 4)).astype(np.uint8), rng.integers(0, 2, 700).astype(float), np.arange(700)
+    cells, cuts = [], forest.best_cuts
+    monkeypatch.setattr(forest, "best_cuts", lambda g, h, n, s: cells.append(g.size) or cuts(g, h, n, s))
+    s = S(4, None, 2, 0.7)
+    grown = [t.lists() for t in forest.grow_in_task(bins, y, 1 + 0.3 * y, key, 60, s)]
+    nodes = sum(len(lists[0]) for lists in grown)
+    assert sum(cells) < nodes * forest.column_count(4, s) * 60 / 4
+    monkeypatch.setattr(forest, "SMALL_NODES", ())  # cells for every bin
+    assert [t.lists() for t in forest.grow_in_task(bins, y, 1 + 0.3 * y, key, 60, s)] == grown
+
+
+def test_the_set_bits_of_a_mask():
+    held = np.array([0b1, 0b10100, 0b10100, 1 << 63 | 1, 1 << 63 | 1, (1 << 64) - 1], np.uint64)
+    assert forest._nth_bit(held, np.array([0, 0, 1, 0, 1, 41])).tolist() == [0, 2, 4, 0, 63, 41]
