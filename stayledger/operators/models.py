@@ -446,6 +446,12 @@ def _tree_scores(stages: Mapping[str, tuple], rows: DataFrame, target: str) -> D
     return stable(scored)
 
 
+def side_by_side(spark, fn, items: Sequence, parallelism: int = 4) -> list:
+    """``fn`` of every item, whose Spark jobs are submitted from a few threads."""
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(fn), items))
+
+
 def fold_scores(
     pipelines: Mapping[str, Pipeline],
     df: DataFrame,
@@ -468,44 +474,50 @@ def fold_scores(
         first, *rest = pipeline.getStages()
         groups.setdefault(_settings_key(first), {})[name] = rest
     records = []
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
 
-        def on_pool(fn, items):
-            return list(pool.map(inheritable_thread_target(spark)(fn), items))
-
-        for names in groups.values():
-            first = pipelines[next(iter(names))].getStages()[0]
-            tables = on_pool(lambda k: _fold_table(first, df, target, fold, k), range(n_folds))
-            output = first.getOrDefault("outputCol")
-            # folds differ in width where their rows differ in categories
-            wide = [t.select(F.size(vector_to_array(output)).alias("n")).first() for t in tables]
-            alike_wide: dict[int, list[DataFrame]] = {}
-            for table, row in zip(tables, wide):
-                if row is not None:
-                    alike_wide.setdefault(row["n"], []).append(table)
-            alike: dict[tuple, dict[str, tuple]] = {}
-            for n, r in names.items():
-                if isinstance(r[-1], (boost.BoostedTrees, forest.BinnedForest)):
-                    room = r[-1].getOrDefault("taskBytes")
-                    alike.setdefault((type(r[-1]), r[-1].getOrDefault("maxBins"), room), {})[n] = tuple(r)
-            for (*_, room), stages in alike.items():
-                if not alike_wide or not boost.fits_task(tables[0], max(alike_wide), room):
-                    continue
-                for some in alike_wide.values():
-                    rows = reduce(DataFrame.unionByName, some)
-                    scored = _tree_scores(stages, rows, target)
-                    areas = discrimination_metrics(scored, target=target, probability=SCORE, by=["model", "fold"])
-                    records += [(r["model"], r["fold"], r["auroc"], r["auprc"]) for r in areas.collect()]
-            done = {r[0] for r in records}
-
-            def one(task: tuple[str, int]) -> tuple:
-                name, k = task
-                fitted = Pipeline(stages=[s.copy() for s in names[name]]).fit(tables[k].where("not _held"))
-                held = predict_positive(fitted, tables[k].where("_held"), keep=[target])
-                row = discrimination_metrics(held, target=target, probability=SCORE).first()
-                return name, k, row["auroc"], row["auprc"]
-
-            records += on_pool(one, [(n, k) for n in names if n not in done for k in range(n_folds)])
+    def on_pool(fn, items):
+        return side_by_side(spark, fn, items, parallelism)
+
+    for names in groups.values():
+        first = pipelines[next(iter(names))].getStages()[0]
+        tables = on_pool(lambda k: _fold_table(first, df, target, fold, k), range(n_folds))
+        output = first.getOrDefault("outputCol")
+        # folds differ in width where their rows differ in categories
+        wide = [t.select(F.size(vector_to_array(output)).alias("n")).first() for t in tables]
+        alike_wide: dict[int, list[DataFrame]] = {}
+        for table, row in zip(tables, wide):
+            if row is not None:
+                alike_wide.setdefault(row["n"], []).append(table)
+        alike: dict[tuple, dict[str, tuple]] = {}
+        for n, r in names.items():
+            if isinstance(r[-1], (boost.BoostedTrees, forest.BinnedForest)):
+                room = r[-1].getOrDefault("taskBytes")
+                alike.setdefault((type(r[-1]), r[-1].getOrDefault("maxBins"), room), {})[n] = tuple(r)
+
+        def together(task: tuple[dict, list[DataFrame]]) -> list[tuple]:
+            stages, some = task
+            scored = _tree_scores(stages, reduce(DataFrame.unionByName, some), target)
+            areas = discrimination_metrics(scored, target=target, probability=SCORE, by=["model", "fold"])
+            return [(r["model"], r["fold"], r["auroc"], r["auprc"]) for r in areas.collect()]
+
+        # a kind has few fits where it has few candidates: the kinds run side by side
+        jobs = [
+            (stages, some)
+            for (*_, room), stages in alike.items()
+            if alike_wide and boost.fits_task(tables[0], max(alike_wide), room)
+            for some in alike_wide.values()
+        ]
+        records += [r for found in on_pool(together, jobs) for r in found]
+        done = {r[0] for r in records}
+
+        def one(task: tuple[str, int]) -> tuple:
+            name, k = task
+            fitted = Pipeline(stages=[s.copy() for s in names[name]]).fit(tables[k].where("not _held"))
+            held = predict_positive(fitted, tables[k].where("_held"), keep=[target])
+            row = discrimination_metrics(held, target=target, probability=SCORE).first()
+            return name, k, row["auroc"], row["auprc"]
+
+        records += on_pool(one, [(n, k) for n in names if n not in done for k in range(n_folds)])
     return spark.createDataFrame(records, "model string, fold int, auroc double, auprc double")
 
 

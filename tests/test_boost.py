@@ -2,6 +2,7 @@
 
 import json
 import math
+import threading
 
 import numpy as np
 import pyarrow as pa
@@ -238,3 +239,17 @@ def test_fits_are_placed_without_texts(spark):
     parts = spark.createDataFrame([(5, False, 1, 1.0, bytearray(b"a"))], "part int, held boolean, key long, y double, bins binary")
     scored = boost.fit_side_by_side(parts, [S(2, 0.3, 1, 0.0)], {5: 1}, {5: (1.0, 1.0)}, boost.grow_in_task, boost.BoostedTreesModel._chance, boost.effort)
     assert "concat_ws" not in scored._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_kinds_of_trees_are_fitted_side_by_side(clinical, monkeypatch):
+    both, fit = threading.Barrier(2, timeout=120), models._tree_scores
+    monkeypatch.setattr(models, "_tree_scores", lambda *a: both.wait() and None or fit(*a))
+    target = "hospital_expire_flag"
+    rows = clinical.withColumn("fold", (F.col("stay_id") % 2).cast("int"))
+    stage = prep.build_preprocessor(["anchor_age", "lactate_first"], [])
+    pipelines = {
+        "forest": models.build_random_forest(stage, target=target, n_estimators=3),
+        "boosted": models.build_boosted_trees(stage, target=target, n_estimators=3, positive_weight=0.0),
+    }
+    found = models.fold_scores(pipelines, rows, target=target, n_folds=2).collect()
+    assert sorted((r["model"], r["fold"]) for r in found) == [("boosted", 0), ("boosted", 1), ("forest", 0), ("forest", 1)]
