@@ -253,3 +253,8 @@ def test_kinds_of_trees_are_fitted_side_by_side(clinical, monkeypatch):
     }
     found = models.fold_scores(pipelines, rows, target=target, n_folds=2).collect()
     assert sorted((r["model"], r["fold"]) for r in found) == [("boosted", 0), ("boosted", 1), ("forest", 0), ("forest", 1)]
+
+
+def test_jobs_side_by_side_keep_their_order(spark):
+    all_three = threading.Barrier(3, timeout=60)
+    assert models.side_by_side(spark, lambda n: all_three.wait() and None or spark.range(n).count(), [3, 1, 2]) == [3, 1, 2]
