@@ -350,6 +350,43 @@ def test_repeats_removed(docs, rows, no_docs, monkeypatch, length, most):
     assert suffix.remove_repeats(no_docs).count() == 0
 
 
+def test_repeats_leave_spans_bytes_and_text(spark, tmp_path):
+    """What is left is given, not told by digests alone; cuts within a character show in kept only."""
+    rng = np.random.default_rng(8)
+    passage = "".join(rng.choice([*"abcdefgh "], 410))
+    clean = "".join(rng.choice([*"ijklmnop é"], 900))
+    # é and © share their last byte, ê and é their first: the repeat begins and ends inside a character
+    texts = {0: f"head é{passage}ê tail", 1: f"x©{passage}é", 2: clean, 3: None, 4: "", 5: passage + "|" + clean[:300], 6: "ñ" + "".join(rng.choice([*"qrst"], 500))}
+    raw = {k: (t or "").encode() for k, t in texts.items()}
+    seen = Counter(t[i : i + 400] for t in raw.values() for i in range(len(t) - 399))
+    want = {}
+    for k, t in raw.items():
+        gone = np.zeros(len(t), bool)
+        for i in range(len(t) - 399):
+            if seen[t[i : i + 400]] > 1:
+                gone[i : i + 400] = True
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int), [0]]))).tolist()
+        runs = list(zip(edge[::2], edge[1::2], strict=True))
+        pieces = [t[lo:hi] for lo, hi in zip([0, *edge[1::2]], [*edge[::2], len(t)], strict=True)]
+        want[k] = (len(t), runs, b"".join(pieces), "".join(p.decode(errors="ignore") for p in pieces))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_bytes, [(s.a, s.b) for s in r.spans], bytes(r.kept), r.kept_text) for r in suffix.without_repeats(docs).collect()}
+    assert got == want
+    assert sum(bool(w[1]) for w in want.values()) == 3 and want[0][2] == "head ê tail".encode() and want[0][3] == "head  tail"
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for r in suffix.op6_suffix_dedup(spark, str(tmp_path)).collect():
+        n, runs, kept, text = want[r.doc_id]
+        assert tuple(r) == (r.doc_id, n, n - len(kept), len(runs), sha(kept), len(kept), text)
+
+
+def test_many_rows_left_in_one_batch(spark):
+    """Rows go on by bytes of text; ids stay beside their texts."""
+    texts = [chr(97 + i % 26) * (300_000 if i % 3 else i % 390) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_bytes, r.kept_text) for r in suffix.without_repeats(docs).collect()}
+    assert got == {i: (len(t), "" if i % 3 else t) for i, t in enumerate(texts)}
+
+
 # ---- benchmark ----
 
 
