@@ -45,6 +45,7 @@ TASK_BYTES = 64 << 20
 REFRESH = 20  # rounds after which the margins are written anew
 SMALLEST_GAIN = 1e-6
 WALKED, STEPS = 1 << 14, 4  # rows, and levels, that are walked at once
+JOINED, JOINT = 1 << 14, 1 << 12  # rows of a matrix whose columns are summed together, and cells of such columns
 MATRIX = "key long, y double, w double, bins binary"
 
 
@@ -187,6 +188,31 @@ def best_cuts(g: np.ndarray, h: np.ndarray, s: Settings):
     return best // g.shape[2], best % g.shape[2], np.where(value > SMALLEST_GAIN, value, 0)
 
 
+def joint_columns(x: np.ndarray, most: int) -> tuple[list[np.ndarray], list[tuple[tuple[int, ...], tuple[int, ...]]]]:
+    """Columns of few bins as one number: one count of its cells is a count of each of them.
+
+    x: the bins, a row per column.  Numbers have at most ``most`` cells unless a column alone
+    has more.  Beside every number are the bins, and the columns, of its places.
+    """
+    sizes = [int(column.max(initial=0)) + 1 for column in x]
+    groups: list[list[int]] = []
+    for c in sorted(range(len(x)), key=lambda c: (-sizes[c], c)):
+        for group in groups:
+            if np.prod([sizes[o] for o in group]) * sizes[c] <= most:
+                group.append(c)
+                break
+        else:
+            groups.append([c])
+    codes = []
+    for group in groups:
+        kind = np.min_scalar_type(int(np.prod([sizes[c] for c in group])) - 1)
+        code = x[group[0]].astype(kind)
+        for c in group[1:]:
+            code = code * kind.type(sizes[c]) + x[c].astype(kind)
+        codes.append(code)
+    return codes, [(tuple(sizes[c] for c in group), tuple(group)) for group in groups]
+
+
 class Tree:
     """Nodes in the order they were made; a leaf has column -1."""
 
@@ -210,6 +236,15 @@ class Tree:
         for values, new in zip(self.lists(), (-1, 0, 0, 0, 0.0, 0.0, 0.0)):
             values += [new] * (2 * len(nodes))
 
+    def upto(self, depth: int | None) -> Tree:
+        """The tree as it was when it had ``depth`` levels of cuts, grown level by level."""
+        first, last = 0, 1
+        for _ in range(len(self.column) if depth is None else depth):
+            if first == len(self.column):
+                return self
+            first, last = last, last + 2 * sum(c >= 0 for c in self.column[first:last])
+        return Tree((self.column[:first] + [-1] * (len(self.column) - first), *self.lists()[1:]))
+
     def lists(self) -> tuple[list, ...]:
         return self.column, self.bin, self.left, self.right, self.value, self.gain, self.cover
 
@@ -408,7 +443,7 @@ def fits_task(matrix: DataFrame, width: int, task_bytes: int = TASK_BYTES) -> bo
 
 
 def fit_side_by_side(
-    parts: DataFrame, candidates: Sequence, widths: dict[int, int], weights: dict[int, tuple[float, float]], grow, chance, effort
+    parts: DataFrame, candidates: Sequence, widths: dict[int, int], weights: dict[int, tuple[float, float]], grow, chance, effort, alike=None
 ) -> DataFrame:
     """(candidate, part, y, score) of the held-out rows of every (candidate, part).
 
@@ -416,51 +451,81 @@ def fit_side_by_side(
     positives of a part weigh ``weights[part]``.  Every fit is a task of its own, the longest
     by ``effort`` first: ``grow`` makes the trees, which are scored and dropped one by one,
     ``chance`` a probability of their sum.
+
+    Candidates whose settings have the same ``alike(settings, width)`` differ in the number
+    and depth of their trees only: they are one fit, in which every tree is grown once, as
+    deep as the deepest that has it, and walked on from one candidate's depth to the next.
     """
-    many = len(candidates)
-    fits = sorted(
-        ((c, p) for c in range(many) for p in widths), key=lambda f: (-effort(candidates[f[0]], widths[f[1]]), f)
-    )
-    at = {fit: place for place, fit in enumerate(fits)}
-    places = F.create_map(*[v for p in widths for v in (F.lit(p), F.array(*[F.lit(at[c, p]) for c in range(many)]))])
-    every = F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
-    tasks = parts.select(every.alias("candidate"), "part", "held", "key", "y", "bins")
+    fits: list[tuple[int, list[int]]] = []
+    for p, width in widths.items():
+        found: dict = {}
+        for c, s in enumerate(candidates):
+            found.setdefault(alike(s, width) if alike else c, []).append(c)
+        fits += [(p, own) for own in found.values()]
+
+    def stretches(own: list[int]) -> list[tuple[int, int, object]]:
+        """From which tree to which one the same settings are the deepest."""
+        some = [candidates[c] for c in own]
+        ends = sorted({s.n_estimators for s in some})
+        open_ = [[s for s in some if s.n_estimators >= end] for end in ends]
+        return [(a, b, max(o, key=_depth)) for a, b, o in zip([0, *ends], ends, open_)]
+
+    def length(p: int, own: list[int]) -> float:
+        return sum(effort(s._replace(n_estimators=b - a), widths[p]) for a, b, s in stretches(own))
+
+    fits.sort(key=lambda f: (-length(*f), f[1], f[0]))
+    places = {p: [place for place, f in enumerate(fits) if f[0] == p] for p in widths}
+    places = F.create_map(*[v for p, at in places.items() for v in (F.lit(p), F.array(*map(F.lit, at)))])
+    tasks = parts.select(F.explode(F.element_at(places, F.col("part"))).alias("fit"), "held", "key", "y", "bins")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:
-            fit = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], axis=1)
-            cuts = [0, *(np.flatnonzero((fit[1:] != fit[:-1]).any(axis=1)) + 1).tolist(), len(fit)] if len(fit) else [0]
+            fit = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(fit[1:] != fit[:-1]) + 1).tolist(), len(fit)] if len(fit) else [0]
             for a, b in zip(cuts[:-1], cuts[1:]):
-                if tuple(fit[a]) != now:
+                if fit[a] != now:
                     if rows:
-                        yield one(now, rows)
-                    now, rows = tuple(fit[a].tolist()), []
+                        yield from one(now, rows)
+                    now, rows = int(fit[a]), []
                 rows.append(batch.slice(a, b - a))
         if rows:
-            yield one(now, rows)
+            yield from one(now, rows)
 
-    def one(fit: tuple[int, int], rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        candidate, part = fit
+    def one(fit: int, rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, own = fits[fit]
         table = pa.Table.from_batches(rows)
         held = table.column("held").to_numpy()
         key, y = table.column("key").to_numpy(), table.column("y").to_numpy()
         bins = byte_rows(table.column("bins").combine_chunks(), widths[part])
         w = np.where(y > 0, weights[part][1], weights[part][0])
-        grown = grow(bins[~held], y[~held], w[~held], key[~held], int(bins.max(initial=0)) + 1, candidates[candidate])
-        asked, margin, n_trees = bins[held], np.zeros(int(held.sum())), 0
-        for t in grown:
-            margin += np.array(t.value)[t.walk(asked)]
-            n_trees += 1
-        n = len(margin)
-        columns = [np.full(n, candidate, np.int32), np.full(n, part, np.int32), y[held].astype(np.int32), chance(margin, n_trees)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["candidate", "part", "y", "score"])
-
-    place = F.element_at(places, F.col("part"))[F.col("candidate")]
-    dealt = tasks.repartitionById(len(fits), place).sortWithinPartitions("candidate", "part", "key")
+        train = bins[~held], y[~held], w[~held], key[~held], int(bins.max(initial=0)) + 1
+        asked, y = bins[held], y[held].astype(np.int32)
+        margin, n_trees = {c: np.zeros(len(asked)) for c in own}, dict.fromkeys(own, 0)
+        own = sorted(own, key=lambda c: _depth(candidates[c]))
+        for a, b, s in stretches(own):
+            # a fit of its own has all of its trees in one stretch
+            some = () if len(own) == 1 else (range(a, b),)
+            meant = [c for c in own if candidates[c].n_estimators >= b]
+            for t in grow(*train, s, *some):
+                node, value = None, np.array(t.value)
+                for c in meant:
+                    shorter = _depth(candidates[c]) < _depth(s)
+                    node = (t.upto(candidates[c].max_depth) if shorter else t).walk(asked, node)
+                    margin[c] += value[node]
+                    n_trees[c] += 1
+        for c in own:
+            columns = [np.full(len(y), c, np.int32), np.full(len(y), part, np.int32), y, chance(margin[c], n_trees[c])]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=["candidate", "part", "y", "score"])
+
+    dealt = tasks.repartitionById(len(fits), "fit").sortWithinPartitions("fit", "key")
     return dealt.mapInArrow(run, "candidate int, part int, y int, score double")
 
 
+def _depth(s) -> float:
+    return np.inf if s.max_depth is None else s.max_depth
+
+
 # --- estimator ------------------------------------------------------------------------------
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from stayledger.config import SEED
 from stayledger.operators import boost
-from stayledger.operators.boost import Tree, byte_rows  # by name, so that tasks need no package
+from stayledger.operators.boost import Tree, byte_rows, joint_columns  # by name, so that tasks need no package
 from stayledger.session import stable
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -38,8 +38,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MAX_BINS = 64
 DEEPEST = 30  # where the depth is left open
 CELLS = 1 << 22  # cells of a group of trees that one task sums
-TASK_CELLS = 1 << 18  # cells that a tree in one task sums at once
+TASK_CELLS = 1 << 16  # cells that a tree in one task sums at once
 SMALL_NODES = 8, 16, 32  # rows of nodes that are summed over the bins they hold
+COUNTED, LARGE_NODE = 1 << 14, 1 << 11  # rows of a matrix whose draws are counted, and of a node counted by itself
+JOINT, AT_ONCE = 1 << 12, 14_000  # cells of columns counted together, and rows counted in one number
+FIELD = 17  # bits: a row is drawn at most 9 times, so AT_ONCE rows have less than 2^17 draws
 SMALLEST_DROP = 1e-9
 #: How often a uniform number means 0, 1, 2... rows under Poisson(1).
 TIMES = np.exp(-1) * np.cumsum(1 / np.array([1, 1, 2, 6, 24, 120, 720, 5040, 40320], float))
@@ -100,8 +103,11 @@ def cell_sums(bins, columns, node, n_bins: int, values) -> list[np.ndarray]:
 
 def best_cuts(g, h, n, s: Settings):
     """(column place, bin, drop) of each node, drop 0 where no cut is allowed."""
-    gl, hl, nl = g.cumsum(axis=2), h.cumsum(axis=2), n.cumsum(axis=2)
-    gr, hr, nr = gl[:, :, -1:] - gl, hl[:, :, -1:] - hl, nl[:, :, -1:] - nl
+    left = g.cumsum(axis=2), h.cumsum(axis=2), n.cumsum(axis=2)
+    return _largest_drops(*left, *(v[:, :, -1:] - v for v in left), s)
+
+
+def _largest_drops(gl, hl, nl, gr, hr, nr, s: Settings):
     allowed = (nl >= s.min_samples_leaf) & (nr >= s.min_samples_leaf) & (hl > 0) & (hr > 0)
     with np.errstate(all="ignore"):
         whole = gl[:, :, -1:] ** 2 / hl[:, :, -1:]
@@ -109,10 +115,10 @@ def best_cuts(g, h, n, s: Settings):
         drop += np.divide(np.square(gr, out=gr), hr, out=gr)
         drop -= whole
     drop[~allowed] = 0
-    drop = drop.reshape(len(g), -1)
+    bins, drop = gl.shape[2], drop.reshape(len(gl), -1)
     best = drop.argmax(axis=1)
-    value = drop[np.arange(len(g)), best]
-    return best // g.shape[2], best % g.shape[2], np.where(value > SMALLEST_DROP, value, 0)
+    value = drop[np.arange(len(drop)), best]
+    return best // bins, best % bins, np.where(value > SMALLEST_DROP, value, 0)
 
 
 def _settle(tree: Tree, node: int, g: float, h: float) -> None:
@@ -124,23 +130,33 @@ def grow_in_task(bins, y, w, key, n_bins: int, s: Settings, some: Sequence[int]
 
     Rows lie ordered by node, in their old order inside it, so a node's rows are known by
     their number, nodes are summed in chunks of bounded size and every cell in the same order.
-    Both values of a row are the parts of one complex number, summed in one pass.
+    Both values of a row are the parts of one complex number, summed in one pass.  In a large
+    matrix whose rows weigh alike within a class they follow from how often rows are drawn:
+    those are counted, which is exact in any order (see ``_Draws``).
     """
     deepest, x = DEEPEST if s.max_depth is None else s.max_depth, np.ascontiguousarray(bins.T)
+    draws = _Draws.of(x, y, w, column_count(len(x), s)) if len(y) >= COUNTED else None
     for t in range(s.n_estimators) if some is None else some:
         times = times_drawn(key, t, s)
         rows = np.flatnonzero(times)
         own, tree = np.concatenate([column.take(rows) for column in x]) if len(x) else x.ravel(), Tree()
         m = len(rows)
-        gh = np.empty(m, complex)
-        gh.imag = w[rows] * times[rows]
-        gh.real = gh.imag * y[rows]
-        row, sizes, first = np.arange(m), np.array([m]), 0  # open nodes follow each other
+        if draws is None:
+            gh = np.empty(m, complex)
+            gh.imag = w[rows] * times[rows]
+            gh.real = gh.imag * y[rows]
+            held = [np.arange(m), gh]
+        else:
+            held = [np.arange(m), *draws.drawn(rows, times)]
+        sizes, first = np.array([m]), 0  # open nodes follow each other
         if not m:
             _settle(tree, 0, 0.0, 1.0)
         for depth in range(deepest + 1 if m else 0):
-            total = np.zeros(len(sizes), complex)
-            np.add.at(total, np.repeat(np.arange(len(sizes)), sizes), gh)
+            if draws is None:
+                total = np.zeros(len(sizes), complex)
+                np.add.at(total, np.repeat(np.arange(len(sizes)), sizes), held[1])
+            else:
+                total = draws.totals(held[1], sizes)
             gt, ht = total.real, total.imag
             tree.value[first:], tree.cover[first:] = (gt / ht).tolist(), ht.tolist()
             mixed = (gt > 0) & (gt < ht)
@@ -149,52 +165,175 @@ def grow_in_task(bins, y, w, key, n_bins: int, s: Settings, some: Sequence[int]
                 break
             nodes = np.flatnonzero(mixed)
             if len(nodes) < len(mixed):
-                row, sizes, gh = _kept(mixed, row, sizes, gh)
+                sizes, *held = _kept(mixed, sizes, *held)
             columns = node_columns(nodes + first, t, len(x), s)
-            c, b, drop = _node_cuts_in_task(own, m, row, sizes, gh, columns, n_bins, s)
+            if draws is None:
+                c, b, drop = _node_cuts_in_task(own, m, sizes, *held, columns, n_bins, s)
+            else:
+                c, b, drop = draws.node_cuts(sizes, *held[1:], columns=columns, n_bins=n_bins, s=s)
             cut = drop > 0
             if not cut.any():
                 break
             column = columns[np.arange(len(nodes)), c]
             at, first = (nodes + first)[cut], len(tree.column)
             tree.cut_all(at.tolist(), column[cut].tolist(), b[cut].tolist(), drop[cut].tolist())
-            if not cut.all():
-                row, sizes, gh = _kept(cut, row, sizes, gh)
-                column, b = column[cut], b[cut]
+            here, column, b, sizes = np.flatnonzero(np.repeat(cut, sizes)), column[cut], b[cut], sizes[cut]
             # both sides of every node, one after the other, rows in their old order
-            right = own.take(np.repeat(column * m, sizes) + row) > np.repeat(b.astype(np.uint8), sizes)
+            right = own.take(np.repeat(column * m, sizes) + held[0].take(here)) > np.repeat(b.astype(np.uint8), sizes)
             starts = np.cumsum(sizes) - sizes
             n_right = np.add.reduceat(right, starts, dtype=np.intp)
-            n_left = sizes - n_right
-            order = np.empty(len(row), np.intp)
-            for side, many, begins in ((~right, n_left, starts), (right, n_right, starts + n_left)):
-                here = np.flatnonzero(side)
-                order[np.arange(len(here)) + np.repeat(begins - np.cumsum(many) + many, many)] = here
-            row, gh, sizes = row.take(order), gh.take(order), np.stack([n_left, n_right], axis=1).ravel()
+            sizes = np.stack([sizes - n_right, n_right], axis=1).ravel()
+            order, side = np.empty(len(here), np.intp), np.repeat(np.arange(len(sizes)) % 2 == 1, sizes)
+            for its, met in ((~side, ~right), (side, right)):
+                order[np.flatnonzero(its)] = here.take(np.flatnonzero(met))
+            held = [v.take(order) for v in held]
         yield tree
 
 
+class _Draws:
+    """Rows that weigh alike within a class, counted by how often they are drawn.
+
+    A row's kind is 2 x draws + class.  Rows, draws and draws of positives of up to ``AT_ONCE``
+    rows are fields of one whole number below 2^53, so one weighted count sums all three
+    exactly.  In large nodes columns of few bins are one number and counted together
+    (``joint_columns``).
+    """
+
+    def __init__(self, positive, weights, joint, places):
+        self.positive, self.weights, self.joint, self.places = positive.astype(np.uint8), weights, joint, places
+        times = np.repeat(np.arange(len(TIMES) + 1), 2)
+        positive = np.arange(len(times)) % 2
+        self.packed = (1 + (times << FIELD) + (times * positive << 2 * FIELD)).astype(float)
+        self.times = np.stack([times * positive, times * (1 - positive)], axis=1)
+
+    @classmethod
+    def of(cls, x, y, w, k: int) -> _Draws | None:
+        """None where rows of a class differ in weight, there are other classes, or the joint
+        numbers of all columns are more than what ``k`` columns of a node repay."""
+        positive, weights = y == 1, []
+        if not (positive | (y == 0)).all():
+            return None
+        for own in (w[~positive], w[positive]):
+            weights.append(float(own[0]) if len(own) else 1.0)
+            if (own != weights[-1]).any():
+                return None
+        joint, places = joint_columns(x, JOINT)
+        return cls(positive, weights, joint, places) if len(joint) <= 2 * k else None
+
+    def drawn(self, rows, times) -> list[np.ndarray]:
+        """What is held of the rows: their kind, and their joint columns."""
+        return [2 * times[rows] + self.positive[rows], *(code.take(rows) for code in self.joint)]
+
+    def sums(self, positives, negatives) -> tuple[np.ndarray, np.ndarray]:
+        g = self.weights[1] * positives
+        return g, g + self.weights[0] * negatives
+
+    def totals(self, kind, sizes) -> np.ndarray:
+        """The sums of nodes whose rows lie one after the other."""
+        many = len(self.packed)
+        seen = np.bincount(np.repeat(np.arange(len(sizes)) * many, sizes) + kind, minlength=len(sizes) * many)
+        total = np.empty(len(sizes), complex)
+        total.real, total.imag = self.sums(*(seen.reshape(-1, many) @ self.times).T)
+        return total
+
+    def node_cuts(self, sizes, kind, *joint, columns, n_bins: int, s: Settings):
+        """``best_cuts`` of nodes whose rows lie one after the other."""
+        large = sizes >= LARGE_NODE
+        found = np.empty(len(sizes), np.intp), np.empty(len(sizes), np.intp), np.empty(len(sizes))
+        if large.any():
+            ends, nodes = np.cumsum(sizes), np.flatnonzero(large)
+            step = max(1, TASK_CELLS // (columns.shape[1] * n_bins))
+            for some in (nodes[a : a + step] for a in range(0, len(nodes), step)):
+                cells = np.zeros((3, len(some), columns.shape[1], n_bins), np.int64)
+                for i, node in enumerate(some):
+                    at = slice(ends[node] - sizes[node], ends[node])
+                    self._count([code[at] for code in joint], self.packed.take(kind[at]), columns[node], cells[:, i])
+                n, drawn, positives = cells
+                for out, v in zip(found, best_cuts(*self.sums(positives, drawn - positives), n, s)):
+                    out[some] = v
+        if not large.all():
+            rest = ~large
+            if large.any():
+                sizes, kind, *joint = _kept(rest, sizes, kind, *joint)
+            own = self._bins(joint)
+            cuts = _node_cuts_in_task(own.ravel(), len(kind), sizes, np.arange(len(kind)), self.packed.take(kind), columns[rest], n_bins, s, self)
+            for out, v in zip(found, cuts):
+                out[rest] = v
+        return found
+
+    def best_cuts(self, packed, s: Settings):
+        """``best_cuts`` of nodes of up to ``AT_ONCE`` rows: both sides are whole numbers as their cells are."""
+        left = packed.cumsum(axis=2)
+        both = np.stack([left, left[:, :, -1:] - left])
+        # fields from the highest down; whole numbers, so nothing is rounded
+        positives = np.floor(both * 2.0 ** (-2 * FIELD))
+        both -= positives * 2.0 ** (2 * FIELD)
+        drawn = np.floor(both * 2.0**-FIELD)
+        both -= drawn * 2.0**FIELD
+        g = self.weights[1] * positives
+        drawn -= positives
+        drawn *= self.weights[0]
+        drawn += g
+        (gl, gr), (hl, hr), (nl, nr) = g, drawn, both
+        return _largest_drops(gl, hl, nl, gr, hr, nr, s)
+
+    def _count(self, joint, packed, columns, cells) -> None:
+        """Rows, draws and draws of positives per (column place, bin) of one node."""
+        asked = {c: j for j, c in enumerate(columns.tolist())}
+        for code, (shape, places) in zip(joint, self.places):
+            here = [(axis, asked[c]) for axis, c in enumerate(places) if c in asked]
+            if not here:
+                continue
+            many, parts = int(np.prod(shape)), []
+            for a in range(0, len(code), AT_ONCE):
+                seen = np.bincount(code[a : a + AT_ONCE], packed[a : a + AT_ONCE], many).reshape(shape)
+                parts.append([seen.sum(axis=tuple(o for o in range(len(shape)) if o != axis)) for axis, _ in here])
+            for (axis, j), *found in zip(here, *parts):
+                for field, part in enumerate(_fields(np.array(found))):
+                    cells[field, j, : shape[axis]] = part.sum(axis=0)
+
+    def _bins(self, joint) -> np.ndarray:
+        """The columns again, a row per column."""
+        own = np.empty((sum(len(places) for _, places in self.places), len(joint[0])), np.uint8)
+        for code, (shape, places) in zip(joint, self.places):
+            for size, c in zip(shape[::-1], places[::-1]):
+                own[c] = code % code.dtype.type(size) if size < 256 or code.itemsize > 1 else code
+                code = code // code.dtype.type(size) if size < 256 or code.itemsize > 1 else code
+        return own
+
+
+def _fields(packed: np.ndarray) -> list[np.ndarray]:
+    """Rows, draws and draws of positives."""
+    whole = packed.astype(np.int64)
+    return [whole >> field * FIELD & (1 << FIELD) - 1 for field in range(3)]
+
+
 def effort(s: Settings, width: int) -> float:
     """How long a fit takes beside others over the same rows."""
     return s.n_estimators * (DEEPEST if s.max_depth is None else s.max_depth) * (2 + column_count(width, s))
 
 
+def alike(s: Settings, width: int) -> tuple:
+    """Forests of which this is the same have the same trees, up to their depth and number."""
+    return column_count(width, s), s.min_samples_leaf, s.seed
+
+
 def shares(s: Settings, tasks: int) -> list[list[int]]:
     """The numbers of the trees of each task."""
     return [list(range(i, s.n_estimators, tasks)) for i in range(min(tasks, s.n_estimators))]
 
 
-def _kept(nodes: np.ndarray, row, sizes, gh):
-    """The rows of the marked nodes, and how many each has."""
+def _kept(nodes: np.ndarray, sizes, *held):
+    """How many rows each marked node has, and what is held of its rows."""
     here = np.flatnonzero(np.repeat(nodes, sizes))
-    return row.take(here), sizes[nodes], gh.take(here)
+    return sizes[nodes], *(v.take(here) for v in held)
 
 
-def _node_cuts_in_task(own, m: int, row, sizes, gh, columns, n_bins: int, s: Settings):
+def _node_cuts_in_task(own, m: int, sizes, row, gh, columns, n_bins: int, s: Settings, draws: _Draws | None = None):
     """``best_cuts`` of nodes whose rows lie one after the other, some nodes at a time.
 
     Nodes of few rows have cells for the bins they hold only: a cut behind an empty bin is
-    the cut behind the bin before it.
+    the cut behind the bin before it.  With ``draws`` the rows' values are its packed numbers.
     """
     n_nodes = len(columns)
     found = np.empty(n_nodes, np.intp), np.empty(n_nodes, np.intp), np.empty(n_nodes)
@@ -204,14 +343,14 @@ def _node_cuts_in_task(own, m: int, row, sizes, gh, columns, n_bins: int, s: Set
         least = room
         if not chosen.any():
             continue
-        rows, many, values = (row, sizes, gh) if chosen.all() else _kept(chosen, row, sizes, gh)
-        cuts = _sized_cuts(own, m, rows, many, values, columns[chosen], n_bins, room, s)
+        many, rows, values = (sizes, row, gh) if chosen.all() else _kept(chosen, sizes, row, gh)
+        cuts = _sized_cuts(own, m, rows, many, values, columns[chosen], n_bins, room, s, draws)
         for out, v in zip(found, cuts):
             out[chosen] = v
     return found
 
 
-def _sized_cuts(own, m: int, row, sizes, gh, columns, n_bins: int, room: int, s: Settings):
+def _sized_cuts(own, m: int, row, sizes, gh, columns, n_bins: int, room: int, s: Settings, draws: _Draws | None):
     """The cuts of nodes that hold at most ``room`` bins of a column."""
     n_nodes, k = columns.shape
     step = max(1, TASK_CELLS // (k * room))
@@ -222,7 +361,7 @@ def _sized_cuts(own, m: int, row, sizes, gh, columns, n_bins: int, room: int, s:
         lo, hi = ends[a] - many[0], ends[a + len(many) - 1]
         at, values, starts = row[lo:hi], gh[lo:hi], ends[a : a + step] - many - lo
         first = np.repeat(np.arange(len(some)) * room, many)
-        g, h, n = (np.empty((len(some), k, room)) for _ in range(3))
+        cells = np.empty((1 if draws is not None else 3, len(some), k, room))
         held = np.empty((len(some), k), np.uint64)
         for j in range(k):
             bin_ = own.take(np.repeat(some[:, j] * m, many) + at)
@@ -230,11 +369,15 @@ def _sized_cuts(own, m: int, row, sizes, gh, columns, n_bins: int, room: int, s:
                 bit = np.left_shift(np.uint64(1), bin_.astype(np.uint64))
                 held[:, j] = np.bitwise_or.reduceat(bit, starts)
                 bin_ = np.bitwise_count(np.repeat(held[:, j], many) & (bit - np.uint64(1)))
-            cell, total = first + bin_, np.zeros(len(some) * room, complex)
+            cell, shape = first + bin_, (len(some), room)
+            if draws is not None:
+                cells[0, :, j] = np.bincount(cell, values, len(some) * room).reshape(shape)
+                continue
+            total = np.zeros(len(some) * room, complex)
             np.add.at(total, cell, values)
-            g[:, j], h[:, j] = total.real.reshape(len(some), room), total.imag.reshape(len(some), room)
-            n[:, j] = np.bincount(cell, minlength=len(total)).reshape(len(some), room)
-        c, b, drop = best_cuts(g, h, n, s)
+            for v, sums in zip(cells[:, :, j], (total.real, total.imag, np.bincount(cell, minlength=len(total)))):
+                v[:] = sums.reshape(shape)
+        c, b, drop = best_cuts(*cells, s) if draws is None else draws.best_cuts(cells[0], s)
         found.append((c, _nth_bit(held[np.arange(len(some)), c], b) if room < n_bins else b, drop))
     return tuple(np.concatenate(v) for v in zip(*found))
 

@@ -438,7 +438,8 @@ def _tree_scores(stages: Mapping[str, tuple], rows: DataFrame, target: str) -> D
     for names in alike.values():
         weights = {k: _class_weights(stages[names[0]][0], *c) for k, c in counts.items()}
         found = boost.fit_side_by_side(
-            every, [stages[n][1].options() for n in names], widths, weights, kind.grow_in_task, fitted._chance, kind.effort
+            every, [stages[n][1].options() for n in names], widths, weights, kind.grow_in_task, fitted._chance, kind.effort,
+            getattr(kind, "alike", None),
         )
         label = F.element_at(F.array(*map(F.lit, names)), F.col("candidate") + 1)
         found = found.select(label.alias("model"), F.col("part").alias("fold"), F.col("y").alias(target), F.col("score").alias(SCORE))

@@ -271,3 +271,17 @@ def test_texts_are_counted_by_runs(spark):
     assert "[^0-9]+" in plan and "[^A-Z]+" in plan
     got = [(r["n_digits"], r["n_upper"]) for r in found.orderBy("doc_id").collect()]
     assert got == [(None, None), (0, 0), (0, 0), (4, 3), (1, 0), (0, 2), (2, 0)]
+
+
+def test_columns_of_few_bins_are_one_number():
+    rng = np.random.default_rng(12)
+    sizes = [256, 3, 2, 40, 5, 1, 256]
+    x = np.stack([rng.integers(0, n, 500) for n in sizes]).astype(np.uint8)
+    x[:, -1] = [n - 1 for n in sizes]
+    for most in (0, 6, 300, 1 << 12, 1 << 20):
+        codes, places = boost.joint_columns(x, most)
+        assert sorted(c for _, columns in places for c in columns) == list(range(7))
+        for code, (shape, columns) in zip(codes, places):
+            assert [sizes[c] for c in columns] == list(shape) and (len(columns) == 1 or np.prod(shape) <= most)
+            assert np.array(np.unravel_index(code, shape)).tolist() == x[list(columns)].tolist()
+    assert len(boost.joint_columns(x, 0)[0]) == 7 and len(boost.joint_columns(x, 1 << 20)[0]) < 4

@@ -3,9 +3,13 @@
 import itertools
 import json
 import math
+import pickle
+import subprocess
+import sys
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -188,3 +192,81 @@ def test_small_nodes_have_cells_for_the_bins_they_hold(monkeypatch):
 def test_the_set_bits_of_a_mask():
     held = np.array([0b1, 0b10100, 0b10100, 1 << 63 | 1, 1 << 63 | 1, (1 << 64) - 1], np.uint64)
     assert forest._nth_bit(held, np.array([0, 0, 1, 0, 1, 41])).tolist() == [0, 2, 4, 0, 63, 41]
+
+
+@pytest.mark.parametrize("s", [S(5, 3, 4, "sqrt"), S(4, None, 2, 0.7), S(3, 1, 5, "log2")])
+def test_counted_draws_match_plain_loops(table, s, monkeypatch):
+    edges = boost.bin_edges(table, "features", max_bins=16)
+    x, y = rows_of(160, 8)
+    bins = np.stack([np.searchsorted(e, x[:, c], side="left") for c, e in enumerate(edges)], axis=1).astype(np.uint8)
+    w, key, n_bins = 1.0 + 0.3 * y, np.arange(160), max(map(len, edges)) + 1
+    summed = [t.lists() for t in forest.grow_in_task(bins, y, w, key, n_bins, s)]
+    counts, count = [], forest._Draws._count
+    monkeypatch.setattr(forest._Draws, "_count", lambda *a: counts.append(len(a[2])) or count(*a))
+    for name, value in {"COUNTED": 0, "LARGE_NODE": 30, "AT_ONCE": 16, "JOINT": 200, "TASK_CELLS": 90}.items():
+        monkeypatch.setattr(forest, name, value)
+    counted = [t.lists() for t in forest.grow_in_task(bins, y, w, key, n_bins, s)]
+    assert counts and min(counts) >= 30 and len(counted) == s.n_estimators
+    for t, (a, b) in enumerate(zip(counted, summed)):
+        assert a[:4] == b[:4] and all(v == pytest.approx(u) for v, u in zip(a[4:], b[4:]))
+        got = {i: (c, edges[c][k] if c >= 0 else None, pytest.approx(v)) for i, (c, k, v) in enumerate(zip(a[0], a[1], a[4]))}
+        assert slow_tree(x, y, w, t, s, edges) == got
+
+
+def test_draws_are_counted_where_classes_weigh_alike(monkeypatch):
+    x, y = np.random.default_rng(2).integers(0, 40, (4, 90)).astype(np.uint8), np.arange(90) % 2.0
+    assert forest._Draws.of(x, y, 1 + y, 2).weights == [1.0, 2.0]
+    assert forest._Draws.of(x, 0 * y, 1 + y, 2) is None and forest._Draws.of(x, 2 * y, 1 + y, 2) is None
+    assert forest._Draws.of(x, 0 * y, 3 + 0 * y, 2).weights == [3.0, 1.0]
+    monkeypatch.setattr(forest, "JOINT", 1)  # a number a column
+    assert forest._Draws.of(x, y, 1 + y, 2) is not None and forest._Draws.of(x, y, 1 + y, 1) is None
+
+
+def test_candidates_with_the_same_trees_are_one_fit(spark):
+    rng = np.random.default_rng(11)
+    rows = [(p, k % 3 == 0, 400 * p + k, float(rng.integers(0, 2)), bytearray(rng.integers(0, 9, 3 + p).astype(np.uint8).tobytes())) for p in (0, 1) for k in range(80)]
+    parts = spark.createDataFrame(rows, "part int, held boolean, key long, y double, bins binary")
+    # sqrt and log2 of 3 or 4 columns draw as many
+    candidates = [S(3, 2, 2, "sqrt"), S(6, None, 2, "sqrt"), S(9, 4, 2, "log2"), S(5, 4, 3, "sqrt"), S(9, 2, 2, 0.9), S(9, 0, 2, "sqrt")]
+    weights = {0: (1.0, 1.5), 1: (1.0, 2.0)}
+
+    def scores(alike):
+        fits = boost.fit_side_by_side(parts, candidates, {0: 3, 1: 4}, weights, forest.grow_in_task, forest.BinnedForestModel._chance, forest.effort, alike)
+        found = sorted((r["candidate"], r["part"], r["y"], r["score"]) for r in fits.collect())
+        return fits.rdd.getNumPartitions(), found
+
+    alone, together = scores(None), scores(forest.alike)
+    assert alone[0] == 12 and together[0] < 12
+    assert len(alone[1]) == 6 * 54 and together[1] == alone[1]
+
+
+def test_a_tree_that_was_less_deep():
+    rng = np.random.default_rng(3)
+    bins, y, key = rng.integers(0, 9, (300, 4)).astype(np.uint8), rng.integers(0, 2, 300).astype(float), np.arange(300)
+    (whole,) = forest.grow_in_task(bins, y, 1 + y, key, 9, S(1, None, 2, 0.7))
+    for depth in (0, 1, 2, 5, 30):
+        (short,) = forest.grow_in_task(bins, y, 1 + y, key, 9, S(1, depth, 2, 0.7))
+        end, cut_off = short.walk(bins), whole.upto(depth)
+        assert cut_off.walk(bins).tolist() == end.tolist() and np.array(cut_off.value)[end].tolist() == np.array(short.value)[end].tolist()
+    assert whole.upto(None) is whole
+
+
+def test_fields_of_a_number_do_not_touch():
+    x, y = np.zeros((1, 4), np.uint8), np.array([0.0, 1.0, 0.0, 1.0])
+    most = forest._Draws.of(x, y, 1 + y, 1).packed[-1]  # a positive, drawn as often as can be
+    whole = np.bincount(np.zeros(forest.AT_ONCE, int), np.full(forest.AT_ONCE, most))
+    assert [int(v[0]) for v in forest._fields(whole)] == [forest.AT_ONCE, 9 * forest.AT_ONCE, 9 * forest.AT_ONCE]
+    assert whole[0] < 2**53 and forest.LARGE_NODE <= forest.AT_ONCE
+
+
+@pytest.mark.parametrize("kind", [forest, boost])
+def test_large_matrices_need_no_package_in_a_task(kind, tmp_path):
+    rng = np.random.default_rng(14)
+    n = max(forest.COUNTED, boost.JOINED)
+    bins, y, key = rng.integers(0, 9, (n, 3)).astype(np.uint8), rng.integers(0, 2, n).astype(float), np.arange(n)
+    sent = cloudpickle.dumps((kind.grow_in_task, (bins, y, 1 + y, key, 9, kind.Settings(2, max_depth=2))))
+    (tmp_path / "sent").write_bytes(sent)
+    run = "import pickle; grow, given = pickle.load(open('sent', 'rb')); pickle.dump([t.lists() for t in grow(*given)], open('trees', 'wb'))"
+    subprocess.run([sys.executable, "-c", run], cwd=tmp_path, env={"PATH": ""}, check=True)
+    made = pickle.loads((tmp_path / "trees").read_bytes())
+    assert made == [t.lists() for t in kind.grow_in_task(bins, y, 1 + y, key, 9, kind.Settings(2, max_depth=2))]
