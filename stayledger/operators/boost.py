@@ -277,17 +277,24 @@ def grow_in_task(bins, y, w, key, n_bins: int, s: Settings) -> Iterator[Tree]:
 
     Columns are summed one by one, and only drawn rows of open nodes are carried from level
     to level; rows stay in order, so every cell is summed in the same order.  Gradient and
-    hessian of a row are the parts of one complex number, summed in one pass.
+    hessian of a row are the parts of one complex number, summed in one pass.  In a large
+    matrix columns of few bins are summed together (see ``joint_columns``).
     """
     margin, x = np.zeros(len(y)), np.ascontiguousarray(bins.T)
+    codes, places = joint_columns(x, JOINT if len(y) >= JOINED else 0)
+    flat = x.ravel()
     for r in range(s.n_estimators):
         g, h = gradients(margin, y, w)
         columns, tree, open_ = drawn_columns(len(x), r, s), Tree(), [0]
         drawn = drawn_rows(key, r, s)
         rows, end = np.flatnonzero(drawn), np.zeros(len(y), np.intp)
-        gh, own = np.empty(len(rows), complex), np.stack([x[c].take(rows) for c in columns])
-        gh.real, gh.imag = g.take(rows), h.take(rows)
-        place = np.zeros(len(rows), np.intp)  # of the row's node among the open ones
+        asked = {c: j for j, c in enumerate(columns.tolist())}
+        used = [(code, bins_of, [(axis, asked[c]) for axis, c in enumerate(cs) if c in asked]) for code, (bins_of, cs) in zip(codes, places)]
+        used, gh = [u for u in used if u[2]], np.empty(len(rows), complex)
+        gh.real, gh.imag = g, h = (g, h) if drawn.all() else (g.take(rows), h.take(rows))
+        if not drawn.all():
+            used = [(code.take(rows), bins_of, here) for code, bins_of, here in used]
+        place = np.zeros(len(rows), np.uint8)  # of the row's node among the open ones
         for depth in range(s.max_depth + 1):
             if depth == s.max_depth:
                 total = np.zeros(len(open_), complex)
@@ -296,11 +303,16 @@ def grow_in_task(bins, y, w, key, n_bins: int, s: Settings) -> Iterator[Tree]:
                 cut = [(0, 0, 0.0)] * len(open_)
             else:
                 shape = len(open_), len(columns), n_bins
-                sums, first = (np.empty(shape), np.empty(shape)), (place * n_bins).astype(np.min_scalar_type(shape[0] * n_bins))
-                for c, column in enumerate(own):
-                    total = np.zeros((shape[0], n_bins), complex)
-                    np.add.at(total.reshape(-1), (first + column).astype(np.intp), gh)
-                    sums[0][:, c], sums[1][:, c] = total.real, total.imag
+                sums = np.zeros(shape), np.zeros(shape)
+                for code, bins_of, here in used:
+                    cells = int(np.prod(bins_of))
+                    total = np.zeros((shape[0], *bins_of), complex)
+                    if shape[0] > 1:
+                        code = np.multiply(place, cells, dtype=np.min_scalar_type(shape[0] * cells)) + code
+                    np.add.at(total.reshape(-1), code.astype(np.intp), gh)
+                    for axis, c in here:
+                        one = total.sum(axis=tuple(1 + o for o in range(len(bins_of)) if o != axis))
+                        sums[0][:, c, : one.shape[1]], sums[1][:, c, : one.shape[1]] = one.real, one.imag
                 gt, ht = (v[:, 0].sum(axis=1) for v in sums)
                 cut = list(zip(*(v.tolist() for v in best_cuts(*sums, s))))
             grown, below = [], np.full(len(open_), -1)
@@ -311,17 +323,17 @@ def grow_in_task(bins, y, w, key, n_bins: int, s: Settings) -> Iterator[Tree]:
                     below[i] = len(grown)
                     grown += [tree.left[open_[i]], tree.right[open_[i]]]
             if not grown:
-                end[rows] = np.array(open_)[place]
+                end[rows] = np.array(open_).take(place)
                 break
             if (below < 0).any():
-                stays = below[place] >= 0
-                end[rows[~stays]] = np.array(open_)[place[~stays]]
-                kept = np.flatnonzero(stays)
+                stays = (below >= 0).take(place)
+                gone, kept = np.flatnonzero(~stays), np.flatnonzero(stays)
+                end[rows.take(gone)] = np.array(open_).take(place.take(gone))
                 rows, gh, place = rows.take(kept), gh.take(kept), place.take(kept)
-                own = np.stack([column.take(kept) for column in own])
+                used = [(code.take(kept), bins_of, here) for code, bins_of, here in used]
             c, b = (np.array(v) for v in list(zip(*cut))[:2])
-            met = own.ravel().take((c * len(rows)).take(place) + np.arange(len(rows)))
-            place = below.take(place) + (met > b.astype(np.uint8).take(place))
+            met = flat.take((columns[c] * len(y)).take(place) + rows)
+            place = below.astype(np.min_scalar_type(len(grown))).take(place) + (met > b.astype(np.uint8).take(place))
             open_ = grown
         if not drawn.all():
             rest = np.flatnonzero(~drawn)

@@ -285,3 +285,17 @@ def test_columns_of_few_bins_are_one_number():
             assert [sizes[c] for c in columns] == list(shape) and (len(columns) == 1 or np.prod(shape) <= most)
             assert np.array(np.unravel_index(code, shape)).tolist() == x[list(columns)].tolist()
     assert len(boost.joint_columns(x, 0)[0]) == 7 and len(boost.joint_columns(x, 1 << 20)[0]) < 4
+
+
+@pytest.mark.parametrize("s", [S(6, 0.3, 4, 0.5), S(5, 0.3, 3, 1.0, 1.0, 0.5), S(4, 0.3, 2, 5.0, 0.6, 1.0)])
+def test_columns_summed_together_make_the_same_trees(s, monkeypatch):
+    rng = np.random.default_rng(13)
+    bins = np.stack([rng.integers(0, n, 600) for n in (200, 2, 3, 30, 2)], axis=1).astype(np.uint8)
+    y, key = (rng.random(600) < 0.2 + 0.3 * bins[:, 1] + 0.002 * bins[:, 0]).astype(float), np.arange(600)
+    apart = [t.lists() for t in boost.grow_in_task(bins, y, 1 + 0.3 * y, key, 200, s)]
+    for name, value in {"JOINED": 0, "JOINT": 500}.items():
+        monkeypatch.setattr(boost, name, value)
+    joined = [t.lists() for t in boost.grow_in_task(bins, y, 1 + 0.3 * y, key, 200, s)]
+    assert len(joined) == s.n_estimators and sum(len(t[0]) for t in joined) > 4 * s.n_estimators
+    for a, b in zip(joined, apart):
+        assert a[:4] == b[:4] and all(v == pytest.approx(u) for v, u in zip(a[4:], b[4:]))
